@@ -22,6 +22,9 @@ def duck(folder):
     return con
 
 
+spark_done = 0.0
+
+
 def _cell(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else v + 0.0
@@ -39,7 +42,10 @@ def difference(spark, con, name, folder):
     import __spark_entry__ as e
 
     df = e.queries()[name](spark, folder)
-    got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    rows = df.collect()
+    global spark_done
+    spark_done = time.time()
+    got = _rows(df.columns, [tuple(r) for r in rows])
     res = con.execute(e.oracle_sql()[name])
     want = _rows([d[0] for d in res.description], res.fetchall())
     if got[0] != want[0]:
@@ -63,6 +69,6 @@ if __name__ == "__main__":
         except Exception as exc:
             found = f"{type(exc).__name__}: {str(exc)[:700]}"
         failed += found is not None
-        print(f"{n:24s} {time.time() - start:6.2f}s {'ok' if found is None else 'DIFF ' + found}", flush=True)
+        print(f"{n:24s} {spark_done - start:6.2f}s of {time.time() - start:6.2f}s {'ok' if found is None else 'DIFF ' + found}", flush=True)
     print("failed", failed, "of", len(names))
     print("without SQL:", sorted(set(e.queries()) - set(e.oracle_sql())), "without query:", sorted(set(e.oracle_sql()) - set(e.queries())))

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.text import tokenize
 
 NEGATION_FACTOR = -0.5
+# Means are rounded, so that a score does not depend on the order of a sum and
+# one meant to sit on a label threshold does.
+SCORE_DIGITS = 9
 
 
 def lexicon_scores(
@@ -58,7 +61,8 @@ def lexicon_scores(
         F.coalesce(skipped, F.lit(False)) & F.coalesce(F.col("_neg2"), F.lit(False))
     )
     value = F.when(negated, p * NEGATION_FACTOR).otherwise(p)
-    return scored.groupBy(id_col, *keep).agg(F.coalesce(F.avg(value), F.lit(0.0)).alias("sentiment"))
+    mean = F.round(F.avg(value), SCORE_DIGITS)
+    return scored.groupBy(id_col, *keep).agg(F.coalesce(mean, F.lit(0.0)).alias("sentiment"))
 
 
 def annotate_sentiment(corpus: DataFrame, lexicon: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:

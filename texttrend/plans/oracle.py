@@ -69,7 +69,7 @@ hits AS (
   LEFT JOIN lexicon m ON m.term = a.w1 AND m.kind = 'modifier'
   LEFT JOIN lexicon n1 ON n1.term = a.w1 AND n1.kind = 'negation'
   LEFT JOIN lexicon n2 ON n2.term = a.w2 AND n2.kind = 'negation'),
-means AS (SELECT id, avg(v) AS v FROM hits GROUP BY id),
+means AS (SELECT id, round(avg(v), 9) AS v FROM hits GROUP BY id),
 scores AS (SELECT s.id, coalesce(v, 0.0::DOUBLE) AS sentiment FROM split s LEFT JOIN means USING (id))"""
 
 
