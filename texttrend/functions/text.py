@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # cover; the regex engine tests them with a bit set, about five times faster.
 URL = r"(?U)http[^\s\x1c-\x1f]+"
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
+LEADING_URL = r"(?U)^[\s\x1c-\x1f]*http"
 WORD = r"[a-z0-9_\p{L}\p{N}]+"
 FIELD_SEPARATOR = ". "
 MODEL_MAX_CHARS = 2048
@@ -26,10 +27,22 @@ def clean_text(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(filled, URL, ""), WHITESPACE, " "))
 
 
+def joined_fields(title: Column | str, description: Column | str, content: Column | str) -> Column:
+    """The three article fields joined with '. '; missing ones count as ''."""
+    return F.concat_ws(FIELD_SEPARATOR, *[F.coalesce(_col(c), F.lit("")) for c in (title, description, content)])
+
+
 def article_text(title: Column | str, description: Column | str, content: Column | str) -> Column:
-    """The three article fields joined with '. ' and cleaned; blanks stay as ''."""
-    parts = [F.coalesce(_col(c), F.lit("")) for c in (title, description, content)]
-    return clean_text(F.concat_ws(FIELD_SEPARATOR, *parts))
+    return clean_text(joined_fields(title, description, content))
+
+
+def may_clean_to_nothing(title: Column | str, description: Column | str, content: Column | str) -> Column:
+    """True where cleaning the joined fields could leave no text at all.
+
+    The separators survive unless a URL swallows the first of them, so the
+    joined text must begin with a URL.
+    """
+    return joined_fields(title, description, content).rlike(LEADING_URL)
 
 
 def tokenize(text: Column | str) -> Column:

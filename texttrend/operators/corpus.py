@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import article_text
+from ..functions.text import article_text, may_clean_to_nothing
 
 FIELDS = ("title", "description", "content")
 
@@ -25,4 +25,7 @@ def build_corpus(articles: DataFrame) -> DataFrame:
     fields are all URLs ends up empty.
     """
     filled = articles.withColumns({f: F.coalesce(F.col(f), F.lit("")) for f in FIELDS})
-    return filled.withColumn("text", article_text(*FIELDS)).filter(F.length("text") > 0)
+    # Tested first: Spark moves the filter to the scan, where it would clean
+    # every text once more. Only texts beginning with a URL need that.
+    kept = ~may_clean_to_nothing(*FIELDS) | (F.length("text") > 0)
+    return filled.withColumn("text", article_text(*FIELDS)).filter(kept)

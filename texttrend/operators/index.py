@@ -21,6 +21,9 @@ K1 = 1.5
 B = 0.75
 EPSILON = 0.25
 
+# Term tables of at most this many rows (some 100 MB) are broadcast to the postings.
+BROADCAST_TERMS = 1_000_000
+
 STOP_WORD_FILE = Path(__file__).parent.parent / "resources" / "english_stop_words.txt"
 
 
@@ -36,21 +39,25 @@ def with_tokens(corpus: DataFrame, text: str = "text") -> DataFrame:
     return corpus if "tokens" in corpus.columns else corpus.withColumn("tokens", tokenize(text))
 
 
-def term_counts(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Postings (``id_col``, term, tf), counted inside each document's row.
+def term_counts(docs: DataFrame, id_col: str = "doc_id", sharing: Column | None = None) -> DataFrame:
+    """Postings (``id_col``, term, tf, length), counted inside each document's row.
 
     A grouping by (document, term) would shuffle the whole inverted index; here
     the tokens of a row are sorted and cut into runs, without a shuffle. The
     steps are separate projections so that each array is computed once, and
     ``explode_outer`` because ``explode`` adds a filter that evaluates the
-    tokenizer a second time.
+    tokenizer a second time. With ``sharing``, an array of words, only
+    documents containing one of them are counted; that test sits in a
+    projection for the same reason.
     """
+    tokens = F.col("tokens") if sharing is None else F.when(F.arrays_overlap("tokens", sharing), F.col("tokens"))
     runs = (
-        docs.select(id_col, F.sort_array("tokens").alias("_sorted"))
+        docs.select(id_col, "tokens")
+        .select(id_col, F.sort_array(tokens).alias("_sorted"))
         .select(id_col, "_sorted", term_starts("_sorted").alias("_starts"))
-        .select(id_col, F.explode_outer(term_runs("_sorted", "_starts")).alias("_run"))
+        .select(id_col, F.size("_sorted").alias("length"), F.explode_outer(term_runs("_sorted", "_starts")).alias("_run"))
     )
-    return runs.select(id_col, F.col("_run.term").alias("term"), F.col("_run.tf").alias("tf")).filter("term IS NOT NULL")
+    return runs.select(id_col, "_run.term", "_run.tf", "length").filter("term IS NOT NULL")
 
 
 def term_statistics(docs: DataFrame) -> DataFrame:
@@ -76,6 +83,7 @@ class TermIndex:
 
     docs: DataFrame
     statistics: DataFrame
+    n_terms: int
     id_col: str = "doc_id"
 
     @cached_property
@@ -103,7 +111,25 @@ def fit_terms(corpus: DataFrame, text: str = "text", id_col: str = "doc_id", pat
     search; storing them means one pass over the texts instead of one for each.
     """
     docs = with_tokens(corpus, text).select(id_col, "tokens")
-    return TermIndex(docs, store(term_statistics(docs), path), id_col)
+    statistics = store(term_statistics(docs), path)
+    return TermIndex(docs, statistics, statistics.count(), id_col)
+
+
+def load_terms(corpus: DataFrame, path: str, text: str = "text", id_col: str = "doc_id") -> TermIndex:
+    """The index over ``corpus`` whose statistics ``fit_terms`` stored at ``path``."""
+    statistics = corpus.sparkSession.read.parquet(path)
+    return TermIndex(with_tokens(corpus, text).select(id_col, "tokens"), statistics, statistics.count(), id_col)
+
+
+def join_terms(postings: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
+    """Join postings with a table of one or few rows per term.
+
+    Spark's own estimate does not see how many rows ``explode`` adds and may
+    broadcast the postings, so the side is named here: the term table when its
+    size is known to be small, else neither. The sort-merge join then splits
+    frequent terms under adaptive execution.
+    """
+    return postings.join(F.broadcast(terms) if small else terms.hint("merge"), "term")
 
 
 # ---- TF-IDF ---------------------------------------------------------------------------
@@ -136,15 +162,13 @@ def tfidf_weights(index: TermIndex, **vocabulary_options) -> DataFrame:
     """(doc, term, tf, weight): tf * idf, scaled to length 1 per document.
 
     Documents without vocabulary terms have no rows, the long form of a zero
-    vector. The join on terms carries no hint: a small vocabulary is broadcast
-    at run time, a large one is shuffled and frequent terms are split by
-    adaptive execution. Windows are per document, so none can be large.
+    vector. The window covers one document's terms, so none can be large.
     """
     idf = smoothed_idf(index, **vocabulary_options).select("term", "idf")
     postings = term_counts(index.docs, index.id_col).filter(
         analyzer_terms("term", vocabulary_options.get("stop_words"))
     )
-    raw = postings.join(idf, "term").withColumn("_w", F.col("tf") * F.col("idf"))
+    raw = join_terms(postings, idf, index.n_terms <= BROADCAST_TERMS).withColumn("_w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(index.id_col)))
     return raw.select(index.id_col, "term", "tf", (F.col("_w") / norm).alias("weight"))
 

@@ -62,22 +62,25 @@ def search_articles(
     """
     lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
     ts = parsed_time(articles, time_col)
-    day = ts.cast("date")
     # Compared as instants, which Parquet can filter on; a date cast it cannot.
     in_range = (ts >= lo) & (ts < F.date_add(hi, 1))
     wanted = F.array(
         *[F.struct(F.lit(q).alias("query"), tokenize(F.lit(q)).alias("words")) for q in dict.fromkeys(queries)]
     )
-    tokens = tokenize(text)
     keep = [c for c in articles.columns if c != "query"]
+    # Through a one-element array, or the tokenizer would run for every word compared.
+    matching = F.get(
+        F.transform(
+            F.array(tokenize(text)),
+            lambda tokens: F.filter(
+                wanted, lambda q: F.forall(q["words"], lambda word: F.array_contains(tokens, word))
+            ),
+        ),
+        F.lit(0),
+    )
     matched = (
         articles.filter(in_range)
-        .withColumns({"_day": day, "_tokens": tokens})
-        .withColumn(
-            "_queries",
-            F.filter(wanted, lambda q: F.forall(q["words"], lambda w: F.array_contains(F.col("_tokens"), w))),
-        )
-        .withColumn("_match", F.explode_outer("_queries"))
+        .withColumns({"_day": ts.cast("date"), "_match": F.explode_outer(matching["query"])})
         .filter(F.col("_match").isNotNull())
     )
     if monthly:
@@ -85,7 +88,7 @@ def search_articles(
     else:
         range_start, range_end = lo, hi
     return matched.select(
-        F.col("_match.query").alias("query"), range_start.alias("range_start"), range_end.alias("range_end"), *keep
+        F.col("_match").alias("query"), range_start.alias("range_start"), range_end.alias("range_end"), *keep
     )
 
 

@@ -4,46 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions.text import tokenize
-from .index import B, EPSILON, K1, TermIndex, average_length, bm25_idf, mean_idf, smoothed_idf, term_counts
+from ..session import is_small, small_table
+from .index import (
+    B,
+    BROADCAST_TERMS,
+    EPSILON,
+    K1,
+    TermIndex,
+    average_length,
+    bm25_idf,
+    join_terms,
+    mean_idf,
+    smoothed_idf,
+    term_counts,
+)
 from .topn import top_n
 
 TOP_K = 10
 SCORE_DIGITS = 9
-# Query terms are broadcast when the query texts together are at most this long.
-BROADCAST_CHARS = 4_000_000
 
 Queries = Sequence[str] | DataFrame
 
 
 class _QueryBatch:
-    """Queries as a table (query_id, query), and whether their size is known to be small."""
+    """Queries as a table (query_id, query), their words, and whether those are few."""
 
     def __init__(self, index: TermIndex, queries: Queries):
         if isinstance(queries, DataFrame):
-            self.table = queries.select("query_id", "query")
+            self.table = queries.select(F.col("query_id").cast("long"), "query")
             self.ids = self.table.agg(F.collect_list("query_id")).scalar()
-            self.small = False
         else:
             rows = list(enumerate(queries))
-            spark = index.docs.sparkSession
-            self.table = spark.createDataFrame(rows, "query_id long, query string")
-            self.ids = F.lit([i for i, _ in rows]) if rows else F.array().cast("array<long>")
+            self.table = small_table(index.docs.sparkSession, rows, "query_id long, query string")
+            self.ids = F.lit([i for i, _ in rows]) if rows else F.array()
             self.ids = self.ids.cast("array<long>")
-            self.small = sum(len(q) for q in queries) <= BROADCAST_CHARS
-
-    def terms(self) -> DataFrame:
-        """(query_id, term, n) with n the times the query repeats the term."""
+        # (query_id, term, n) with n the times the query repeats the term.
         words = self.table.select("query_id", F.explode_outer(tokenize("query")).alias("term"))
-        return words.filter("term IS NOT NULL").groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("n"))
-
-    def sized(self, df: DataFrame) -> DataFrame:
-        """Hint a table with at most one row per query word; leave others to Spark's own size check."""
-        return F.broadcast(df) if self.small else df
+        words = words.filter("term IS NOT NULL")
+        self.terms = words.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("n"))
+        self.vocabulary = self.terms.select("term").distinct()
+        self.words = self.terms.agg(F.collect_set("term")).scalar()
+        if isinstance(queries, DataFrame):
+            self.small = is_small(self.terms, BROADCAST_TERMS)
+        else:
+            self.small = sum(len(q) for q in queries) <= BROADCAST_TERMS
 
 
 def _ordered(id_col: str) -> list[Column]:
@@ -51,6 +59,12 @@ def _ordered(id_col: str) -> list[Column]:
     return [F.round("score", SCORE_DIGITS).desc(), F.col(id_col).desc()]
 
 
+def _looked_up(idf: DataFrame, batch: _QueryBatch) -> DataFrame:
+    """Rows of a term table for the words of the queries."""
+    words = F.broadcast(batch.vocabulary) if batch.small else batch.vocabulary
+    return idf.join(words, "term", "left_semi")
+
+
 def _top_k(scores: DataFrame, id_col: str, k: int) -> DataFrame:
     ranked = top_n(scores, ["query_id"], _ordered(id_col), k, slice_by=[id_col])
     return ranked.select("query_id", "rank", id_col, "score")
@@ -87,25 +101,22 @@ def bm25_search(
 ) -> DataFrame:
     """(query_id, rank, doc, score): the k best documents of each query by BM25.
 
-    One pass over the documents for all queries: words are looked up among the
-    query terms as they are read, so only matching words are counted and
-    shuffled. Repeated query words count repeatedly.
+    One pass over the documents for all queries. Documents without a query word
+    are passed over row by row; the others are scored where they are read, and
+    one row per query and matching document is shuffled. Repeated query words
+    count repeatedly.
     """
     id_col = index.id_col
     batch = _QueryBatch(index, queries)
-    terms = batch.terms()
-    idf = bm25_idf(index, epsilon).join(terms.select("term").distinct(), "term", "left_semi")
-    weights = terms.join(idf, "term").select("query_id", "term", (F.col("n") * F.col("idf")).alias("_weight"))
-
-    words = index.docs.select(id_col, F.size("tokens").alias("_dl"), F.explode_outer("tokens").alias("term"))
-    if not batch.small:
-        words = words.join(terms.select("term").distinct(), "term", "left_semi")
-    hits = words.join(batch.sized(weights), "term")
-    counted = hits.groupBy("query_id", id_col, "_dl", "term", "_weight").agg(F.count(F.lit(1)).alias("_tf"))
-    tf = F.col("_tf")
-    length = F.lit(1.0 - b) + F.lit(float(b)) * F.col("_dl") / average_length(index)
-    part = F.col("_weight") * tf * (k1 + 1) / (tf + F.lit(float(k1)) * length)
-    parts = counted.select("query_id", id_col, part.alias("score"))
+    idf = _looked_up(bm25_idf(index, epsilon), batch)
+    weights = batch.terms.join(idf, "term").select("query_id", "term", (F.col("n") * F.col("idf")).alias("_weight"))
+
+    # Counted inside each document first: a word used by many queries is then
+    # repeated once per document and not once per occurrence.
+    hits = join_terms(term_counts(index.docs, id_col, sharing=batch.words), weights, batch.small)
+    tf, length = F.col("tf"), F.col("length")
+    damped = tf + F.lit(float(k1)) * (F.lit(1.0 - b) + F.lit(float(b)) * length / average_length(index))
+    parts = hits.select("query_id", id_col, (F.col("_weight") * tf * (k1 + 1) / damped).alias("score"))
     if fill_zero:
         # With a negative floor, matches can rank below documents that score 0.
         parts = parts.unionByName(_zero_rows(index, batch, k, every_doc=mean_idf(index) < 0))
@@ -125,27 +136,23 @@ def tfidf_search(
     id_col = index.id_col
     batch = _QueryBatch(index, queries)
     idf = smoothed_idf(index, **vocabulary_options).select("term", "idf")
-    terms = batch.terms()
 
     # Query vectors, one row per term: the queries using it and their weights.
-    raw = terms.join(idf.join(terms.select("term").distinct(), "term", "left_semi"), "term").withColumn(
-        "_w", F.col("n") * F.col("idf")
-    )
+    raw = batch.terms.join(_looked_up(idf, batch), "term").withColumn("_w", F.col("n") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("query_id")))
     vectors = raw.select("query_id", "term", "idf", (F.col("_w") / norm).alias("_wq"))
     by_term = vectors.groupBy("term").agg(F.collect_list(F.struct("query_id", "_wq")).alias("_users"))
-    query_words = terms.agg(F.collect_set("term")).scalar()
 
     # The document is its own NULL query with weight w, so that one grouped sum
     # yields the dot products with the queries and the squared length.
-    matched = index.docs.filter(F.arrays_overlap("tokens", query_words))
     itself = F.struct(F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("double").alias("_wq"))
-    vocab = idf.join(batch.sized(by_term), "term", "left").select(
+    users = F.broadcast(by_term) if batch.small else by_term
+    vocab = idf.join(users, "term", "left").select(
         "term", "idf", F.concat(F.array(itself), F.coalesce("_users", F.array().cast(_USERS))).alias("_users")
     )
+    few = index.n_terms <= BROADCAST_TERMS and batch.small
     products = (
-        term_counts(matched, id_col)
-        .join(vocab, "term")
+        join_terms(term_counts(index.docs, id_col, sharing=batch.words), vocab, few)
         .select(id_col, (F.col("tf") * F.col("idf")).alias("_w"), F.explode("_users").alias("_u"))
         .select(id_col, F.col("_u.query_id").alias("query_id"), (F.col("_w") * F.coalesce("_u._wq", "_w")).alias("_p"))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
+from ..session import is_small
 
 NEGATION_FACTOR = -0.5
 # Means are rounded, so that a score does not depend on the order of a sum and
@@ -24,45 +25,49 @@ def lexicon_scores(
     word (clipped to [-1, 1]); a negation before it, or before that modifier or
     a one-letter word, turns it by -0.5. Without polar words the score is 0.0.
 
-    Words are looked up where the text is read: the neighbours come from the
-    token array of the same row, the lexicon is joined without a hint (Spark
-    broadcasts it by its size), and words are averaged before the only shuffle,
-    which carries one narrow row per document and split. Pass in ``keep`` the
-    few columns later steps need, and no join back to the articles is needed.
+    Each word takes its two predecessors along from its own row, so neither a
+    window nor a sort is needed. A lexicon of checked size is broadcast: words
+    meet it where the text is read and are averaged before the only shuffle, of
+    one narrow row per document. Pass in ``keep`` the few columns later steps
+    need and no join back to the articles is needed. A larger lexicon is
+    shuffled by word instead, dropping words without an entry on the way.
     """
-    polar = lexicon.filter("kind = 'polar'").select(F.col("term"), F.col("polarity").alias("_p"))
+    small = is_small(lexicon)
+    sized = F.broadcast if small else (lambda df: df)
+    polar = lexicon.filter("kind = 'polar'").select("term", F.col("polarity").alias("_p"))
     context = lexicon.filter("kind <> 'polar'").groupBy("term").agg(
-        F.max(F.when(F.col("kind") == "modifier", F.col("intensity"))).alias("intensity"),
-        F.max(F.col("kind") == "negation").alias("negates"),
-    )
-    before = context.select(
-        F.col("term").alias("_w1"), F.col("intensity").alias("_scale"), F.col("negates").alias("_neg1")
-    )
-    earlier = context.filter("negates").select(F.col("term").alias("_w2"), F.lit(True).alias("_neg2"))
-
-    words = corpus.select(id_col, *keep, tokenize(text).alias("_tokens")).select(
-        id_col, *keep, "_tokens", F.posexplode_outer("_tokens").alias("_pos", "term")
+        F.max(F.when(F.col("kind") == "modifier", F.col("intensity"))).alias("_scale"),
+        F.max(F.col("kind") == "negation").alias("_neg1"),
     )
+    before = context.withColumnRenamed("term", "_w1")
+    earlier = context.filter("_neg1").select(F.col("term").alias("_w2"), F.lit(True).alias("_neg2"))
 
-    def neighbour(back: int):
-        # NULL for words that are not in the lexicon, so those find no context.
-        return F.when(F.col("_p").isNotNull(), F.get("_tokens", F.col("_pos") - back))
+    def shifted(by: int):
+        return F.concat(F.array(*[F.lit(None).cast("string")] * by), F.col("_tokens")).alias(f"_w{by}")
 
-    hits = words.join(polar, "term", "left").select(
-        id_col, *keep, "_p", neighbour(1).alias("_w1"), neighbour(2).alias("_w2")
-    )
-    scored = hits.join(before, "_w1", "left").join(earlier, "_w2", "left")
-    scale = F.col("_scale")
-    p = F.when(scale.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("_p") * scale))).otherwise(
-        F.col("_p")
+    triples = F.arrays_zip(F.col("_tokens").alias("term"), shifted(1), shifted(2))
+    words = (
+        corpus.select(id_col, *keep, tokenize(text).alias("_tokens"))
+        .select(id_col, *keep, F.explode_outer(triples).alias("_w"))
+        .select(id_col, *keep, "_w.term", "_w._w1", "_w._w2")
     )
+    hits = words.join(sized(polar), "term", "left" if small else "inner")
+    if small:
+        # Words without an entry stay for their document's sake but look up no context.
+        found = F.col("_p").isNotNull()
+        hits = hits.withColumns({w: F.when(found, F.col(w)) for w in ("_w1", "_w2")})
+    scored = hits.join(sized(before), "_w1", "left").join(sized(earlier), "_w2", "left")
+    scale, p = F.col("_scale"), F.col("_p")
+    scaled = F.when(scale.isNull(), p).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), p * scale)))
     skipped = scale.isNotNull() | (F.length("_w1") == 1)
-    negated = F.coalesce(F.col("_neg1"), F.lit(False)) | (
-        F.coalesce(skipped, F.lit(False)) & F.coalesce(F.col("_neg2"), F.lit(False))
-    )
-    value = F.when(negated, p * NEGATION_FACTOR).otherwise(p)
-    mean = F.round(F.avg(value), SCORE_DIGITS)
-    return scored.groupBy(id_col, *keep).agg(F.coalesce(mean, F.lit(0.0)).alias("sentiment"))
+    negated = F.coalesce("_neg1", F.lit(False)) | (F.coalesce(skipped, F.lit(False)) & F.col("_neg2").isNotNull())
+    value = F.when(negated, scaled * NEGATION_FACTOR).otherwise(scaled)
+    mean = F.coalesce(F.round(F.avg(value), SCORE_DIGITS), F.lit(0.0)).alias("sentiment")
+    if small:
+        return scored.groupBy(id_col, *keep).agg(mean)
+    means = scored.groupBy(id_col).agg(mean)
+    everyone = corpus.select(id_col, *keep).join(means, id_col, "left")
+    return everyone.withColumn("sentiment", F.coalesce("sentiment", F.lit(0.0)))
 
 
 def annotate_sentiment(corpus: DataFrame, lexicon: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:

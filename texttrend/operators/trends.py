@@ -106,8 +106,9 @@ def sentiment_trend(
         F.avg(v).alias("sentiment"), F.count(v).alias("n")
     )
     label = month_label("bucket") if freq == "ME" else F.date_format("bucket", "yyyy-MM-dd")
+    # At most one row per bucket of the range, whatever the input's size.
     return (
         _spine(df, start, end, freq)
-        .join(means, "bucket", "left")
+        .join(F.broadcast(means), "bucket", "left")
         .select("bucket", label.alias("label"), "sentiment", F.coalesce("n", F.lit(0)).alias("n"))
     )

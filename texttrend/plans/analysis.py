@@ -15,6 +15,7 @@ from ..operators.search import TOP_K, rank_all
 from ..operators.sentiment import annotate
 from ..operators.trends import TREND_END, TREND_START, sentiment_distribution, sentiment_trend
 from ..schemas import ARTICLE_COLUMNS
+from ..session import small_table
 from ..sources.sinks import assert_not_empty, write_run
 
 # The searches of the default job.
@@ -66,7 +67,7 @@ def run_analysis(
     corpus_path = write_run(annotate(corpus, method, lexicon, predictor_factory), out, "corpus_with_sentiment", run_date)
     stored = spark.read.parquet(corpus_path)
     index = fit_terms(stored)
-    asked = spark.createDataFrame(list(enumerate(queries)), "query_id long, query string")
+    asked = small_table(spark, list(enumerate(queries)), "query_id long, query string")
     return Analysis(
         articles_path,
         corpus_path,

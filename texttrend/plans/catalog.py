@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, labels, text
 from ..operators import corpus as corpora
 from ..operators import evaluation, index, model, retrieval, search, sentiment, trends
-from ..session import configure, store
+from ..session import configure, small_table, store
 from ..sources import articles as sources
 from ..sources import sinks
 from . import views
@@ -261,7 +261,7 @@ def tokenize(spark, folder):
 @query
 def tfidf_terms(spark, folder):
     counts = index.term_counts(index.with_tokens(views.documents(spark, folder)))
-    return counts.filter(index.analyzer_terms("term"))
+    return counts.filter(index.analyzer_terms("term")).drop("length")
 
 
 @query
@@ -346,7 +346,7 @@ def bm25_benchmark(spark, folder):
 
 def _judged(spark, folder):
     stored = store(index.with_tokens(_corpus(spark, folder)).select("doc_id", "query", "tokens"))
-    asked = spark.createDataFrame(list(enumerate(COMPARE_QUERIES)), "query_id long, query string")
+    asked = small_table(spark, list(enumerate(COMPARE_QUERIES)), "query_id long, query string")
     results = search.rank_all(index.fit_terms(stored), COMPARE_QUERIES)
     return evaluation.judge(results, stored, asked)
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Runtime settings every job relies on; the rest is left to the cluster.
 _RUNTIME = {
@@ -68,6 +69,27 @@ def store(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """Rows of the driver program as a table whose size the planner knows.
+
+    Going through Arrow makes it a local relation; plain lists would become an
+    RDD scan of unknown size, which is never broadcast.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(arrow)
+    arrays = [pa.array(values, type=field.type) for values, field in zip(columns, arrow)]
+    return spark.createDataFrame(pa.table(arrays, schema=arrow), schema)
+
+
+def is_small(df: DataFrame, rows: int = 200_000) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; counts no further than that."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition by ``keys`` when the scan has fewer splits than there are cores.
 
