@@ -22,7 +22,8 @@ def judge(results: DataFrame, articles: DataFrame, queries: DataFrame, id_col: s
     """Add ``query`` and ``rel`` to ranked results: was the article collected for this query?
 
     Results are k rows per query, the small side of the join with the articles,
-    of which only the key and ``query`` are read.
+    of which only the key and ``query`` are read. Store the results first:
+    metrics read them more than once.
     """
     asked = results.join(queries.select("query_id", "query"), "query_id")
     found = articles.select(id_col, F.col("query").alias("article_query"))
@@ -125,9 +126,9 @@ def macro_average(report: DataFrame, by: Sequence[str] = ("ranker",)) -> DataFra
 def compare_rankers(judged: DataFrame, k: int = 10) -> DataFrame:
     """Per-query rows and one average row (NULL query) for each ranker."""
     report = evaluate_ranking(judged, k, keys=["ranker", "query"])
-    columns = ["ranker", "query", *METRICS[:-1]]
-    average = macro_average(report).withColumn("query", F.lit(None).cast("string"))
-    return report.select(*columns).unionByName(average.select(*columns))
+    # Both levels in one pass; a union would evaluate the report twice.
+    levels = report.groupingSets([["ranker", "query"], ["ranker"]], "ranker", "query")
+    return levels.agg(*[F.avg(m).alias(m) for m in METRICS[:-1]])
 
 
 # ---- classification ---------------------------------------------------------------------

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import cached_property, lru_cache
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import term_runs, term_starts, tokenize
-from ..session import store
+from ..session import small_table, store
 
 # Defaults of the two ranking models.
 MIN_DF = 2
@@ -79,29 +79,36 @@ def term_statistics(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TermIndex:
-    """A corpus (``id_col``, tokens) and its stored term statistics."""
+    """A corpus (``id_col``, tokens), its stored term statistics, and their totals."""
 
     docs: DataFrame
     statistics: DataFrame
+    id_col: str
+    n_docs: float
+    n_tokens: float
     n_terms: int
-    id_col: str = "doc_id"
+    mean_idf: float
 
-    @cached_property
+    @property
     def terms(self) -> DataFrame:
         return self.statistics.filter("term IS NOT NULL").select("term", F.col("df").cast("double").alias("df"))
 
     @property
-    def n_docs(self) -> Column:
-        return self._corpus_value("df")
-
-    @property
-    def n_tokens(self) -> Column:
-        return self._corpus_value("n_tokens")
-
-    def _corpus_value(self, name: str) -> Column:
-        # A one-row scalar subquery on the small statistics table: no join, no driver round trip.
-        row = self.statistics.filter("term IS NULL").agg(F.max(name).cast("double").alias("v"))
-        return F.coalesce(row.scalar(), F.lit(0.0))
+    def average_length(self) -> float:
+        return self.n_tokens / self.n_docs if self.n_docs else 0.0
+
+
+def _index(corpus: DataFrame, statistics: DataFrame, text: str, id_col: str) -> TermIndex:
+    is_term = F.col("term").isNotNull()
+    totals = statistics.agg(
+        F.max(F.when(~is_term, F.col("df"))).alias("n_docs"),
+        F.max("n_tokens").alias("n_tokens"),
+        F.count("term").alias("n_terms"),
+    ).first()
+    n_docs = float(totals["n_docs"] or 0)
+    mean = statistics.filter(is_term).agg(F.avg(plain_idf(n_docs)).alias("mean_idf")).first()["mean_idf"]
+    docs = with_tokens(corpus, text).select(id_col, "tokens")
+    return TermIndex(docs, statistics, id_col, n_docs, float(totals["n_tokens"] or 0), totals["n_terms"], mean or 0.0)
 
 
 def fit_terms(corpus: DataFrame, text: str = "text", id_col: str = "doc_id", path: str | None = None) -> TermIndex:
@@ -109,16 +116,14 @@ def fit_terms(corpus: DataFrame, text: str = "text", id_col: str = "doc_id", pat
 
     The statistics feed idf, average length and the idf floor of every later
     search; storing them means one pass over the texts instead of one for each.
+    Of them only the four totals come to the driver, to be constants in plans.
     """
-    docs = with_tokens(corpus, text).select(id_col, "tokens")
-    statistics = store(term_statistics(docs), path)
-    return TermIndex(docs, statistics, statistics.count(), id_col)
+    return _index(corpus, store(term_statistics(with_tokens(corpus, text)), path), text, id_col)
 
 
 def load_terms(corpus: DataFrame, path: str, text: str = "text", id_col: str = "doc_id") -> TermIndex:
     """The index over ``corpus`` whose statistics ``fit_terms`` stored at ``path``."""
-    statistics = corpus.sparkSession.read.parquet(path)
-    return TermIndex(with_tokens(corpus, text).select(id_col, "tokens"), statistics, statistics.count(), id_col)
+    return _index(corpus, corpus.sparkSession.read.parquet(path), text, id_col)
 
 
 def join_terms(postings: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
@@ -148,13 +153,13 @@ def vocabulary(
 ) -> DataFrame:
     """(term, df) with min_df <= df <= max_df * N, after stop words."""
     df = F.col("df")
-    kept = analyzer_terms("term", stop_words) & (df >= min_df) & (df <= F.lit(float(max_df)) * index.n_docs)
+    kept = analyzer_terms("term", stop_words) & (df >= min_df) & (df <= float(max_df) * index.n_docs)
     return index.terms.filter(kept)
 
 
 def smoothed_idf(index: TermIndex, **vocabulary_options) -> DataFrame:
     """(term, df, idf) with idf = ln((1 + N) / (1 + df)) + 1."""
-    idf = F.log((1 + index.n_docs) / (1 + F.col("df"))) + 1
+    idf = F.log(F.lit(1 + index.n_docs) / (1 + F.col("df"))) + 1
     return vocabulary(index, **vocabulary_options).withColumn("idf", idf)
 
 
@@ -176,33 +181,21 @@ def tfidf_weights(index: TermIndex, **vocabulary_options) -> DataFrame:
 # ---- BM25 -----------------------------------------------------------------------------
 
 
-def _plain_idf(index: TermIndex) -> Column:
-    df = F.col("df")
-    return F.log(index.n_docs - df + 0.5) - F.log(df + 0.5)
-
-
-def mean_idf(index: TermIndex) -> Column:
-    """Average plain idf over the distinct terms, negatives included."""
-    return index.terms.select(_plain_idf(index).alias("idf")).agg(F.avg("idf")).scalar()
+def plain_idf(n_docs: float) -> Column:
+    """ln(N - df + 0.5) - ln(df + 0.5), negative for terms in more than half the documents."""
+    df = F.col("df").cast("double")
+    return F.log(F.lit(n_docs) - df + 0.5) - F.log(df + 0.5)
 
 
 def bm25_idf(index: TermIndex, epsilon: float = EPSILON) -> DataFrame:
-    """(term, df, idf); a negative idf is replaced by epsilon * mean idf."""
-    plain = index.terms.withColumn("_idf", _plain_idf(index))
-    floored = F.when(F.col("_idf") < 0, F.lit(float(epsilon)) * mean_idf(index)).otherwise(F.col("_idf"))
-    return plain.select("term", "df", floored.alias("idf"))
-
-
-def average_length(index: TermIndex) -> Column:
-    return index.n_tokens / index.n_docs
+    """(term, df, idf); a negative idf is replaced by epsilon * the mean over distinct terms."""
+    idf = plain_idf(index.n_docs)
+    floored = F.when(idf < 0, float(epsilon) * index.mean_idf).otherwise(idf)
+    return index.terms.select("term", "df", floored.alias("idf"))
 
 
 def bm25_stats(index: TermIndex) -> DataFrame:
     """One row: documents, tokens, average length, distinct terms, mean idf."""
-    return index.terms.agg(F.count(F.lit(1)).alias("n_terms"), F.avg(_plain_idf(index)).alias("mean_idf")).select(
-        index.n_docs.cast("long").alias("n_docs"),
-        index.n_tokens.cast("long").alias("n_tokens"),
-        average_length(index).alias("avgdl"),
-        "n_terms",
-        "mean_idf",
-    )
+    row = (int(index.n_docs), int(index.n_tokens), index.average_length, index.n_terms, index.mean_idf)
+    schema = "n_docs long, n_tokens long, avgdl double, n_terms long, mean_idf double"
+    return small_table(index.statistics.sparkSession, [row], schema)

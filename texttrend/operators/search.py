@@ -15,10 +15,8 @@ from .index import (
     EPSILON,
     K1,
     TermIndex,
-    average_length,
     bm25_idf,
     join_terms,
-    mean_idf,
     smoothed_idf,
     term_counts,
 )
@@ -70,20 +68,19 @@ def _top_k(scores: DataFrame, id_col: str, k: int) -> DataFrame:
     return ranked.select("query_id", "rank", id_col, "score")
 
 
-def _zero_rows(index: TermIndex, batch: _QueryBatch, k: int, every_doc: Column | None = None) -> DataFrame:
+def _zero_rows(index: TermIndex, batch: _QueryBatch, k: int, every_doc: bool = False) -> DataFrame:
     """Score 0.0 for the 2k highest ids and every query.
 
     A query matching fewer than k documents leaves at least k of those 2k
     unmatched, so they fill its result exactly while scores are not negative.
-    Where ``every_doc`` (a scalar condition) holds, all documents are listed.
+    With ``every_doc`` all documents are listed.
     """
     id_col = index.id_col
     ids = index.docs.select(id_col)
-    highest = ids.orderBy(F.col(id_col).desc()).limit(2 * k)
-    listed = F.col(id_col) >= highest.agg(F.min(id_col)).scalar()
-    if every_doc is not None:
-        listed = listed | every_doc
-    return ids.filter(listed).select(F.explode(batch.ids).alias("query_id"), id_col, F.lit(0.0).alias("score"))
+    if not every_doc:
+        highest = ids.orderBy(F.col(id_col).desc()).limit(2 * k)
+        ids = ids.filter(F.col(id_col) >= highest.agg(F.min(id_col)).scalar())
+    return ids.select(F.explode(batch.ids).alias("query_id"), id_col, F.lit(0.0).alias("score"))
 
 
 def _matches_only(scores: DataFrame) -> DataFrame:
@@ -115,11 +112,11 @@ def bm25_search(
     # repeated once per document and not once per occurrence.
     hits = join_terms(term_counts(index.docs, id_col, sharing=batch.words), weights, batch.small)
     tf, length = F.col("tf"), F.col("length")
-    damped = tf + F.lit(float(k1)) * (F.lit(1.0 - b) + F.lit(float(b)) * length / average_length(index))
+    damped = tf + F.lit(float(k1)) * (F.lit(1.0 - b) + F.lit(float(b)) * length / index.average_length)
     parts = hits.select("query_id", id_col, (F.col("_weight") * tf * (k1 + 1) / damped).alias("score"))
     if fill_zero:
         # With a negative floor, matches can rank below documents that score 0.
-        parts = parts.unionByName(_zero_rows(index, batch, k, every_doc=mean_idf(index) < 0))
+        parts = parts.unionByName(_zero_rows(index, batch, k, every_doc=index.mean_idf < 0))
     scores = parts.groupBy("query_id", id_col).agg(F.sum("score").alias("score"))
     return _top_k(scores if fill_zero else _matches_only(scores), id_col, k)
 

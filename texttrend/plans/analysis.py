@@ -15,7 +15,7 @@ from ..operators.search import TOP_K, rank_all
 from ..operators.sentiment import annotate
 from ..operators.trends import TREND_END, TREND_START, sentiment_distribution, sentiment_trend
 from ..schemas import ARTICLE_COLUMNS
-from ..session import small_table
+from ..session import small_table, store
 from ..sources.sinks import assert_not_empty, write_run
 
 # The searches of the default job.
@@ -59,7 +59,7 @@ def run_analysis(
 ) -> Analysis:
     """Write the numbered raw and scored tables, and return the reports over the stored ones.
 
-    The reports are lazy: an error in one does not keep the others from running.
+    Searches run at once and their results are kept; the reports are lazy.
     """
     spark = articles.sparkSession
     articles_path = write_run(assert_not_empty(articles), out, "articles", run_date)
@@ -73,6 +73,6 @@ def run_analysis(
         corpus_path,
         stored,
         sentiment_distribution(stored),
-        compare_rankers(judge(rank_all(index, queries, k), stored, asked), k),
+        compare_rankers(judge(store(rank_all(index, queries, k)), stored, asked), k),
         sentiment_trend(stored),
     )

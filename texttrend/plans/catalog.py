@@ -347,7 +347,7 @@ def bm25_benchmark(spark, folder):
 def _judged(spark, folder):
     stored = store(index.with_tokens(_corpus(spark, folder)).select("doc_id", "query", "tokens"))
     asked = small_table(spark, list(enumerate(COMPARE_QUERIES)), "query_id long, query string")
-    results = search.rank_all(index.fit_terms(stored), COMPARE_QUERIES)
+    results = store(search.rank_all(index.fit_terms(stored), COMPARE_QUERIES))
     return evaluation.judge(results, stored, asked)
 
 
