@@ -1,0 +1,169 @@
+"""Both rankers against brute force over small corpora."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from texttrend.operators import index as ix
+from texttrend.operators import search
+
+
+def words(t):
+    return re.findall(r"\b\w+\b", t.lower())
+
+
+def brute_bm25(docs, query, k1=1.5, b=0.75, eps=0.25):
+    toks = {i: words(t) for i, t in docs.items()}
+    n, avg = len(docs), sum(map(len, toks.values())) / len(docs)
+    df = Counter(w for t in toks.values() for w in set(t))
+    idf = {w: math.log(n - d + 0.5) - math.log(d + 0.5) for w, d in df.items()}
+    floor = eps * sum(idf.values()) / len(idf)
+    idf = {w: floor if v < 0 else v for w, v in idf.items()}
+    scores = {}
+    for i, t in toks.items():
+        tf = Counter(t)
+        scores[i] = sum(
+            idf.get(w, 0) * tf[w] * (k1 + 1) / (tf[w] + k1 * (1 - b + b * len(t) / avg)) for w in words(query)
+        )
+    return scores
+
+
+def brute_tfidf(docs, query, min_df=2, max_df=0.8):
+    stop = set(ix.read_stop_words())
+    bags = {i: Counter(w for w in words(t) if len(w) > 1 and w not in stop) for i, t in docs.items()}
+    n = len(docs)
+    df = Counter(w for bag in bags.values() for w in bag)
+    idf = {w: math.log((1 + n) / (1 + d)) + 1 for w, d in df.items() if min_df <= d <= max_df * n}
+
+    def unit(bag):
+        v = {w: c * idf[w] for w, c in bag.items() if w in idf}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    q = unit(Counter(words(query)))
+    return {i: sum(q[w] * x for w, x in unit(bag).items() if w in q) for i, bag in bags.items()}
+
+
+def top(scores, k):
+    return sorted(scores.items(), key=lambda s: (-round(s[1], 9), -s[0]))[:k]
+
+
+def corpus(seed=3, n=60):
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(25)] + ["the", "a", "x"]
+    docs = {i: " ".join(rng.choices(vocab, weights=range(len(vocab), 0, -1), k=rng.randint(0, 12))) for i in range(n)}
+    docs[5] = docs[7] = docs[9]  # exact copies tie
+    docs[11] = ""
+    return docs
+
+
+QUERIES = ["w0 w1 w1", "the a", "w24 zzz", "zzz", "", "w3 W3 x"]
+
+
+def ranked(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.doc_id, r.score))
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs():
+    return corpus()
+
+
+@pytest.fixture(scope="module")
+def index(spark, docs):
+    return ix.fit_terms(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+
+
+@pytest.mark.parametrize("name, brute", [("bm25", brute_bm25), ("tfidf", brute_tfidf)])
+@pytest.mark.parametrize("as_table", [False, True])
+def test_against_brute_force(spark, docs, index, name, brute, as_table):
+    queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id long, query string") if as_table else QUERIES
+    got = ranked(search.RANKERS[name](index, queries, k=8))
+    for i, q in enumerate(QUERIES):
+        want = top(brute(docs, q), 8)
+        assert [d for d, _ in got[i]] == [d for d, _ in want], q
+        assert [s for _, s in got[i]] == pytest.approx([s for _, s in want])
+
+
+def test_same_result_when_nothing_is_small_enough_to_broadcast(index, monkeypatch):
+    plain = [ranked(search.RANKERS[n](index, QUERIES, k=8)) for n in ("bm25", "tfidf")]
+    monkeypatch.setattr(search, "BROADCAST_TERMS", -1)
+    again = [ranked(search.RANKERS[n](index, QUERIES, k=8)) for n in ("bm25", "tfidf")]
+    for a, b in zip(plain, again):
+        assert a.keys() == b.keys()
+        for q in a:
+            assert [d for d, _ in a[q]] == [d for d, _ in b[q]]
+            assert [s for _, s in a[q]] == pytest.approx([s for _, s in b[q]])
+
+
+def test_matches_only(docs, index):
+    got = ranked(search.bm25_search(index, QUERIES, k=100, fill_zero=False))
+    for i, q in enumerate(QUERIES):
+        want = [d for d, s in top(brute_bm25(docs, q), 100) if round(s, 9) > 0]
+        assert [d for d, _ in got.get(i, [])] == want
+
+
+def test_fewer_documents_than_k_and_negative_floor(spark):
+    docs = {1: "a b", 2: "a b", 3: "a b c", 4: "d", 5: "a"}
+    index = ix.fit_terms(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    for k in (1, 2, 10):
+        got = ranked(search.bm25_search(index, ["a", "a b", "q"], k=k))
+        for i, q in enumerate(["a", "a b", "q"]):
+            assert [d for d, _ in got[i]] == [d for d, _ in top(brute_bm25(docs, q), k)]
+    # Nearly every term in most documents: the mean idf, and so the floor, is negative.
+    docs = {i: "a b" for i in range(9)} | {9: "c"}
+    index = ix.fit_terms(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    assert index.mean_idf < 0
+    got = ranked(search.bm25_search(index, ["a", "a c"], k=3))
+    for i, q in enumerate(["a", "a c"]):
+        assert [d for d, _ in got[i]] == [d for d, _ in top(brute_bm25(docs, q), 3)]
+
+
+def test_statistics(spark):
+    df = spark.createDataFrame([(1, "a a b"), (2, "b"), (3, "")], "doc_id long, text string")
+    index = ix.fit_terms(df)
+    assert (index.n_docs, index.n_tokens, index.n_terms) == (3, 4, 2)
+    assert {(r.term, r.df) for r in index.terms.collect()} == {("a", 1), ("b", 2)}
+    counts = ix.term_counts(index.docs)
+    assert {tuple(r) for r in counts.collect()} == {(1, "a", 2, 3), (1, "b", 1, 3), (2, "b", 1, 1)}
+
+
+def test_pruning_and_stop_words(spark):
+    texts = ["alpha beta the x", "alpha beta the x", "alpha gamma the x", "alpha the x", "alpha delta"]
+    index = ix.fit_terms(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r.term for r in ix.vocabulary(index).collect()} == {"beta"}
+    assert {r.term for r in ix.vocabulary(index, min_df=1, max_df=1.0, stop_words=()).collect()} == {
+        "alpha", "beta", "gamma", "the", "delta"}
+    assert len(ix.read_stop_words()) == len(set(ix.read_stop_words())) == 318
+
+
+def test_weights_have_unit_length(index):
+    norms = ix.tfidf_weights(index).groupBy("doc_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n"))
+    assert [r.n for r in norms.collect()] == pytest.approx([1.0] * norms.count())
+
+
+def test_empty_vocabulary_fails(spark):
+    index = ix.fit_terms(spark.createDataFrame([(1, "the of"), (2, "and")], "doc_id long, text string"))
+    with pytest.raises(Exception, match="no terms remain"):
+        search.tfidf_search(index, ["the"]).collect()
+
+
+def test_stored_statistics_can_be_loaded(spark, docs, tmp_path):
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    path = str(tmp_path / "terms")
+    fitted = ranked(search.bm25_search(ix.fit_terms(df, path=path), QUERIES))
+    assert ranked(search.bm25_search(ix.load_terms(df, path), QUERIES)) == fitted
+
+
+def test_text_keys(spark, docs):
+    """Document keys need not be numbers."""
+    df = spark.createDataFrame([(f"{i:03d}", t) for i, t in docs.items()], "doc_id string, text string")
+    got = ranked(search.tfidf_search(ix.fit_terms(df), ["w0 w1"], k=5))[0]
+    assert [int(d) for d, _ in got] == [d for d, _ in top(brute_tfidf(docs, "w0 w1"), 5)]
