@@ -19,6 +19,7 @@ from .index import (
     join_terms,
     smoothed_idf,
     term_counts,
+    tfidf_weights,
 )
 from .topn import top_n
 
@@ -29,32 +30,29 @@ Queries = Sequence[str] | DataFrame
 
 
 class _QueryBatch:
-    """Queries as a table (query_id, query), their words, and whether those are few."""
+    """Queries as a table (query_id, query), their words, and whether all of that is small.
+
+    A list comes from the driver program and is small unless its texts are
+    huge; a table is counted, no further than the bound.
+    """
 
     def __init__(self, index: TermIndex, queries: Queries):
         if isinstance(queries, DataFrame):
             self.table = queries.select(F.col("query_id").cast("long"), "query")
-            self.ids = self.table.agg(F.collect_list("query_id")).scalar()
         else:
             rows = list(enumerate(queries))
             self.table = small_table(index.docs.sparkSession, rows, "query_id long, query string")
-            self.ids = F.lit([i for i, _ in rows]) if rows else F.array()
-            self.ids = self.ids.cast("array<long>")
         # (query_id, term, n) with n the times the query repeats the term.
         words = self.table.select("query_id", F.explode_outer(tokenize("query")).alias("term"))
         words = words.filter("term IS NOT NULL")
         self.terms = words.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("n"))
         self.vocabulary = self.terms.select("term").distinct()
-        self.words = self.terms.agg(F.collect_set("term")).scalar()
         if isinstance(queries, DataFrame):
             self.small = is_small(self.terms, BROADCAST_TERMS)
         else:
             self.small = sum(len(q) for q in queries) <= BROADCAST_TERMS
-
-
-def _ordered(id_col: str) -> list[Column]:
-    # Equal texts may differ in the last bit of a sum, so order by the rounded score.
-    return [F.round("score", SCORE_DIGITS).desc(), F.col(id_col).desc()]
+        # The words as one array to test documents against, only while that is bounded.
+        self.words = self.terms.agg(F.collect_set("term")).scalar() if self.small else None
 
 
 def _looked_up(idf: DataFrame, batch: _QueryBatch) -> DataFrame:
@@ -63,24 +61,37 @@ def _looked_up(idf: DataFrame, batch: _QueryBatch) -> DataFrame:
     return idf.join(words, "term", "left_semi")
 
 
+def _ordered(id_col: str) -> list[Column]:
+    # Equal texts may differ in the last bit of a sum, so order by the rounded score.
+    return [F.round("score", SCORE_DIGITS).desc(), F.col(id_col).desc()]
+
+
 def _top_k(scores: DataFrame, id_col: str, k: int) -> DataFrame:
     ranked = top_n(scores, ["query_id"], _ordered(id_col), k, slice_by=[id_col])
     return ranked.select("query_id", "rank", id_col, "score")
 
 
-def _zero_rows(index: TermIndex, batch: _QueryBatch, k: int, every_doc: bool = False) -> DataFrame:
-    """Score 0.0 for the 2k highest ids and every query.
+def _zero_rows(index: TermIndex, batch: _QueryBatch, k: int) -> DataFrame:
+    """Score 0.0 for every query and the 2k highest document ids.
 
     A query matching fewer than k documents leaves at least k of those 2k
     unmatched, so they fill its result exactly while scores are not negative.
-    With ``every_doc`` all documents are listed.
+    The ids, 2k at most, are attached to the queries as an array.
     """
     id_col = index.id_col
-    ids = index.docs.select(id_col)
-    if not every_doc:
-        highest = ids.orderBy(F.col(id_col).desc()).limit(2 * k)
-        ids = ids.filter(F.col(id_col) >= highest.agg(F.min(id_col)).scalar())
-    return ids.select(F.explode(batch.ids).alias("query_id"), id_col, F.lit(0.0).alias("score"))
+    highest = index.docs.select(id_col).orderBy(F.col(id_col).desc()).limit(2 * k)
+    listed = F.explode_outer(highest.agg(F.collect_list(id_col)).scalar()).alias(id_col)
+    return batch.table.select("query_id", listed, F.lit(0.0).alias("score")).filter(F.col(id_col).isNotNull())
+
+
+def _all_zero_rows(index: TermIndex, batch: _QueryBatch) -> DataFrame:
+    """Score 0.0 for every query and document, where matches may rank below zeros.
+
+    Needed only when the mean idf is negative: most terms occur in more than
+    half of all documents, as in a corpus of a few short texts.
+    """
+    ids = batch.table.agg(F.collect_list("query_id")).scalar()
+    return index.docs.select(F.explode_outer(ids).alias("query_id"), index.id_col, F.lit(0.0).alias("score"))
 
 
 def _matches_only(scores: DataFrame) -> DataFrame:
@@ -115,8 +126,8 @@ def bm25_search(
     damped = tf + F.lit(float(k1)) * (F.lit(1.0 - b) + F.lit(float(b)) * length / index.average_length)
     parts = hits.select("query_id", id_col, (F.col("_weight") * tf * (k1 + 1) / damped).alias("score"))
     if fill_zero:
-        # With a negative floor, matches can rank below documents that score 0.
-        parts = parts.unionByName(_zero_rows(index, batch, k, every_doc=index.mean_idf < 0))
+        zeros = _all_zero_rows(index, batch) if index.mean_idf < 0 else _zero_rows(index, batch, k)
+        parts = parts.unionByName(zeros)
     scores = parts.groupBy("query_id", id_col).agg(F.sum("score").alias("score"))
     return _top_k(scores if fill_zero else _matches_only(scores), id_col, k)
 
@@ -124,42 +135,21 @@ def bm25_search(
 def tfidf_search(
     index: TermIndex, queries: Queries, k: int = TOP_K, fill_zero: bool = True, **vocabulary_options
 ) -> DataFrame:
-    """(query_id, rank, doc, score): the k best documents by cosine of TF-IDF vectors.
+    """(query_id, rank, doc, score): the k best documents of each query by cosine of TF-IDF vectors.
 
-    A cosine needs the length of the whole document vector, but only documents
-    sharing a word with a query can score. Those are picked row by row first;
-    only their postings meet the vocabulary. Fails on an empty vocabulary.
+    Fails on an empty vocabulary.
     """
     id_col = index.id_col
     batch = _QueryBatch(index, queries)
     idf = smoothed_idf(index, **vocabulary_options).select("term", "idf")
-
-    # Query vectors, one row per term: the queries using it and their weights.
     raw = batch.terms.join(_looked_up(idf, batch), "term").withColumn("_w", F.col("n") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("query_id")))
-    vectors = raw.select("query_id", "term", "idf", (F.col("_w") / norm).alias("_wq"))
-    by_term = vectors.groupBy("term").agg(F.collect_list(F.struct("query_id", "_wq")).alias("_users"))
-
-    # The document is its own NULL query with weight w, so that one grouped sum
-    # yields the dot products with the queries and the squared length.
-    itself = F.struct(F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("double").alias("_wq"))
-    users = F.broadcast(by_term) if batch.small else by_term
-    vocab = idf.join(users, "term", "left").select(
-        "term", "idf", F.concat(F.array(itself), F.coalesce("_users", F.array().cast(_USERS))).alias("_users")
-    )
-    few = index.n_terms <= BROADCAST_TERMS and batch.small
-    products = (
-        join_terms(term_counts(index.docs, id_col, sharing=batch.words), vocab, few)
-        .select(id_col, (F.col("tf") * F.col("idf")).alias("_w"), F.explode("_users").alias("_u"))
-        .select(id_col, F.col("_u.query_id").alias("query_id"), (F.col("_w") * F.coalesce("_u._wq", "_w")).alias("_p"))
-    )
-    dots = products.groupBy(id_col, "query_id").agg(F.sum("_p").alias("_dot"))
-    own = F.max(F.when(F.col("query_id").isNull(), F.col("_dot"))).over(Window.partitionBy(id_col))
-    scores = (
-        dots.withColumn("score", F.col("_dot") / F.sqrt(own))
-        .filter("query_id IS NOT NULL")
-        .select("query_id", id_col, "score")
-    )
+    vectors = raw.select("query_id", "term", (F.col("_w") / norm).alias("_wq"))
+    if batch.small:
+        scores = _cosines_of_batch(index, batch, idf, vectors)
+    else:
+        products = join_terms(tfidf_weights(index, **vocabulary_options), vectors, small=False)
+        scores = products.groupBy("query_id", id_col).agg(F.sum(F.col("weight") * F.col("_wq")).alias("score"))
     if not fill_zero:
         return _top_k(_matches_only(scores), id_col, k)
     # Cosines are not negative: zeros can only follow when fewer than k match,
@@ -172,6 +162,33 @@ def tfidf_search(
 _USERS = "array<struct<query_id:bigint,_wq:double>>"
 
 
+def _cosines_of_batch(index: TermIndex, batch: _QueryBatch, idf: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(query_id, doc, score) for query vectors of bounded size.
+
+    A cosine needs the length of the whole document vector, but only documents
+    sharing a word with a query can score. Those are picked row by row, and only
+    their postings meet the vocabulary. The document counts as its own NULL
+    query with weight w, so that one grouped sum yields its products with the
+    queries and its squared length.
+    """
+    id_col = index.id_col
+    itself = F.struct(F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("double").alias("_wq"))
+    users = vectors.groupBy("term").agg(F.collect_list(F.struct("query_id", "_wq")).alias("_users"))
+    vocab = idf.join(F.broadcast(users), "term", "left").select(
+        "term", "idf", F.concat(F.array(itself), F.coalesce("_users", F.array().cast(_USERS))).alias("_users")
+    )
+    postings = term_counts(index.docs, id_col, sharing=batch.words)
+    products = (
+        join_terms(postings, vocab, small=index.n_terms <= BROADCAST_TERMS)
+        .select(id_col, (F.col("tf") * F.col("idf")).alias("_w"), F.explode("_users").alias("_u"))
+        .select(id_col, F.col("_u.query_id").alias("query_id"), (F.col("_w") * F.coalesce("_u._wq", "_w")).alias("_p"))
+    )
+    dots = products.groupBy(id_col, "query_id").agg(F.sum("_p").alias("_dot"))
+    own = F.max(F.when(F.col("query_id").isNull(), F.col("_dot"))).over(Window.partitionBy(id_col))
+    scored = dots.withColumn("score", F.col("_dot") / F.sqrt(own)).filter("query_id IS NOT NULL")
+    return scored.select("query_id", id_col, "score")
+
+
 def _checked(rows: DataFrame, idf: DataFrame) -> DataFrame:
     """Raise at run time when pruning left no terms at all."""
     n_terms = idf.agg(F.count(F.lit(1))).scalar()
