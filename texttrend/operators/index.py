@@ -140,12 +140,17 @@ def join_terms(postings: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
 # ---- TF-IDF ---------------------------------------------------------------------------
 
 
-def analyzer_terms(term: Column | str, stop_words: Iterable[str] | None = None) -> Column:
-    """Condition for terms TF-IDF indexes: two or more characters, no stop word."""
-    t = F.col(term) if isinstance(term, str) else term
+def analyzer_terms(term: str = "term", stop_words: Iterable[str] | None = None) -> Column:
+    """Condition for terms TF-IDF indexes: two or more characters, no stop word.
+
+    The list becomes one IN with constants, a hash lookup in generated code.
+    """
     words = read_stop_words() if stop_words is None else tuple(stop_words)
-    long_enough = F.length(t) >= MIN_TERM_CHARS
-    return long_enough & ~t.isin(*words) if words else long_enough
+    long_enough = F.length(term) >= MIN_TERM_CHARS
+    if not words:
+        return long_enough
+    quoted = ["'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words]
+    return long_enough & F.expr(f"{term} NOT IN ({', '.join(quoted)})")
 
 
 def vocabulary(

@@ -200,30 +200,21 @@ def annotate_sentiment(spark, folder):
     return scored.select("doc_id", "query", "url", F.length("text").alias("n_chars"), r6("sentiment").alias("sentiment"))
 
 
-def _stub_predictor():
-    """Stands in for a model: label and score follow from the text's length; every 11th length fails."""
+@query
+def model_polarity(spark, folder):
+    # Stands in for a model: label and score follow from the text's length, and
+    # every 11th length fails. Nested, so that it is sent to workers whole.
+    def factory():
+        names = ("positive", "LABEL_0", "neutral", "NEGATIVE", "label_2")
 
-    def predict(texts):
-        rows = []
-        for t in texts:
-            if len(t) % 11 == 0:
+        def predict(texts):
+            if any(len(t) % 11 == 0 for t in texts):
                 raise ValueError("no prediction")
-            rows.append((("positive", "LABEL_0", "neutral", "NEGATIVE", "label_2")[len(t) % 5], len(t) % 101 / 100))
-        return rows
-
-    return predict
-
+            return [(names[len(t) % 5], len(t) % 101 / 100) for t in texts]
 
-def _by_value(factory):
-    # Rebuilt as a nested function, which is sent to workers whole, not by module name.
-    import types
+        return predict
 
-    return types.FunctionType(factory.__code__, {"__builtins__": __builtins__}, "predictor_factory")
-
-
-@query
-def model_polarity(spark, folder):
-    scored = model.annotate_with_model(views.documents(spark, folder), _by_value(_stub_predictor))
+    scored = model.annotate_with_model(views.documents(spark, folder), factory)
     return scored.select("doc_id", r6("sentiment").alias("sentiment"), F.col("error").isNotNull().alias("failed"))
 
 

@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> Sp
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording a call site for every column expression slows plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {"spark.sql.shuffle.partitions": "8", **conf}.items():
         builder = builder.config(key, value)
