@@ -1,4 +1,4 @@
-"""Known results over a 40-article sample, given as a folder with raw.csv's scored counterpart.
+"""Known results over a sample of 40 scored articles.
 
 Set TEXTTREND_SAMPLE to a CSV with the article columns, text and sentiment.
 """

@@ -42,20 +42,20 @@ def lexicon_scores(
     before = context.withColumnRenamed("term", "_w1")
     earlier = context.filter("_neg1").select(F.col("term").alias("_w2"), F.lit(True).alias("_neg2"))
 
+    # A NULL word leads every document, so that one without polar words keeps a row.
     def shifted(by: int):
-        return F.concat(F.array(*[F.lit(None).cast("string")] * by), F.col("_tokens")).alias(f"_w{by}")
+        return F.concat(F.array(*[F.lit(None).cast("string")] * (by + 1)), F.col("_tokens"))
 
-    triples = F.arrays_zip(F.col("_tokens").alias("term"), shifted(1), shifted(2))
+    triples = F.arrays_zip(shifted(0).alias("term"), shifted(1).alias("_w1"), shifted(2).alias("_w2"))
     words = (
         corpus.select(id_col, *keep, tokenize(text).alias("_tokens"))
         .select(id_col, *keep, F.explode_outer(triples).alias("_w"))
         .select(id_col, *keep, "_w.term", "_w._w1", "_w._w2")
     )
-    hits = words.join(sized(polar), "term", "left" if small else "inner")
     if small:
-        # Words without an entry stay for their document's sake but look up no context.
-        found = F.col("_p").isNotNull()
-        hits = hits.withColumns({w: F.when(found, F.col(w)) for w in ("_w1", "_w2")})
+        hits = words.join(sized(polar), "term", "left").filter("_p IS NOT NULL OR term IS NULL")
+    else:
+        hits = words.join(polar, "term")
     scored = hits.join(sized(before), "_w1", "left").join(sized(earlier), "_w2", "left")
     scale, p = F.col("_scale"), F.col("_p")
     scaled = F.when(scale.isNull(), p).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), p * scale)))
