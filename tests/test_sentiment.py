@@ -25,6 +25,10 @@ CASES = {
     "not a very good": 0.91,
     "very not good": -0.35,
     "nothing here": 0.0,
+    "good very": 0.7,
+    "good not": 0.7,
+    "very": 0.0,
+    "not": 0.0,
     "": 0.0,
     None: 0.0,
 }

@@ -58,7 +58,9 @@ def lexicon_scores(
         hits = words.join(polar, "term")
     scored = hits.join(sized(before), "_w1", "left").join(sized(earlier), "_w2", "left")
     scale, p = F.col("_scale"), F.col("_p")
-    scaled = F.when(scale.isNull(), p).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), p * scale)))
+    # "least" and "greatest" pass over NULLs, so rows without a polarity are kept out of them.
+    unscaled = scale.isNull() | p.isNull()
+    scaled = F.when(unscaled, p).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), p * scale)))
     skipped = scale.isNotNull() | (F.length("_w1") == 1)
     negated = F.coalesce("_neg1", F.lit(False)) | (F.coalesce(skipped, F.lit(False)) & F.col("_neg2").isNotNull())
     value = F.when(negated, scaled * NEGATION_FACTOR).otherwise(scaled)
