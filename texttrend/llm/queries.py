@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import blocks, packing, simhash
 from .common import read
 
 
@@ -13,5 +13,19 @@ def op1_simhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"), width=3, max_bits=2)
 
 
-QUERIES = {"op1_simhash_neardup": op1_simhash_neardup}
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of at most 4,096 ids."""
+    return packing.pack_documents(read(spark, folder, "documents"), end_id=1, capacity=4096)
+
+
+def op8_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents written as token-id blocks and read back from the files."""
+    return blocks.round_trip(read(spark, folder, "documents"), end_id=2)
+
+
+QUERIES = {
+    "op1_simhash_neardup": op1_simhash_neardup,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op8_token_blocks": op8_token_blocks,
+}
 ORACLES: dict[str, str] = {}
