@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocks, packing, simhash
+from . import blocks, packing, secrets, simhash
 from .common import read
 
 
@@ -23,9 +23,15 @@ def op8_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return blocks.round_trip(read(spark, folder, "documents"), end_id=2)
 
 
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents, each distinct text scanned once through a fresh ledger."""
+    return secrets.digest(secrets.scan_versions(read(spark, folder, "documents"), secrets.new_ledger(spark)))
+
+
 QUERIES = {
     "op1_simhash_neardup": op1_simhash_neardup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_token_blocks": op8_token_blocks,
+    "op10_secret_scan": op10_secret_scan,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_secret_scan": secrets.ORACLE_SQL}
