@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocks, packing, secrets, simhash
+from . import blocks, chat, decontam, fingerprint, packing, secrets, simhash
 from .common import read
 
 
@@ -28,10 +28,31 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.scan_versions(read(spark, folder, "documents"), secrets.new_ledger(spark)))
 
 
+def op3_chat_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Every maximal conversation, rendered."""
+    return chat.rendered(chat.maximal_conversations(read(spark, folder, "conversations")))
+
+
+def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of whole and edited texts: 5-word shingles, 512 bins, 4 bits."""
+    return fingerprint.digest(fingerprint.beside_next(read(spark, folder, "documents")))
+
+
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every (document, benchmark item) with a passage of the item in the document."""
+    return decontam.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 QUERIES = {
+    "op3_chat_snapshots": op3_chat_snapshots,
+    "op6_document_fingerprints": op6_document_fingerprints,
+    "op7_decontamination": op7_decontamination,
     "op1_simhash_neardup": op1_simhash_neardup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_token_blocks": op8_token_blocks,
     "op10_secret_scan": op10_secret_scan,
 }
-ORACLES: dict[str, str] = {"op10_secret_scan": secrets.ORACLE_SQL}
+ORACLES: dict[str, str] = {
+    "op3_chat_snapshots": chat.ORACLE_SQL,
+    "op10_secret_scan": secrets.ORACLE_SQL,
+}
