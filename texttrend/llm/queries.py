@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocks, chat, decontam, fingerprint, packing, secrets, simhash
+from . import automaton, blocks, chat, decontam, fingerprint, packing, secrets, simhash
 from .common import read
 
 
@@ -43,6 +43,11 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op9_backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    """log10 probabilities of all texts under a model of the training texts."""
+    return automaton.score_documents(read(spark, folder, "documents"))
+
+
 QUERIES = {
     "op3_chat_snapshots": op3_chat_snapshots,
     "op6_document_fingerprints": op6_document_fingerprints,
@@ -50,6 +55,7 @@ QUERIES = {
     "op1_simhash_neardup": op1_simhash_neardup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_token_blocks": op8_token_blocks,
+    "op9_backoff_automaton": op9_backoff_automaton,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLES: dict[str, str] = {
