@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import automaton, blocks, chat, decontam, fingerprint, packing, secrets, simhash
+from . import automaton, blocks, chat, decontam, fingerprint, packing, quality, secrets, simhash
 from .common import read
 
 
@@ -48,7 +48,13 @@ def op9_backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return automaton.score_documents(read(spark, folder, "documents"))
 
 
+def op2_quality_attention(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all whole texts, learned from the labels outside the held-out fold."""
+    return quality.score_documents(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 QUERIES = {
+    "op2_quality_attention": op2_quality_attention,
     "op3_chat_snapshots": op3_chat_snapshots,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_decontamination": op7_decontamination,
