@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import automaton, blocks, chat, decontam, fingerprint, packing, quality, secrets, simhash
+from . import automaton, blocks, chat, decontam, fingerprint, packing, pii, quality, secrets, simhash
 from .common import read
 
 
@@ -53,9 +53,15 @@ def op2_quality_attention(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_documents(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all whole texts."""
+    return pii.digest(pii.find_personal_data(read(spark, folder, "documents")))
+
+
 QUERIES = {
     "op2_quality_attention": op2_quality_attention,
     "op3_chat_snapshots": op3_chat_snapshots,
+    "op5_personal_data": op5_personal_data,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_decontamination": op7_decontamination,
     "op1_simhash_neardup": op1_simhash_neardup,
