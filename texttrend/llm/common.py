@@ -55,6 +55,11 @@ def rows_of(batches: Iterator, *columns: str) -> Iterator[tuple]:
         yield from zip(*(batch.column(c).to_pylist() for c in columns))
 
 
+def packed(df: DataFrame) -> Column:
+    """A row's columns as one struct, which no other column's name can clash with."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns)).alias("_row")
+
+
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 

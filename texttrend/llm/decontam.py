@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import is_small, store
-from .common import filled, lower_ascii, words_of
+from .common import filled, lower_ascii, packed, words_of
 
 # The masks. 1 must be equal, 0 may differ.
 MASKS = ("1101101011", "1110010111", "1011100111")
@@ -31,12 +31,6 @@ def seeds(words: Column, length: Column, masks: tuple[str, ...] = MASKS) -> Colu
     return F.concat(*(of(n, m) for n, m in enumerate(masks)))
 
 
-def short_seeds(words: Column, length: Column, masks: tuple[str, ...] = MASKS) -> Column:
-    """For items shorter than the masks: their whole word sequence as the one seed."""
-    least = min(map(len, masks))
-    return F.when(length.between(1, least - 1), F.xxhash64(F.lit("whole"), F.array_join(words, " ")))
-
-
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -117,6 +111,6 @@ def contaminated(
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without those that hold a benchmark passage; all columns kept, clean rows untouched."""
     key = F.md5(filled(text_col).cast("binary"))
-    bad = contaminated(docs.select(key.alias("_key"), text_col), benchmark, "_key", text_col, **options)
+    bad = contaminated(docs.select(key.alias("_key"), F.col(text_col).alias("_content")), benchmark, "_key", "_content", **options)
     bad = bad.select(F.col("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", key).join(bad, "_key", "left_anti").select(*docs.columns)
+    return docs.select(packed(docs), key.alias("_key")).join(bad, "_key", "left_anti").select("_row.*")

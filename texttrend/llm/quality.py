@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, rows_of, ship
+from .common import crc_remainder, packed, rows_of, ship
 
 PASSAGE = 48  # words
 # The groups of characters a passage is described by.
@@ -186,7 +186,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7, **fitting) -> DataFrame:
-    """``docs`` without the rows scored below ``threshold``; all columns kept."""
+    """``docs`` without the rows scored below ``threshold``; all columns kept. Texts are treated as in score_documents."""
     model = fit(docs, labels, id_col, text_col, **fitting)
-    scored = with_score(docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text")), model, "_text", "_score")
+    scored = with_score(docs.select(packed(docs), F.col(text_col).alias("_text")), model, "_text", "_score")
     return scored.where(F.col("_score") >= threshold).select("_row.*")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..session import shared_folder
-from .common import filled
+from .common import filled, packed
 from .matching import Rule, joined
 
 # The base rules, then the ones this method adds.
@@ -113,30 +113,34 @@ def digest(scanned: DataFrame) -> DataFrame:
     return scanned.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"))
 
 
-def redact(versions: DataFrame, ledger: BlobLedger, id_col: str = "doc_id", text_col: str = "text", mask: str = "<secret>") -> DataFrame:
+def redact(versions: DataFrame, ledger: BlobLedger, id_col: str = "doc_id", text_col: str = "text", mask: str = "<secret>", length_col: str | None = None) -> DataFrame:
     """``versions`` with every found span replaced by ``mask``; texts without findings are untouched.
 
     Overlapping spans are masked as one. Texts with findings meet their spans by
-    blob; all columns and all rows are kept.
+    blob; all columns and all rows are kept. ``length_col`` is set to the new
+    length of the texts that change.
     """
-    columns = versions.columns
     hits = (
         scan_versions(versions, ledger, id_col, text_col)
         .where(F.size("findings") > 0)
         .groupBy("blob")
-        .agg(F.first("findings").alias("_findings"))
+        .agg(F.first("findings").alias("findings"))
     )
-    text = filled(text_col)
-    rows = versions.withColumn("_blob", address(text)).join(hits.withColumnRenamed("blob", "_blob"), "_blob", "left")
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    content = filled(text_col)
+    rows = versions.select(packed(versions), content.alias("content"), address(content).alias("blob")).join(hits, "blob", "left")
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(s, x):
-        gap = F.substring(text, s["at"] + 1, x["start"] - s["at"])
-        fresh = F.concat(s["out"], gap, F.lit(mask))
+    def step(s: F.Column, x: F.Column) -> F.Column:
+        fresh = F.concat(s["out"], F.substring(F.col("content"), s["at"] + 1, x["start"] - s["at"]), F.lit(mask))
         return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(x["start"] >= s["at"], fresh).otherwise(s["out"]).alias("out"))
 
-    masked = F.aggregate("_findings", state, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return rows.withColumn(text_col, F.when(F.col("_findings").isNull(), F.col(text_col)).otherwise(masked)).select(*columns)
+    rest = lambda s: F.concat(s["out"], F.substring(F.col("content"), s["at"] + 1, F.length("content")))
+    rows = rows.withColumn("masked", F.when(F.col("findings").isNotNull(), F.aggregate("findings", start, step, rest)))
+    changed = {text_col: F.coalesce("masked", f"_row.`{text_col}`")}
+    if length_col:
+        kind = versions.schema[length_col].dataType
+        changed[length_col] = F.coalesce(F.length("masked").cast(kind), f"_row.`{length_col}`")
+    return rows.select(*(changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in versions.columns))
 
 
 def _oracle() -> str:

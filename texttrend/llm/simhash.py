@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
-from .common import byte_words, ship
+from .common import byte_words, packed, ship
 from .components import components
 
 BITS = 64
@@ -275,8 +275,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows that repeat an id within a class leave one row. The hashed rows are
     written once, so that their row numbers hold for all later steps.
     """
-    columns = docs.columns
-    work = docs.select(F.struct(*columns).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    work = docs.select(packed(docs), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     hashed = store(with_fingerprint(work, "_text", "_fp", width).select("_row", "_id", "_fp", F.monotonically_increasing_id().alias("_n")))
     classes = near_duplicate_classes(hashed.select("_id", "_fp"), "_id", "_fp", max_bits, **tree)
     kept = (
