@@ -1,0 +1,70 @@
+import math
+import zlib
+from collections import Counter
+
+import pytest
+
+from texttrend.llm import automaton
+
+
+def words(text):
+    return (text or "").encode().lower().split() + ["end"]
+
+
+def by_hand(rows, order, strength=automaton.STRENGTH):
+    counts, documents = Counter(), 0
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    for doc_id, text in rows:
+        if not held(doc_id):
+            documents += 1
+            w = ["start"] * (order - 1) + words(text)
+            for i in range(order - 1, len(w)):
+                counts.update(tuple(w[i - n + 1 : i + 1]) for n in range(1, order + 1))
+    singles = {k: c for k, c in counts.items() if len(k) == 1}
+    tokens, known = sum(singles.values()), len(singles)
+    counts.update({("start",) * n: documents for n in range(1, order)})
+
+    def chance(k):
+        if len(k) == 1:
+            return (counts[k] + 1) / (tokens + known + 1)
+        return (counts[k] + strength * chance(k[1:])) / (counts[k[:-1]] + strength)
+
+    out = []
+    for doc_id, text in rows:
+        w = ["start"] * (order - 1) + words(text)
+        score = sum(math.log10(chance(tuple(w[i - order + 1 : i + 1]))) for i in range(order - 1, len(w)))
+        own = w[order - 1 :]
+        base = sum(math.log10((counts[(x,)] + 1) / (tokens + known + 1)) for x in own)
+        out.append((str(doc_id), held(doc_id), len(own), sum((x,) in singles for x in own), tokens, base, score))
+    return sorted(out)
+
+
+def same(got, want):
+    got = sorted((str(r.doc_id), *tuple(r)[1:]) for r in got)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    for a, b in zip(got, want):
+        assert a[5:] == pytest.approx(b[5:], rel=1e-9)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_given_documents(given, order):
+    rows = [(r.doc_id, r.text) for r in given("documents").collect()]
+    same(automaton.score_documents(given("documents"), order=order, block_bytes=1 << 16, bucket_bytes=1 << 15).collect(), by_hand(rows, order))
+
+
+def test_edge_rows(edge_docs, edge_rows, no_docs):
+    same(automaton.score_documents(edge_docs).collect(), by_hand([r[:2] for r in edge_rows], 2))
+    assert automaton.score_documents(no_docs).count() == 0
+
+
+def test_without_training_text_all_is_unknown(docs_of):
+    from pyspark.sql import functions as F
+
+    row = automaton.score_documents(docs_of(["a b"]), held_out=F.lit(True)).first()
+    assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_model_beats_the_base_on_held_out_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = automaton.score_documents(docs).where("held_out").selectExpr("sum(score) AS s", "sum(base_score) AS b").first()
+    assert got.s > got.b
