@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -17,108 +17,128 @@ START, END = 1, 2  # symbols that are no words
 _MIX = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
-REQUEST = "bucket int, block int, grams binary, counts binary, documents long"
-ANSWER = "block int, bucket int, grams binary, counts binary, known long, tokens long, documents long"
+REQUEST = "bucket int, block int, grams array<binary>, counts array<binary>, documents long"
+ANSWER = "block int, bucket int, counts array<binary>, known long, tokens long, documents long"
 
 
-def symbols(text: str | None) -> list[int]:
-    """A text's words as 64-bit symbols, then the end."""
-    return [xxhash.xxh64_intdigest(w, 3) | 3 for w in byte_words(text)] + [END]
-
-
-def _gram(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Keys of the n-grams that end at each place of a padded sequence; the order is part of the key."""
-    count = len(hashes) - n + 1
-    total = np.full(count, (n * _MIX) & _MASK, np.uint64)
+def _mixed(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Keys of the n-grams that end at each place of a sequence; 0 where it is shorter. The order is part of the key."""
+    total = np.full(max(0, len(hashes) - n + 1), (n * _MIX) & _MASK, np.uint64)
     for i in range(n):
-        total = (total ^ hashes[i : i + count]) * np.uint64(_MIX)
+        total = (total ^ hashes[i : i + len(total)]) * np.uint64(_MIX)
         total ^= total >> np.uint64(29)
-    return total
+    return np.concatenate([np.zeros(len(hashes) - len(total), np.uint64), total])
 
 
-def grams_of(text: str | None, order: int) -> np.ndarray:
-    """(places, order) keys: in column n-1 the n-gram that ends at each token, with START before the first.
+class Block:
+    """The token places of some texts, and per order the n-gram that ends at each.
 
-    An n-gram that would begin before START is padded with further START symbols.
+    Every text is led by order - 1 START symbols and closed by END.
     """
-    padded = np.array([START] * (order - 1) + symbols(text), np.uint64)
-    places = len(padded) - order + 1
-    return np.stack([_gram(padded, n)[-places:] for n in range(1, order + 1)], axis=1)
+
+    def __init__(self, texts: list, order: int):
+        lead = order - 1
+        parts = []
+        for text in texts:
+            words = byte_words(text)
+            own = np.empty(lead + len(words) + 1, np.uint64)
+            own[:lead], own[-1] = START, END
+            own[lead:-1] = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(3)), np.uint64, len(words)) | np.uint64(3)
+            parts.append(own)
+        size = np.array([len(x) for x in parts], np.int64)
+        flat = np.concatenate(parts)
+        self.tokens = size - lead
+        token = np.ones(len(flat), bool)
+        for i in range(lead):
+            token[np.cumsum(size) - size + i] = False
+        self._places = np.nonzero(token)[0]
+        self._keys = [_mixed(flat, n) for n in range(1, order + 1)]
+
+    def distinct(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct n-grams, where each is met first, and which of them every token ends."""
+        return np.unique(self._keys[n - 1][self._places], return_index=True, return_inverse=True)
+
+
+def _cuts(keys: np.ndarray, buckets: int) -> list[int]:
+    """Where each bucket begins among sorted keys: buckets are equal ranges of keys."""
+    starts = np.array([-(-(b << 64) // buckets) for b in range(buckets)], np.uint64)
+    return [*np.searchsorted(keys, starts).tolist(), len(keys)]
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers by byte position, so that Spark's compression finds the empty upper bytes."""
+    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and the sums of their counts."""
-    keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(inverse, weights=np.concatenate([c for _, c in parts]), minlength=len(keys)).astype(np.uint32)
+def _numbers(planes: pa.Scalar) -> np.ndarray:
+    data = np.frombuffer(planes.as_buffer(), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(data.T).view("<u8").reshape(-1)
 
 
-def _blocks(docs: DataFrame, id_col: str, text_col: str, held_out, block_bytes: int) -> tuple[DataFrame, int, int]:
+def _blocks(docs: DataFrame, id_col: str, text_col: str, held_out, block_bytes: int) -> tuple[DataFrame, int]:
     rows = ship(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out"))
     size = input_bytes(rows, "text")
-    count = max(1, -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(count)).cast("int")
-    return rows.withColumn("block", block), count, size
+    block = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(max(1, -(-size // block_bytes)))).cast("int")
+    return rows.withColumn("block", block), size
 
 
 class Automaton:
-    """States are contexts that training has seen, arcs their known continuations.
-
-    A word without an arc takes the failure arc to the next shorter context at
-    its backoff weight; the root knows every word of training and gives all
-    others one share. Weights are log10 of
-    (count + strength * shorter probability) / (context count + strength),
-    so an unseen continuation costs log10(strength / (context count + strength))
-    and then its shorter probability: exactly a failure arc.
+    """The states and arcs that a block of texts can reach.
+
+    States are contexts, the root has none. An n-gram seen in training is an
+    arc from the state of its context; from any other word a failure arc leads
+    to the next shorter context, down to the root, which knows every word of
+    training and gives all others one share. With c for counts of training and
+    q for the probability from the shorter context, an arc weighs
+    log10((c(n-gram) + strength * q) / (c(context) + strength)) and a failure arc
+    log10(strength / (c(context) + strength)), which is what an unseen n-gram is
+    worth besides q. A state that training never met costs nothing to leave.
     """
 
-    def __init__(self, counts: dict[int, int], tokens: int, known: int, documents: int, order: int, strength: float):
-        self.counts, self.documents, self.order, self.strength = counts, documents, order, strength
-        self.floor = tokens + known + 1
-        self._weights: list[dict[int, float]] = [{} for _ in range(order)]
-
-    def _probability(self, keys: tuple[int, ...], contexts: tuple[int, ...], n: int) -> float:
-        if n == 1:
-            return (self.counts.get(keys[0], 0) + 1) / self.floor
-        shorter = self._probability(keys, contexts, n - 1)
-        return (self.counts.get(keys[n - 1], 0) + self.strength * shorter) / (self.counts.get(contexts[n - 2], 0) + self.strength)
-
-    def arc(self, keys: tuple[int, ...], contexts: tuple[int, ...], n: int) -> float | None:
-        """Weight of the arc for the n-gram ``keys[n - 1]`` from the state of its context; None if it has none."""
-        if not self.counts.get(keys[n - 1]):
-            return None
-        found = self._weights[n - 1].get(keys[n - 1])
-        if found is None:
-            found = self._weights[n - 1][keys[n - 1]] = math.log10(self._probability(keys, contexts, n))
-        return found
-
-    def score(self, keys: np.ndarray, contexts: np.ndarray) -> tuple[float, float, int]:
-        """(log10 probability, base score, known tokens) of one text, read once from left to right.
-
-        ``keys[i, n-1]`` is the n-gram that ends at token i, ``contexts[i, n-2]``
-        its first n - 1 symbols. The state is the longest context seen so far.
-        """
-        counts, floor, strength = self.counts, self.floor, self.strength
-        unknown = math.log10(1 / floor)
-        total = base = 0.0
-        found = 0
-        for own, before in zip(map(tuple, keys.tolist()), map(tuple, contexts.tolist())):
-            count = counts.get(own[0], 0)
-            single = math.log10((count + 1) / floor) if count else unknown
-            base += single
-            found += count > 0
-            state = self.order  # the longest context; shorter ones are reached by failure arcs
-            while state > 1:
-                weight = self.arc(own, before, state)
-                if weight is not None:
-                    total += weight
-                    break
-                seen = counts.get(before[state - 2], 0)
-                if seen:
-                    total += math.log10(strength / (seen + strength))
-                state -= 1
+    def __init__(self, block: Block, counts: list[np.ndarray], tokens: int, known: int, documents: int, strength: float):
+        floor = tokens + known + 1
+        inside = np.ones(int(block.tokens.sum()), bool)
+        inside[np.cumsum(block.tokens) - block.tokens] = False
+        inside = np.nonzero(inside)[0]
+        self._arcs, self._weights, self._seen, self._failures = [], [], [], []
+        chances = before = None
+        for n, total in enumerate(counts, 1):
+            _, first, arc = block.distinct(n)
+            if n == 1:
+                chances = ((total + 1) / floor)[arc]
             else:
-                total += single
-        return total, base, found
+                context = np.full(len(arc), documents, float)  # a text's first context
+                context[inside] = before[inside - 1]
+                chances = (total[arc] + strength * chances) / (context + strength)
+                self._failures.append(np.log10(strength / (context + strength)).tolist())
+            before = total[arc]
+            self._arcs.append(arc.tolist())
+            self._weights.append(np.log10(chances[first]).tolist())
+            self._seen.append((total > 0).tolist())
+
+    def scores(self, sizes: list[int]) -> list[tuple[float, float, int]]:
+        """(log10 probability, base score, known tokens) of every text, each read once from left to right."""
+        out, at = [], 0
+        words, root, known = self._arcs[0], self._weights[0], self._seen[0]
+        levels = list(zip(self._arcs[1:], self._weights[1:], self._seen[1:], self._failures))[::-1]
+        for size in sizes:
+            total = base = 0.0
+            found = 0
+            for place in range(at, at + size):
+                word = words[place]
+                base += root[word]
+                found += known[word]
+                for arcs, weights, seen, failures in levels:  # from the state of the longest context down
+                    arc = arcs[place]
+                    if seen[arc]:
+                        total += weights[arc]
+                        break
+                    total += failures[place]
+                else:
+                    total += root[word]
+            out.append((total, base, found))
+            at += size
+        return out
 
 
 def score_documents(
@@ -146,82 +166,72 @@ def score_documents(
     text every token is unknown.
     """
     held_out = crc_remainder(id_col, 7) == 2 if held_out is None else held_out
-    blocks, count, size = _blocks(docs, id_col, text_col, held_out, block_bytes)
+    blocks, size = _blocks(docs, id_col, text_col, held_out, block_bytes)
     buckets = max(1, -(-size // bucket_bytes))
 
-    def ask(table: pa.Table) -> pa.Table:
-        single, longer, documents = [], [], 0
-        for text, held in zip(table.column("text"), table.column("held_out").to_pylist()):
-            grams = grams_of(text.as_py(), order)
-            for kind, part in ((single, grams[:, 0]), (longer, grams[:, 1:].reshape(-1))):
-                keys, times = np.unique(part, return_counts=True)
-                kind.append((keys, times * (not held)))
-            documents += not held
-        parts = [_summed(single), _summed(longer)]
-        places = [(keys >> np.uint64(33)) % np.uint64(buckets) for keys, _ in parts]
-        rows = []
-        block = table.column("block")[0].as_py()
-        for bucket in range(buckets):
-            some = [(keys[at == bucket], counts[at == bucket]) for (keys, counts), at in zip(parts, places)]
-            head = np.array([len(some[0][0])], np.uint64)  # unigrams come first, after their number
-            keys, values = np.concatenate([head, some[0][0], some[1][0]]), np.concatenate([some[0][1], some[1][1]])
-            rows.append((bucket, block, keys.tobytes(), values.tobytes(), documents))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64()))], names=["bucket", "block", "grams", "counts", "documents"])
-
-    def answer(table: pa.Table) -> pa.Table:
-        asked = [np.frombuffer(g.as_buffer(), np.uint64) for g in table.column("grams")]
-        given = [np.frombuffer(c.as_buffer(), np.uint32) for c in table.column("counts")]
-        grams, inverse = np.unique(np.concatenate([a[1:] for a in asked]), return_inverse=True)
-        totals = np.bincount(inverse, weights=np.concatenate(given), minlength=len(grams))
-        singles = np.unique(np.concatenate([a[1 : 1 + int(a[0])] for a in asked]))
-        of_single = totals[np.searchsorted(grams, singles)] if len(singles) else np.zeros(0)
-        known, tokens = int((of_single > 0).sum()), int(of_single.sum())
-        rows, at = [], 0
-        for a, block in zip(asked, table.column("block").to_pylist()):
-            own = totals[inverse[at : at + len(a) - 1]].astype(np.uint64)
-            at += len(a) - 1
-            seen = own > 0
-            rows.append((block, a[1:][seen].tobytes(), own[seen].tobytes()))
-        many = len(rows)
-        columns = list(zip(*rows))
-        bucket = table.column("bucket")[0].as_py()
-        documents = sum(table.column("documents").to_pylist())
+    def ask(table):
+        own = Block(table.column("text").to_pylist(), order)
+        held = np.array(table.column("held_out").to_pylist(), bool)
+        taught = np.repeat(~held, own.tokens)
+        rows = [([], []) for _ in range(buckets)]
+        for n in range(1, order + 1):
+            keys, _, inverse = own.distinct(n)
+            counts = np.bincount(inverse, weights=taught, minlength=len(keys))
+            cuts = _cuts(keys, buckets)
+            for (grams, times), start, end in zip(rows, cuts, cuts[1:]):
+                grams.append(_planes(np.diff(keys[start:end], prepend=np.uint64(0))))
+                times.append(_planes(counts[start:end]))
+        binaries = pa.list_(pa.binary())
         return pa.table(
             {
-                "block": pa.array(columns[0], pa.int32()),
-                "bucket": pa.array([bucket] * many, pa.int32()),
-                "grams": pa.array(columns[1], pa.binary()),
-                "counts": pa.array(columns[2], pa.binary()),
+                "bucket": pa.array(range(buckets), pa.int32()),
+                "block": pa.array([table.column("block")[0].as_py()] * buckets, pa.int32()),
+                "grams": pa.array([r[0] for r in rows], binaries),
+                "counts": pa.array([r[1] for r in rows], binaries),
+                "documents": pa.array([int((~held).sum())] * buckets, pa.int64()),
+            }
+        )
+
+    def answer(table):
+        asking = table.column("block").to_pylist()
+        replies, known, tokens = [[] for _ in asking], 0, 0
+        for n in range(order):
+            asked = [np.cumsum(_numbers(g[n]), dtype=np.uint64) for g in table.column("grams")]
+            grams, inverse = np.unique(np.concatenate(asked), return_inverse=True)
+            given = np.concatenate([_numbers(c[n]) for c in table.column("counts")])
+            totals = np.bincount(inverse, weights=given, minlength=len(grams)).astype(np.uint64)
+            if n == 0:
+                known, tokens = int((totals > 0).sum()), int(totals.sum())
+            at = 0
+            for reply, own in zip(replies, asked):
+                reply.append(_planes(totals[inverse[at : at + len(own)]]))
+                at += len(own)
+        many = len(replies)
+        return pa.table(
+            {
+                "block": pa.array(asking, pa.int32()),
+                "bucket": pa.array([table.column("bucket")[0].as_py()] * many, pa.int32()),
+                "counts": pa.array(replies, pa.list_(pa.binary())),
                 "known": pa.array([known] * many, pa.int64()),
                 "tokens": pa.array([tokens] * many, pa.int64()),
-                "documents": pa.array([documents] * many, pa.int64()),
+                "documents": pa.array([sum(table.column("documents").to_pylist())] * many, pa.int64()),
             }
         )
 
-    def traverse(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        counts: dict[int, int] = {}
-        for g, c in zip(answers.column("grams"), answers.column("counts")):
-            counts.update(zip(np.frombuffer(g.as_buffer(), np.uint64).tolist(), np.frombuffer(c.as_buffer(), np.uint64).tolist()))
+    def traverse(texts, answers):
+        own = Block(texts.column("text").to_pylist(), order)
         tokens, known = (sum(answers.column(c).to_pylist()) for c in ("tokens", "known"))
-        documents = answers.column("documents")[0].as_py() if len(answers) else 0
-        for n in range(1, order):  # the context of a text's first token is met once per document
-            counts[int(_gram(np.full(n, START, np.uint64), n)[0])] = documents
-        model = Automaton(counts, tokens, known, documents, order, strength)
-        out = []
-        for text in texts.column("text"):
-            padded = np.array([START] * (order - 1) + symbols(text.as_py()), np.uint64)
-            places = len(padded) - order + 1
-            keys = np.stack([_gram(padded, n)[-places:] for n in range(1, order + 1)], axis=1)
-            contexts = np.stack([_gram(padded[:-1], n)[-places:] for n in range(1, order)], axis=1) if order > 1 else np.zeros((places, 0), np.uint64)
-            out.append((places, *model.score(keys, contexts)))
-        places, scores, bases, found = zip(*out) if out else ((), (), (), ())
+        replies = [c for _, c in sorted(zip(answers.column("bucket").to_pylist(), answers.column("counts")), key=lambda x: x[0])]
+        counts = [np.concatenate([_numbers(r[n]) for r in replies]).astype(float) for n in range(order)]
+        model = Automaton(own, counts, tokens, known, answers.column("documents")[0].as_py(), strength)
+        scores, bases, found = zip(*model.scores(own.tokens.tolist()))
         return pa.table(
             {
                 "doc_id": texts.column("doc_id"),
                 "held_out": texts.column("held_out"),
-                "n_tokens": pa.array(places, pa.int64()),
+                "n_tokens": pa.array(own.tokens, pa.int64()),
                 "n_known": pa.array(found, pa.int64()),
-                "train_tokens": pa.array([tokens] * len(out), pa.int64()),
+                "train_tokens": pa.array([tokens] * len(found), pa.int64()),
                 "base_score": pa.array(bases, pa.float64()),
                 "score": pa.array(scores, pa.float64()),
             }
@@ -231,5 +241,3 @@ def score_documents(
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(traverse, schema)
-
-
