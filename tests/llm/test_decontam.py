@@ -62,6 +62,7 @@ def test_clean_documents_stay_as_they_are(edge_docs, edge_rows, no_docs, spark):
 def test_large_benchmarks_are_joined_by_a_shuffle(spark, docs_of, monkeypatch):
     docs = docs_of(["so " + ITEM, "none"])
     monkeypatch.setattr(decontam, "SEED_BOUND", 1)
+    monkeypatch.setattr(decontam, "HIT_BOUND", 1)
     assert set(pairs(decontam.contaminated(docs, bench(spark, [ITEM])))) == {(0, 0)}
 
 

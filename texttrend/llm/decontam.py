@@ -11,26 +11,43 @@ from .common import filled, lower_ascii, packed, words_of
 # The masks. 1 must be equal, 0 may differ.
 MASKS = ("1101101011", "1110010111", "1011100111")
 WINDOW, SHARE = 13, 0.8
-SEED_BOUND = 200_000  # rows of seeds that are broadcast; more are joined by a shuffle
+PLACES = "array<struct<at:int,seed:bigint>>"
+# Rows of seeds and of hits that are broadcast (under 20 MB each); more are joined by a shuffle, which gives the same rows.
+SEED_BOUND, HIT_BOUND = 200_000, 200_000
 
 
 def words_column(text: Column) -> Column:
     return words_of(lower_ascii(text))
 
 
-def seeds(words: Column, length: Column, masks: tuple[str, ...] = MASKS) -> Column:
-    """Array of (position, seed): the hash of the unmasked words, for every position and mask."""
+def seeds(hashes: Column, length: Column, masks: tuple[str, ...] = MASKS) -> Column:
+    """Array of (position, seed): one hash of the unmasked words' hashes, for every position and mask."""
 
     def of(number: int, mask: str) -> Column:
         offsets = [i for i, c in enumerate(mask) if c == "1"]
-        hashed = lambda i: F.xxhash64(F.lit(number), *(F.get(words, i + o) for o in offsets))
         positions = F.sequence(F.lit(0), length - len(mask))
-        each = F.transform(positions, lambda i: F.struct(i.alias("at"), hashed(i).alias("seed")))
-        return F.when(length >= len(mask), each).otherwise(F.array().cast("array<struct<at:int,seed:bigint>>"))
+        each = F.transform(
+            positions, lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(number), *(F.get(hashes, i + o) for o in offsets)).alias("seed"))
+        )
+        return F.when(length >= len(mask), each).otherwise(F.array().cast(PLACES))
 
     return F.concat(*(of(n, m) for n, m in enumerate(masks)))
 
 
+def whole(hashes: Column) -> Column:
+    """The one seed of an item shorter than the masks."""
+    return F.xxhash64(F.lit("whole"), hashes)
+
+
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def found_by(side: DataFrame, bound: int) -> DataFrame:
+    """A stored table, to be broadcast if it has at most ``bound`` rows; else joins shuffle."""
+    return F.broadcast(side) if is_small(side, bound) else side
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -54,63 +71,58 @@ def contaminated(
     reported as often; an empty table on either side gives no rows; other
     columns are not read.
     """
-    words = words_column(F.col("_text"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.md5(filled(text_col).cast("binary")).alias("_key"), filled(text_col).alias("_text"))
-    items = benchmark.select(F.col(item_col).alias("item_id"), words_column(filled(item_text_col)).alias("_item")).where(F.size("_item") > 0)
-    least = min(map(len, masks))
-    item_seeds = items.select(
-        "item_id", "_item", F.explode(seeds(F.col("_item"), F.size("_item"), masks)).alias("s")
-    ).select("item_id", F.col("s.at").alias("_item_at"), F.col("s.seed").alias("_seed"))
-    short = items.where(F.size("_item") < least).select(
-        "item_id", F.lit(0).alias("_item_at"), F.xxhash64(F.lit("whole"), F.array_join("_item", " ")).alias("_seed"), F.size("_item").alias("_n")
+    items = benchmark.select(F.col(item_col).alias("item_id"), words_column(filled(item_text_col)).alias("_item"))
+    items = items.where(F.size("_item") > 0).withColumn("_own", word_hashes(F.col("_item")))
+    least, n = min(map(len, masks)), F.size("_item")
+    item_seeds = items.select("item_id", F.explode(seeds(F.col("_own"), n, masks)).alias("s")).select(
+        "item_id", F.col("s.at").alias("_item_at"), F.col("s.seed").alias("_seed"), F.lit(None).cast("int").alias("_n")
     )
-    table = store(item_seeds.withColumn("_n", F.lit(None).cast("int")).unionByName(short).distinct())
-    lengths = [r["_n"] for r in table.where("_n IS NOT NULL").select("_n").distinct().collect()]  # below the masks' length
+    short = items.where(n < least).select("item_id", F.lit(0).alias("_item_at"), whole(F.col("_own")).alias("_seed"), n.alias("_n"))
+    table = store(item_seeds.unionByName(short).distinct())
+    lengths = [r["_n"] for r in table.where("_n IS NOT NULL").select("_n").distinct().collect()]  # each below a mask's length
 
-    length = F.size("_words")
-    found = seeds(F.col("_words"), length, masks)
+    hashes, length = F.col("_hashes"), F.size("_hashes")
+    found = seeds(hashes, length, masks)
 
-    def shorter(n: int) -> Column:
+    def shorter(size: int) -> Column:
         each = F.transform(
-            F.sequence(F.lit(0), length - n),
-            lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit("whole"), F.array_join(F.slice("_words", i + 1, n), " ")).alias("seed")),
+            F.sequence(F.lit(0), length - size), lambda i: F.struct(i.alias("at"), whole(F.slice(hashes, i + 1, size)).alias("seed"))
         )
-        return F.when(length >= n, each).otherwise(F.array().cast("array<struct<at:int,seed:bigint>>"))
+        return F.when(length >= size, each).otherwise(F.array().cast(PLACES))
 
-    for n in lengths:
-        found = F.concat(found, shorter(n))
-    places = texts.select("_key", words.alias("_words")).select("_key", F.explode(found).alias("s"))
+    for size in lengths:
+        found = F.concat(found, shorter(size))
+    words = words_column(F.col("_text"))
+    places = texts.select("_key", word_hashes(words).alias("_hashes")).select("_key", F.explode(found).alias("s"))
     places = places.select("_key", F.col("s.at").alias("_at"), F.col("s.seed").alias("_seed"))
-    side = table.select("item_id", "_item_at", "_seed")
-    if is_small(side, SEED_BOUND):
-        side = F.broadcast(side)
-    hits = places.join(side, "_seed").select("_key", "item_id", (F.col("_at") - F.col("_item_at")).alias("start")).distinct()
-    hits = store(hits)
+    side = found_by(table.select("item_id", "_item_at", "_seed"), SEED_BOUND)
+    hits = store(places.join(side, "_seed").select("_key", "item_id", (F.col("_at") - F.col("_item_at")).alias("start")).distinct())
 
-    # The few texts with hits come back with their words and are compared along each diagonal.
+    # The texts with hits come back with their words and are compared along each diagonal.
+    few = is_small(hits, HIT_BOUND)
     hit_keys = hits.select("_key").distinct()
-    candidates = texts.join(hit_keys, "_key", "left_semi").dropDuplicates(["_key"]).select("_key", words.alias("_words"))
-    compared = hits.join(candidates, "_key").join(items.distinct(), "item_id")
+    candidates = texts.join(F.broadcast(hit_keys) if few else hit_keys, "_key", "left_semi").dropDuplicates(["_key"]).select("_key", words.alias("_words"))
+    compared = hits.join(candidates, "_key").join(items.select("item_id", "_item").distinct(), "item_id")
     equal = F.transform("_item", lambda w, i: F.coalesce(F.get("_words", i + F.col("start")) == w, F.lit(False)).cast("int"))
-    size = F.least(F.lit(window), F.size("_item"))
+    compared = compared.select("_key", "item_id", "start", equal.alias("_equal"), F.least(F.lit(window), F.size("_item")).alias("_size"))
     sums = F.transform(
         F.sequence(F.lit(1), F.size("_equal") - F.col("_size") + 1),
         lambda i: F.aggregate(F.slice("_equal", i, F.col("_size")), F.lit(0), lambda a, x: a + x),
     )
     verified = (
-        compared.select("_key", "item_id", "start", equal.alias("_equal"), size.alias("_size"))
-        .select("_key", "item_id", "start", F.array_max(sums).alias("matched"), F.col("_size").alias("compared"))
+        compared.select("_key", "item_id", "start", F.array_max(sums).alias("matched"), F.col("_size").alias("compared"))
         .where(F.col("matched") >= F.ceil(F.col("compared") * F.lit(share)))
         .groupBy("_key", "item_id")
-        .agg(F.max(F.struct("matched", -F.col("start"), "compared")).alias("b"))
-        .select("_key", "item_id", (-F.col("b.col2")).alias("start"), "b.matched", "b.compared")
+        .agg(F.max(F.struct("matched", (-F.col("start")).alias("back"), "compared")).alias("b"))
+        .select("_key", "item_id", (-F.col("b.back")).alias("start"), "b.matched", "b.compared")
     )
-    return texts.select("doc_id", "_key").join(verified, "_key").select("doc_id", "item_id", "start", "matched", "compared")
+    return texts.select("doc_id", "_key").join(F.broadcast(verified) if few else verified, "_key").select("doc_id", "item_id", "start", "matched", "compared")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without those that hold a benchmark passage; all columns kept, clean rows untouched."""
     key = F.md5(filled(text_col).cast("binary"))
     bad = contaminated(docs.select(key.alias("_key"), F.col(text_col).alias("_content")), benchmark, "_key", "_content", **options)
-    bad = bad.select(F.col("doc_id").alias("_key")).distinct()
-    return docs.select(packed(docs), key.alias("_key")).join(bad, "_key", "left_anti").select("_row.*")
+    bad = store(bad.select(F.col("doc_id").alias("_key")).distinct())
+    return docs.select(packed(docs), key.alias("_key")).join(found_by(bad, HIT_BOUND), "_key", "left_anti").select("_row.*")
