@@ -64,3 +64,11 @@ def test_doc_id_is_stable_and_distinct(frame):
     first = [r.doc_id for r in with_doc_id(df).orderBy("url", "published_at").collect()]
     again = [r.doc_id for r in with_doc_id(df.repartition(3)).orderBy("url", "published_at").collect()]
     assert first == again and len(set(first)) == 3
+
+
+def test_no_two_rows_share_an_id(frame):
+    rows = [("q", "", "", "a"), ("q", "", "", "b"), ("q", "", "", "b"), ("q", None, "", "b"), ("q", "", None, "c")]
+    df = frame(rows, "query string, url string, published_at string, title string")
+    ids = {(r.url, r.published_at, r.title, r.doc_id) for r in with_doc_id(df).collect()}
+    assert len(ids) == len({i[-1] for i in ids}) == 5
+    assert ids == {(r.url, r.published_at, r.title, r.doc_id) for r in with_doc_id(df.repartition(4)).collect()}

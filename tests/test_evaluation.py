@@ -8,6 +8,9 @@ from texttrend.operators import evaluation as e
 from texttrend.operators.evaluation import relevance
 
 
+JUDGED = "ranker string, query_id long, query string, rank int, rel double"
+
+
 def lists(frame, *rels):
     rows = [(q, i + 1, float(r)) for q, rel in enumerate(rels) for i, r in enumerate(rel)]
     return frame(rows, "query_id long, rank int, rel double")
@@ -50,12 +53,20 @@ def test_report_of_empty_list_is_zero(frame):
 
 
 def test_compare_rankers_adds_averages(frame):
-    rows = [("a", "x", 1, 1.0), ("a", "y", 1, 0.0), ("b", "x", 1, 0.0), ("b", "y", 1, 0.0)]
-    out = e.compare_rankers(frame(rows, "ranker string, query string, rank int, rel double")).collect()
+    rows = [("a", 1, "x", 1, 1.0), ("a", 2, "y", 1, 0.0), ("b", 1, "x", 1, 0.0), ("b", 2, "y", 1, 0.0)]
+    out = e.compare_rankers(frame(rows, JUDGED)).collect()
     assert {(r.ranker, r.query): r.mrr for r in out} == {
         ("a", "x"): 1, ("a", "y"): 0, ("a", None): 0.5, ("b", "x"): 0, ("b", "y"): 0, ("b", None): 0}
 
 
+def test_queries_with_one_text_stay_two_and_those_without_rows_count(frame):
+    rows = [("a", 1, "x", 1, 1.0), ("a", 2, "x", 1, 0.0), ("b", 1, "x", 1, 1.0)]
+    asked = frame([(1, "x"), (2, "x"), (3, "z")], "query_id long, query string")
+    out = {(r.ranker, r.query_id): (r.mrr, r.precision_at_k) for r in e.compare_rankers(frame(rows, JUDGED), queries=asked).collect()}
+    assert out[("a", 1)] == (1, 1) and out[("a", 2)] == (0, 0) and out[("a", 3)] == (0, 0)
+    assert out[("b", 2)] == (0, 0) and out[("a", None)][0] == pytest.approx(1 / 3) and len(out) == 8
+
+
 def test_relevance(frame):
     rows = [("news", "", 1.0), ("News", "FAKE NEWS", 1.0), ("fake news", "news", 1.0), ("a", "b", 0.0), ("a", None, 1.0)]
     df = frame(rows, "q string, a string, want double")

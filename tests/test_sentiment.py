@@ -87,3 +87,39 @@ def test_model_without_its_library_fails(frame):
 
     with pytest.raises(Exception, match="a_library_that_is_not_there"):
         annotate_with_model(frame([(1, "x")], "doc_id long, text string"), factory).collect()
+
+
+def test_one_result_for_any_lexicon_size_with_repeated_ids(spark, frame, monkeypatch):
+    rows = [(1, 0, "the best license"), (1, 1, "not best"), (1, 1, "best best"), (2, 0, ""), (2, 0, None), (None, 0, "very best"), (3, None, "plain")]
+    docs = frame(rows, "conv_id long, turn long, text string")
+    lexicon = views.lexicon(spark)
+    found = []
+    for small in (True, False):
+        monkeypatch.setattr(sentiment, "is_small", lambda df: small)
+        scores = sentiment.lexicon_scores(docs, lexicon, keep=["turn"], id_col="conv_id").collect()
+        found.append(sorted(map(tuple, scores), key=str))
+    assert found[0] == found[1] and len(found[0]) == 5
+
+
+def test_model_that_cannot_be_built_scores_zero(frame):
+    def factory():
+        raise OSError("no weights")
+
+    row = annotate_with_model(frame([(1, "x"), (2, "")], "doc_id long, text string"), factory).orderBy("doc_id").collect()
+    assert row[0].sentiment == 0.0 and "no weights" in row[0].error and row[1].error is None
+
+
+def test_model_is_loaded_once_per_worker(spark, tmp_path):
+    path = str(tmp_path / "loads")
+
+    def factory():
+        import os
+
+        with open(path, "a") as log:
+            log.write(f"{os.getpid()}\n")
+        return lambda texts: [("POSITIVE", 0.5)] * len(texts)
+
+    docs = spark.range(0, 60, 1, 30).selectExpr("id AS doc_id", "'x' AS text")
+    assert annotate_with_model(docs, factory).where("sentiment = 0.5").count() == 60
+    loads = open(path).read().split()
+    assert len(loads) == len(set(loads)) < 30

@@ -1,5 +1,5 @@
 from texttrend.schemas import LEXICON
-from texttrend.session import is_small, shared_folder, small_table, spread, store
+from texttrend.session import is_small, shared_folder, small_table, store
 
 
 def test_store_cuts_lineage_and_keeps_rows(spark, tmp_path):
@@ -16,9 +16,3 @@ def test_small_tables_have_a_known_size(spark):
     assert "LocalRelation" in df._jdf.queryExecution().optimizedPlan().toString()
     assert df.first().term == "a" and small_table(spark, [], LEXICON).isEmpty()
     assert is_small(df, 1) and not is_small(spark.range(5), 4)
-
-
-def test_spread_leaves_well_split_inputs_alone(spark):
-    wide = spark.range(0, 100, 1, numPartitions=spark.sparkContext.defaultParallelism)
-    assert spread(wide, "id") is wide
-    assert spread(wide.coalesce(1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

@@ -56,6 +56,13 @@ def test_rejects_and_hits(spark, landed):
     strict, _ = src.split_pages(pages, on_error="fail")
     with pytest.raises(Exception, match="search response status"):
         strict.collect()
+    for look in (lambda df: df.count(), lambda df: df.select("query").collect()):
+        with pytest.raises(Exception, match="search response status"):
+            look(strict)
+    with pytest.raises(Exception, match="search response status"):
+        src.flatten_pages(pages, on_error="fail").select("query").collect()
+    with pytest.raises(Exception, match="search response status"):
+        src.total_hits(pages, on_error="fail").count()
     with pytest.raises(Exception):
         src.read_pages(spark, landed, on_error="fail").collect()
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import article_text, may_clean_to_nothing
@@ -12,10 +12,25 @@ from ..functions.text import article_text, may_clean_to_nothing
 FIELDS = ("title", "description", "content")
 
 
-def with_doc_id(articles: DataFrame, keys: Sequence[str] = ("query", "url", "published_at")) -> DataFrame:
-    """Add ``doc_id``, a digest of the business key; stable across runs and plans."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    return articles.withColumn("doc_id", F.md5(F.concat_ws("\x1f", *parts)))
+def with_doc_id(articles: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """Add ``doc_id``, a digest; stable across runs and plans.
+
+    By default of all columns and of a row's number among equal rows, so no two
+    rows share an id. Equal rows are counted before the shuffle and numbered
+    from their count: many copies of one article are one row per task. Given
+    ``keys`` must be unique themselves; then nothing is shuffled.
+    """
+
+    def digest(columns: Sequence[str], *more) -> Column:
+        parts = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("")) for c in columns]
+        return F.md5(F.concat_ws("\x1f", *parts, *more))
+
+    if keys is not None:
+        return articles.withColumn("doc_id", digest(keys))
+    columns = articles.columns
+    counted = articles.groupBy(*(f"`{c}`" for c in columns)).agg(F.count(F.lit(1)).alias("_copies"))
+    numbered = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return numbered.select(*(f"`{c}`" for c in columns), digest(columns, F.col("_copy").cast("string")).alias("doc_id"))
 
 
 def build_corpus(articles: DataFrame) -> DataFrame:

@@ -123,11 +123,22 @@ def macro_average(report: DataFrame, by: Sequence[str] = ("ranker",)) -> DataFra
     return report.groupBy(*by).agg(*[F.avg(m).alias(m) for m in METRICS[:-1]])
 
 
-def compare_rankers(judged: DataFrame, k: int = 10) -> DataFrame:
-    """Per-query rows and one average row (NULL query) for each ranker."""
-    report = evaluate_ranking(judged, k, keys=["ranker", "query"])
+def compare_rankers(judged: DataFrame, k: int = 10, queries: DataFrame | None = None) -> DataFrame:
+    """Per-query rows and one average row (NULL query_id and query) for each ranker.
+
+    Queries are told apart by ``query_id``; two with the same text stay two.
+    Those of ``queries`` (query_id, query) for which a ranker found nothing
+    count as zeros.
+    """
+    keys = ["ranker", "query_id", "query"]
+    asked = None
+    if queries is not None:
+        # One row per ranker and query: an array of the few rankers exploded, not a join.
+        rankers = judged.agg(F.collect_set("ranker").alias("r")).scalar()
+        asked = queries.select(F.explode(rankers).alias("ranker"), "query_id", "query")
+    report = evaluate_ranking(judged, k, keys=keys, queries=asked)
     # Both levels in one pass; a union would evaluate the report twice.
-    levels = report.groupingSets([["ranker", "query"], ["ranker"]], "ranker", "query")
+    levels = report.groupingSets([keys, ["ranker"]], *keys)
     return levels.agg(*[F.avg(m).alias(m) for m in METRICS[:-1]])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -16,16 +17,31 @@ PREDICTION = "label string, score double, error string"
 def _prediction_udf(predictor_factory: Callable):
     """UDF from text batches to (label, score, error).
 
-    ``predictor_factory()`` runs once per task and returns a function from a
-    list of texts to a list of (label, score). A missing library is raised; any
-    other failure is retried text by text and recorded in ``error``. Defined
-    inside a function so that workers need not import this package.
+    ``predictor_factory()`` runs once per worker process and returns a function
+    from a list of texts to a list of (label, score). A missing library is
+    raised. A factory that fails otherwise gives every text that error; a failure
+    on texts is retried text by text and recorded in ``error``. Defined inside a
+    function so that workers need not import this package.
     """
+    from pyspark import cloudpickle
+
+    key = hashlib.sha256(cloudpickle.dumps(predictor_factory)).hexdigest()
 
     def predict(batches):
+        import sys
+
         import pandas as pd
 
-        predictor = predictor_factory()
+        # Workers are used for many tasks; what belongs to the process is kept beside its modules.
+        loaded = sys.__dict__.setdefault("_texttrend_predictors", {})
+        if key not in loaded:
+            try:
+                loaded[key] = predictor_factory(), None
+            except ImportError:
+                raise
+            except Exception as exc:
+                loaded[key] = None, f"{type(exc).__name__}: {exc}"
+        predictor, broken = loaded[key]
 
         def one(text):
             try:
@@ -50,7 +66,8 @@ def _prediction_udf(predictor_factory: Callable):
         for series in batches:
             rows = [(None, None, None)] * len(series)
             asked = [i for i, text in enumerate(series) if text is not None and text.strip()]
-            for i, row in zip(asked, batch([series.iloc[i] for i in asked]) if asked else []):
+            found = [(None, None, broken)] * len(asked) if broken else batch([series.iloc[i] for i in asked]) if asked else []
+            for i, row in zip(asked, found):
                 rows[i] = row
             yield pd.DataFrame(rows, columns=["label", "score", "error"])
 

@@ -18,6 +18,10 @@ HARD_MAX_PAGES = 100
 DAILY_LIMIT = 5000
 
 
+def is_blank(key: str) -> Column:
+    return F.trim(F.coalesce(F.col(key).cast("string"), F.lit(""))) == ""
+
+
 def page_cap(page_size: int | None = None, max_pages: int | None = None) -> int:
     """Most rows one search returns: the page size, bounded by the pages read."""
     pages = DEFAULT_MAX_PAGES if max_pages is None else max_pages
@@ -55,7 +59,8 @@ def search_articles(
 ) -> DataFrame:
     """Articles matching each query within each date range, days inclusive.
 
-    A query matches when all its words occur in the text. Both conditions are
+    A query matches when all its words occur in the text, one without words
+    never; a query listed twice is searched twice. Both conditions are
     decided inside the article's own row: the month follows from the date, and
     the query list is part of the plan. Nothing is joined or shuffled, and the
     date range is filtered at the scan when ``time_col`` is a timestamp.
@@ -65,7 +70,7 @@ def search_articles(
     # Compared as instants, which Parquet can filter on; a date cast it cannot.
     in_range = (ts >= lo) & (ts < F.date_add(hi, 1))
     wanted = F.array(
-        *[F.struct(F.lit(q).alias("query"), tokenize(F.lit(q)).alias("words")) for q in dict.fromkeys(queries)]
+        *[F.struct(F.lit(q).alias("query"), tokenize(F.lit(q)).alias("words")) for q in queries]
     )
     keep = [c for c in articles.columns if c != "query"]
     # Through a one-element array, or the tokenizer would run for every word compared.
@@ -73,7 +78,8 @@ def search_articles(
         F.transform(
             F.array(tokenize(text)),
             lambda tokens: F.filter(
-                wanted, lambda q: F.forall(q["words"], lambda word: F.array_contains(tokens, word))
+                wanted,
+                lambda q: (F.size(q["words"]) > 0) & F.forall(q["words"], lambda word: F.array_contains(tokens, word)),
             ),
         ),
         F.lit(0),
@@ -120,12 +126,12 @@ def append_searches(first: DataFrame, *rest: DataFrame) -> DataFrame:
 def dedup_articles(
     articles: DataFrame, key: str = "url", time_col: str = "published_at", id_col: str = "doc_id"
 ) -> DataFrame:
-    """One row per ``key``: the earliest, then the lowest id. Rows without a key stay.
+    """One row per ``key``: the earliest, then the lowest id. Rows whose key is missing or blank stay.
 
     Each task keeps one row per key before the shuffle, so a URL shared by a
     third of all rows costs one row per task.
     """
-    unkeyed = F.when(F.col(key).isNull(), F.col(id_col))
+    unkeyed = F.when(is_blank(key), F.col(id_col))
     order = [parsed_time(articles, time_col).asc_nulls_last(), F.col(id_col).asc()]
     kept = top_n(articles.withColumn("_unkeyed", unkeyed), [key, "_unkeyed"], order, 1, rank_col="_rank")
     return kept.drop("_unkeyed", "_rank")

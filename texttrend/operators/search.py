@@ -151,7 +151,7 @@ def tfidf_search(
         products = join_terms(tfidf_weights(index, **vocabulary_options), vectors, small=False)
         scores = products.groupBy("query_id", id_col).agg(F.sum(F.col("weight") * F.col("_wq")).alias("score"))
     if not fill_zero:
-        return _top_k(_matches_only(scores), id_col, k)
+        return _top_k(_checked(_matches_only(scores), idf), id_col, k)
     # Cosines are not negative: zeros can only follow when fewer than k match,
     # and then all matches are in the first ranking.
     best = top_n(scores, ["query_id"], _ordered(id_col), k, slice_by=[id_col]).drop("rank")
@@ -190,10 +190,15 @@ def _cosines_of_batch(index: TermIndex, batch: _QueryBatch, idf: DataFrame, vect
 
 
 def _checked(rows: DataFrame, idf: DataFrame) -> DataFrame:
-    """Raise at run time when pruning left no terms at all."""
+    """``rows``; raises at run time when pruning left no terms at all.
+
+    The check filters a row of its own, so neither an empty result nor a
+    selection of columns skips it.
+    """
     n_terms = idf.agg(F.count(F.lit(1))).scalar()
     failed = F.raise_error(F.lit("no terms remain after stop words and document-frequency pruning"))
-    return rows.withColumn("score", F.when(n_terms == 0, failed.cast("double")).otherwise(F.col("score")))
+    guard = rows.sparkSession.range(1).filter(F.when(n_terms == 0, failed.cast("boolean")).otherwise(F.lit(False)))
+    return rows.unionByName(guard.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema)))
 
 
 RANKERS = {"tfidf": tfidf_search, "bm25": bm25_search}

@@ -30,7 +30,9 @@ def lexicon_scores(
     meet it where the text is read and are averaged before the only shuffle, of
     one narrow row per document. Pass in ``keep`` the few columns later steps
     need and no join back to the articles is needed. A larger lexicon is
-    shuffled by word instead, dropping words without an entry on the way.
+    shuffled by word instead, dropping words without an entry on the way. Either
+    way rows are grouped by ``id_col`` and ``keep`` together, so both give the
+    same rows, also where ids repeat.
     """
     small = is_small(lexicon)
     sized = F.broadcast if small else (lambda df: df)
@@ -55,7 +57,9 @@ def lexicon_scores(
     if small:
         hits = words.join(sized(polar), "term", "left").filter("_p IS NOT NULL OR term IS NULL")
     else:
-        hits = words.join(polar, "term")
+        # Inner, so that words without an entry are not shuffled on; the leading NULLs come past the join.
+        leads = words.filter("term IS NULL").withColumn("_p", F.lit(None).cast("double"))
+        hits = words.filter("term IS NOT NULL").join(polar, "term").unionByName(leads)
     scored = hits.join(sized(before), "_w1", "left").join(sized(earlier), "_w2", "left")
     scale, p = F.col("_scale"), F.col("_p")
     # "least" and "greatest" pass over NULLs, so rows without a polarity are kept out of them.
@@ -65,11 +69,7 @@ def lexicon_scores(
     negated = F.coalesce("_neg1", F.lit(False)) | (F.coalesce(skipped, F.lit(False)) & F.col("_neg2").isNotNull())
     value = F.when(negated, scaled * NEGATION_FACTOR).otherwise(scaled)
     mean = F.coalesce(F.round(F.avg(value), SCORE_DIGITS), F.lit(0.0)).alias("sentiment")
-    if small:
-        return scored.groupBy(id_col, *keep).agg(mean)
-    means = scored.groupBy(id_col).agg(mean)
-    everyone = corpus.select(id_col, *keep).join(means, id_col, "left")
-    return everyone.withColumn("sentiment", F.coalesce("sentiment", F.lit(0.0)))
+    return scored.groupBy(id_col, *keep).agg(mean)
 
 
 def annotate_sentiment(corpus: DataFrame, lexicon: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators.index import fit_terms
 from ..operators.retrieval import oldest_first, search_articles
 from ..operators.search import TOP_K, rank_all
 from ..operators.sentiment import annotate
-from ..operators.trends import TREND_END, TREND_START, sentiment_distribution, sentiment_trend
+from ..operators.trends import TREND_END, TREND_START, sentiment_distribution, sentiment_trend, split_unparsed
 from ..schemas import ARTICLE_COLUMNS
 from ..session import small_table, store
 from ..sources.sinks import assert_not_empty, write_run
@@ -30,6 +30,7 @@ class Analysis:
     distribution: DataFrame
     ranking: DataFrame
     trend: DataFrame
+    time_rejects: DataFrame  # articles whose time cannot be read, and so are in no trend
 
 
 def collect_articles(
@@ -73,6 +74,7 @@ def run_analysis(
         corpus_path,
         stored,
         sentiment_distribution(stored),
-        compare_rankers(judge(store(rank_all(index, queries, k)), stored, asked), k),
+        compare_rankers(judge(store(rank_all(index, queries, k)), stored, asked), k, asked),
         sentiment_trend(stored),
+        split_unparsed(stored)[1],
     )

@@ -164,6 +164,14 @@ def dedup(spark, folder):
     return retrieval.dedup_articles(_articles(spark, folder)).select("doc_id", "url", "published_at")
 
 
+@query
+def dedup_blank_urls(spark, folder):
+    """German articles have no URL, Spanish ones a blank one: none of these may go."""
+    url = F.when(F.col("query") == "es", F.lit(" ")).when(F.col("query") != "de", F.col("url"))
+    articles = _articles(spark, folder).withColumn("url", url)
+    return retrieval.dedup_articles(articles).select("doc_id", "url", "published_at")
+
+
 # ---- corpus ---------------------------------------------------------------------------
 
 
@@ -335,17 +343,21 @@ def bm25_benchmark(spark, folder):
     return _rounded(search.bm25_search(_index(spark, folder), _benchmark_queries(spark, folder)))
 
 
+def _compared(spark):
+    return small_table(spark, list(enumerate(COMPARE_QUERIES)), "query_id long, query string")
+
+
 def _judged(spark, folder):
     stored = store(index.with_tokens(_corpus(spark, folder)).select("doc_id", "query", "tokens"))
-    asked = small_table(spark, list(enumerate(COMPARE_QUERIES)), "query_id long, query string")
+    asked = _compared(spark)
     results = store(search.rank_all(index.fit_terms(stored), COMPARE_QUERIES))
     return evaluation.judge(results, stored, asked)
 
 
 @query
 def rank_compare(spark, folder):
-    report = evaluation.compare_rankers(_judged(spark, folder))
-    named = report.withColumn("query", F.coalesce("query", F.lit("(average)")))
+    report = evaluation.compare_rankers(_judged(spark, folder), queries=_compared(spark))
+    named = report.drop("query_id").withColumn("query", F.coalesce("query", F.lit("(average)")))
     return named.withColumns({m: r6(m) for m in evaluation.METRICS[:-1]})
 
 
@@ -435,6 +447,14 @@ def parse_time(spark, folder):
     return usable.select("doc_id", F.date_format(parsed, "yyyy-MM-dd HH:mm:ss").alias("ts"))
 
 
+@query
+def time_rejects(spark, folder):
+    """Articles whose time cannot be read: here those not in English, which get a month 13."""
+    time = F.when(F.col("query") != "en", F.regexp_replace("published_at", "-[0-9]{2}-", "-13-")).otherwise(F.col("published_at"))
+    _, rejected = trends.split_unparsed(_articles(spark, folder).withColumn("published_at", time))
+    return rejected.select("doc_id", "published_at")
+
+
 @query
 def time_filter(spark, folder):
     orders = trends.time_filter(views.table(spark, folder, "orders"), "o_orderdate", "1996-01-01", "1998-12-31")

@@ -300,6 +300,10 @@ SELECT doc_id, query, range_start, range_end, published_at FROM found""",
 FROM events QUALIFY request_no <= {catalog.QUOTA}""",
     "dedup": f"""WITH {ARTICLES} SELECT doc_id, url, published_at FROM articles
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY ts, doc_id) = 1""",
+    "dedup_blank_urls": f"""WITH {ARTICLES},
+u AS (SELECT doc_id, published_at, ts, CASE WHEN query = 'es' THEN ' ' WHEN query <> 'de' THEN url END AS url FROM articles)
+SELECT doc_id, url, published_at FROM u
+QUALIFY row_number() OVER (PARTITION BY url, CASE WHEN trim(coalesce(url, '')) = '' THEN doc_id END ORDER BY ts, doc_id) = 1""",
     "build_corpus": f"WITH {CORPUS} SELECT doc_id, title, description, text FROM corpus",
     "clean_text": f"""SELECT page_id, {_clean("url || ' ' || html")} AS text FROM pages""",
     "lexicon_polarity": f"""WITH {_scores("documents")}
@@ -374,6 +378,8 @@ FROM counts""",
         "lineitem", "l_returnflag, l_linestatus", "(l_tax - l_discount)", low=-0.025, high=0.025
     ),
     "parse_time": f"WITH {ARTICLES} SELECT doc_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM articles",
+    "time_rejects": f"""WITH {ARTICLES}
+SELECT doc_id, regexp_replace(published_at, '-[0-9]{{2}}-', '-13-') AS published_at FROM articles WHERE query <> 'en'""",
     "time_filter": """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
 WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-12-31'""",
     "monthly_trend": f"WITH {ARTICLE_SCORES} "

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LEXICON, SEARCH_PAGE
-from ..session import small_table, spread
+from ..session import small_table
 
 # Terms that occur in the given documents, with made-up polarities.
 SAMPLE_LEXICON = (
@@ -28,7 +28,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents"), "doc_id")
+    return table(spark, folder, "documents")
 
 
 def lexicon(spark: SparkSession, rows=SAMPLE_LEXICON) -> DataFrame:
@@ -78,7 +78,7 @@ def response_pages(events: DataFrame) -> DataFrame:
             F.struct(k.alias("hits")).alias("meta"),
         ).alias("response"),
     )
-    landed = spread(events, "event_id").select("event_id", F.to_json(body).alias("line"))
+    landed = events.select("event_id", F.to_json(body).alias("line"))
     return landed.select("event_id", F.from_json("line", SEARCH_PAGE).alias("p")).select("event_id", "p.*")
 
 

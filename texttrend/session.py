@@ -14,8 +14,6 @@ _RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Lets each task trim to the daily quota (5,000) before the shuffle, too.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
 
 
@@ -90,16 +88,3 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | s
 def is_small(df: DataFrame, rows: int = 200_000) -> bool:
     """Whether ``df`` has at most ``rows`` rows; counts no further than that."""
     return df.limit(rows + 1).count() <= rows
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition by ``keys`` when the scan has fewer splits than there are cores.
-
-    That happens only when the input is smaller than cores x split size (one
-    file with one row group, say), so the rows moved are bounded by the cluster
-    and not by the data. Larger inputs are returned untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

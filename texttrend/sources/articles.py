@@ -38,21 +38,23 @@ def read_pages(spark: SparkSession, path: str, on_error: str = "skip") -> DataFr
 
 
 def split_pages(pages: DataFrame, on_error: str = "skip") -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) pages by response status; ``"fail"`` raises on a reject."""
+    """(accepted, rejected) pages by response status; ``"fail"`` raises on a reject.
+
+    The check is a filter, so no selection of columns and no count skips it.
+    """
     ok = F.coalesce(F.col("status") == STATUS_OK, F.lit(False))
     if on_error == "fail":
         message = F.concat(F.lit("search response status: "), F.coalesce("status", F.lit("missing")))
-        checked = F.when(ok, F.col("status")).otherwise(F.raise_error(message).cast("string"))
-        return pages.withColumn("status", checked), pages.filter(F.lit(False))
+        return pages.filter(F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))), pages.filter(F.lit(False))
     return pages.filter(ok), pages.filter(~ok)
 
 
-def flatten_pages(pages: DataFrame, source: str = SOURCE_NAME, keep: tuple[str, ...] = ()) -> DataFrame:
+def flatten_pages(pages: DataFrame, source: str = SOURCE_NAME, keep: tuple[str, ...] = (), on_error: str = "skip") -> DataFrame:
     """One article row per document of the accepted pages; missing fields become ''.
 
     The snippet serves as description and content. Pages without documents give no rows.
     """
-    accepted, _ = split_pages(pages)
+    accepted, _ = split_pages(pages, on_error)
     docs = accepted.select("query", *keep, F.explode("response.docs").alias("d"))
 
     def text(path: str):
@@ -71,9 +73,9 @@ def flatten_pages(pages: DataFrame, source: str = SOURCE_NAME, keep: tuple[str,
     return docs.select(*keep, *[fields[name].alias(name) for name in ARTICLE_COLUMNS])
 
 
-def total_hits(pages: DataFrame, keys: tuple[str, ...] = ("query", "range_start")) -> DataFrame:
+def total_hits(pages: DataFrame, keys: tuple[str, ...] = ("query", "range_start"), on_error: str = "skip") -> DataFrame:
     """Hits reported by the first page of each search, 0 when it reports none."""
-    accepted, _ = split_pages(pages)
+    accepted, _ = split_pages(pages, on_error)
     hits = F.coalesce(F.col("response.meta.hits"), F.lit(0))
     first_page = accepted.filter(F.col("page") == 0)
     return first_page.groupBy(*keys).agg(F.max(hits).alias("total_hits"))

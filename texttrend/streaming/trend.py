@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_label, parsed_time
 from ..functions.labels import drop_nan
+from ..operators.retrieval import is_blank
 
 
 def _timed(stream: DataFrame, time_col: str, delay: str) -> DataFrame:
@@ -38,5 +39,10 @@ def monthly_means(days: DataFrame) -> DataFrame:
 def dedup_stream(
     stream: DataFrame, key: str = "url", time_col: str = "published_at", delay: str = "2 days"
 ) -> DataFrame:
-    """The first arrival of each ``key`` within ``delay``; state older than that is dropped."""
-    return _timed(stream, time_col, delay).dropDuplicatesWithinWatermark([key]).drop("_ts")
+    """The first arrival of each ``key`` within ``delay``; state older than that is dropped.
+
+    Rows whose key is missing or blank pass through, as in the batch version.
+    """
+    timed = _timed(stream, time_col, delay)
+    once = timed.filter(~is_blank(key)).dropDuplicatesWithinWatermark([key])
+    return once.unionByName(timed.filter(is_blank(key))).drop("_ts")
