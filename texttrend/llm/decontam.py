@@ -67,9 +67,9 @@ def contaminated(
     in place. ``matched`` is the best such count, ``start`` the word of the
     document where the item would begin. Items shorter than a mask are found by
     their whole sequence at any place. Items or documents without words never
-    match; NULL texts are empty; rows that repeat a document or an item are
-    reported as often; an empty table on either side gives no rows; other
-    columns are not read.
+    match; NULL texts are empty; rows that repeat a document are reported as
+    often, a repeated item counts once; an empty table on either side gives no
+    rows; other columns are not read.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.md5(filled(text_col).cast("binary")).alias("_key"), filled(text_col).alias("_text"))
     items = benchmark.select(F.col(item_col).alias("item_id"), words_column(filled(item_text_col)).alias("_item"))
