@@ -1,5 +1,7 @@
 """What the physical plans must and must not contain."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ def test_documents_are_scored_where_they_are_read(spark, folder):
 
 
 def test_postings_are_never_the_broadcast_side(spark, folder):
-    index = ix.fit_terms(views.table(spark, folder, "documents"))
+    index = ix.fit_index(views.table(spark, folder, "documents"))
     for run in search.RANKERS.values():
         for line in plan(run(index, ["license", "best no"])).splitlines():
             assert not ("BroadcastHashJoin" in line and "BuildLeft" in line and "_run" in line)
@@ -38,12 +40,32 @@ def test_postings_are_never_the_broadcast_side(spark, folder):
 
 
 def test_top_k_is_trimmed_before_the_shuffle(spark, folder):
-    index = ix.fit_terms(views.table(spark, folder, "documents"))
+    index = ix.fit_index(views.table(spark, folder, "documents"))
     assert "WindowGroupLimit" in plan(search.bm25_search(index, ["license"]))
     articles = views.articles(views.table(spark, folder, "documents"))
     assert "WindowGroupLimit" in plan(retrieval.dedup_articles(articles))
 
 
+@pytest.mark.parametrize("name", ["tfidf", "bm25"])
+def test_searches_read_their_words_and_shuffle_only_the_best(spark, folder, name):
+    index = ix.fit_index(views.table(spark, folder, "documents"))
+    text = plan(search.RANKERS[name](index, ["license", "best no"], fill_zero=False))
+    scan = next(line for line in text.splitlines() if "FileScan" in line and "texttrend_postings" in line)
+    assert "Bucketed: true" in scan and "PartitionFilters: [part#" in scan and "Exchange hashpartitioning(query_id" in text
+    assert ", doc_id" not in "".join(re.findall(r"Exchange hashpartitioning\(([^)]*)", text))
+    assert "tokens" not in text
+
+
+def test_zero_filling_never_lists_all_documents_for_each_query(spark):
+    rows = [(i, "a b") for i in range(9)] + [(9, "c")]
+    index = ix.fit_index(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert index.mean_idf < 0
+    text = plan(search.bm25_search(index, ["a", "c"]))
+    for line in text.splitlines():
+        assert not ("Generate explode" in line and "doc_id" in line)
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
 def test_retrieval_does_not_shuffle_and_filters_at_the_scan(spark, folder):
     events = views.table(spark, folder, "events")
     found = retrieval.search_articles(

@@ -40,7 +40,7 @@ def test_distribution_and_trend(sample):
 
 
 def test_search_and_metrics(spark, sample):
-    index = ix.fit_terms(sample)
+    index = ix.fit_index(sample)
     assert (index.n_tokens, index.average_length, index.n_terms) == (1978, 49.45, 630)
     assert index.mean_idf == pytest.approx(3.0604550685)
     assert ix.vocabulary(index).count() == 80

@@ -78,7 +78,7 @@ def docs():
 
 @pytest.fixture(scope="module")
 def index(spark, docs):
-    return ix.fit_terms(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    return ix.fit_index(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
 
 
 @pytest.mark.parametrize("name, brute", [("bm25", brute_bm25), ("tfidf", brute_tfidf)])
@@ -94,7 +94,7 @@ def test_against_brute_force(spark, docs, index, name, brute, as_table):
 
 def test_same_result_when_nothing_is_small_enough_to_broadcast(index, monkeypatch):
     plain = [ranked(search.RANKERS[n](index, QUERIES, k=8)) for n in ("bm25", "tfidf")]
-    monkeypatch.setattr(search, "BROADCAST_TERMS", -1)
+    monkeypatch.setattr(search, "BROADCAST_BYTES", -1)
     again = [ranked(search.RANKERS[n](index, QUERIES, k=8)) for n in ("bm25", "tfidf")]
     for a, b in zip(plain, again):
         assert a.keys() == b.keys()
@@ -112,14 +112,14 @@ def test_matches_only(docs, index):
 
 def test_fewer_documents_than_k_and_negative_floor(spark):
     docs = {1: "a b", 2: "a b", 3: "a b c", 4: "d", 5: "a"}
-    index = ix.fit_terms(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    index = ix.fit_index(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
     for k in (1, 2, 10):
         got = ranked(search.bm25_search(index, ["a", "a b", "q"], k=k))
         for i, q in enumerate(["a", "a b", "q"]):
             assert [d for d, _ in got[i]] == [d for d, _ in top(brute_bm25(docs, q), k)]
     # Nearly every term in most documents: the mean idf, and so the floor, is negative.
     docs = {i: "a b" for i in range(9)} | {9: "c"}
-    index = ix.fit_terms(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    index = ix.fit_index(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
     assert index.mean_idf < 0
     got = ranked(search.bm25_search(index, ["a", "a c"], k=3))
     for i, q in enumerate(["a", "a c"]):
@@ -150,7 +150,7 @@ def test_weights_have_unit_length(index):
 
 
 def test_empty_vocabulary_fails(spark):
-    index = ix.fit_terms(spark.createDataFrame([(1, "the of"), (2, "and")], "doc_id long, text string"))
+    index = ix.fit_index(spark.createDataFrame([(1, "the of"), (2, "and")], "doc_id long, text string"))
     with pytest.raises(Exception, match="no terms remain"):
         search.tfidf_search(index, ["the"]).collect()
 
@@ -158,12 +158,37 @@ def test_empty_vocabulary_fails(spark):
 def test_stored_statistics_can_be_loaded(spark, docs, tmp_path):
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     path = str(tmp_path / "terms")
-    fitted = ranked(search.bm25_search(ix.fit_terms(df, path=path), QUERIES))
-    assert ranked(search.bm25_search(ix.load_terms(df, path), QUERIES)) == fitted
+    fitted = ix.fit_index(df, path=path, min_df=1)
+    loaded = ix.load_index(spark, path)
+    for run in search.RANKERS.values():
+        assert ranked(run(loaded, QUERIES)) == ranked(run(fitted, QUERIES))
+    assert ix.load_terms(df, f"{path}/statistics").n_terms == fitted.n_terms
 
 
 def test_text_keys(spark, docs):
     """Document keys need not be numbers."""
     df = spark.createDataFrame([(f"{i:03d}", t) for i, t in docs.items()], "doc_id string, text string")
-    got = ranked(search.tfidf_search(ix.fit_terms(df), ["w0 w1"], k=5))[0]
+    got = ranked(search.tfidf_search(ix.fit_index(df), ["w0 w1"], k=5))[0]
     assert [int(d) for d, _ in got] == [d for d, _ in top(brute_tfidf(docs, "w0 w1"), 5)]
+
+
+def test_repeated_ids_are_refused(spark):
+    with pytest.raises(ValueError, match="repeats"):
+        ix.fit_index(spark.createDataFrame([(1, "a"), (1, "b")], "doc_id long, text string"))
+
+
+def test_empty_corpus(spark):
+    index = ix.fit_index(spark.createDataFrame([], "doc_id long, text string"))
+    assert search.bm25_search(index, ["a"]).count() == 0
+
+
+@pytest.mark.parametrize("slice_docs", [3, 1_000_000])
+def test_unmatched_documents_fill_up_between_negative_scores(spark, monkeypatch, slice_docs):
+    monkeypatch.setattr(search, "SLICE_DOCS", slice_docs)
+    rng = random.Random(slice_docs)
+    docs = {i: " ".join(w for w in ("a", "b", "c") if rng.random() < 0.8) for i in range(25)}
+    index = ix.fit_index(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    assert index.mean_idf < 0
+    got = ranked(search.bm25_search(index, ["a", "b c", "a b c", "z"], k=6))
+    for i, q in enumerate(["a", "b c", "a b c", "z"]):
+        assert [d for d, _ in got[i]] == [d for d, _ in top(brute_bm25(docs, q), 6)]

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import math
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import term_runs, term_starts, tokenize
-from ..session import small_table, store
+from ..session import new_path, small_table, store
 
 # Defaults of the two ranking models.
 MIN_DF = 2
@@ -21,8 +24,10 @@ K1 = 1.5
 B = 0.75
 EPSILON = 0.25
 
-# Term tables of at most this many rows (some 100 MB) are broadcast to the postings.
-BROADCAST_TERMS = 1_000_000
+# Term tables of at most this many bytes are broadcast to the postings: the terms' own, and so many for the rest of a row.
+BROADCAST_BYTES, ROW_BYTES = 64 << 20, 48
+# A stored index: folders by a hash of the term, and words of the corpus for each bucket of documents.
+PARTS, BUCKET_TOKENS, LEAST_BUCKETS, MOST_BUCKETS = 32, 100_000_000, 8, 100_000
 
 STOP_WORD_FILE = Path(__file__).parent.parent / "resources" / "english_stop_words.txt"
 
@@ -39,21 +44,17 @@ def with_tokens(corpus: DataFrame, text: str = "text") -> DataFrame:
     return corpus if "tokens" in corpus.columns else corpus.withColumn("tokens", tokenize(text))
 
 
-def term_counts(docs: DataFrame, id_col: str = "doc_id", sharing: Column | None = None) -> DataFrame:
+def term_counts(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Postings (``id_col``, term, tf, length), counted inside each document's row.
 
     A grouping by (document, term) would shuffle the whole inverted index; here
     the tokens of a row are sorted and cut into runs, without a shuffle. The
     steps are separate projections so that each array is computed once, and
     ``explode_outer`` because ``explode`` adds a filter that evaluates the
-    tokenizer a second time. With ``sharing``, an array of words, only
-    documents containing one of them are counted; that test sits in a
-    projection for the same reason.
+    tokenizer a second time.
     """
-    tokens = F.col("tokens") if sharing is None else F.when(F.arrays_overlap("tokens", sharing), F.col("tokens"))
     runs = (
-        docs.select(id_col, "tokens")
-        .select(id_col, F.sort_array(tokens).alias("_sorted"))
+        docs.select(id_col, F.sort_array("tokens").alias("_sorted"))
         .select(id_col, "_sorted", term_starts("_sorted").alias("_starts"))
         .select(id_col, F.size("_sorted").alias("length"), F.explode_outer(term_runs("_sorted", "_starts")).alias("_run"))
     )
@@ -87,8 +88,14 @@ class TermIndex:
     n_docs: float
     n_tokens: float
     n_terms: int
+    term_bytes: int
     mean_idf: float
 
+    @property
+    def small(self) -> bool:
+        """Whether a table of all terms may be broadcast."""
+        return self.term_bytes + ROW_BYTES * self.n_terms <= BROADCAST_BYTES
+
     @property
     def terms(self) -> DataFrame:
         return self.statistics.filter("term IS NOT NULL").select("term", F.col("df").cast("double").alias("df"))
@@ -104,19 +111,21 @@ def _index(corpus: DataFrame, statistics: DataFrame, text: str, id_col: str) ->
         F.max(F.when(~is_term, F.col("df"))).alias("n_docs"),
         F.max("n_tokens").alias("n_tokens"),
         F.count("term").alias("n_terms"),
+        F.coalesce(F.sum(F.octet_length("term").cast("long")), F.lit(0)).alias("term_bytes"),
     ).first()
     n_docs = float(totals["n_docs"] or 0)
     mean = statistics.filter(is_term).agg(F.avg(plain_idf(n_docs)).alias("mean_idf")).first()["mean_idf"]
     docs = with_tokens(corpus, text).select(id_col, "tokens")
-    return TermIndex(docs, statistics, id_col, n_docs, float(totals["n_tokens"] or 0), totals["n_terms"], mean or 0.0)
+    n_tokens = float(totals["n_tokens"] or 0)
+    return TermIndex(docs, statistics, id_col, n_docs, n_tokens, totals["n_terms"], totals["term_bytes"], mean or 0.0)
 
 
 def fit_terms(corpus: DataFrame, text: str = "text", id_col: str = "doc_id", path: str | None = None) -> TermIndex:
     """Count the terms of a corpus and store the counts (the vocabulary, not the corpus).
 
-    The statistics feed idf, average length and the idf floor of every later
-    search; storing them means one pass over the texts instead of one for each.
-    Of them only the four totals come to the driver, to be constants in plans.
+    The statistics feed idf, average length and the idf floor. Of them only the
+    totals come to the driver, to be constants in plans. Searches need the
+    postings as well: see ``fit_index``.
     """
     return _index(corpus, store(term_statistics(with_tokens(corpus, text)), path), text, id_col)
 
@@ -126,7 +135,7 @@ def load_terms(corpus: DataFrame, path: str, text: str = "text", id_col: str = "
     return _index(corpus, corpus.sparkSession.read.parquet(path), text, id_col)
 
 
-def join_terms(postings: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
+def join_terms(postings: DataFrame, terms: DataFrame, small: bool, how: str = "inner") -> DataFrame:
     """Join postings with a table of one or few rows per term.
 
     Spark's own estimate does not see how many rows ``explode`` adds and may
@@ -134,7 +143,7 @@ def join_terms(postings: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
     size is known to be small, else neither. The sort-merge join then splits
     frequent terms under adaptive execution.
     """
-    return postings.join(F.broadcast(terms) if small else terms.hint("merge"), "term")
+    return postings.join(F.broadcast(terms) if small else terms.hint("merge"), "term", how)
 
 
 # ---- TF-IDF ---------------------------------------------------------------------------
@@ -178,7 +187,7 @@ def tfidf_weights(index: TermIndex, **vocabulary_options) -> DataFrame:
     postings = term_counts(index.docs, index.id_col).filter(
         analyzer_terms("term", vocabulary_options.get("stop_words"))
     )
-    raw = join_terms(postings, idf, index.n_terms <= BROADCAST_TERMS).withColumn("_w", F.col("tf") * F.col("idf"))
+    raw = join_terms(postings, idf, index.small).withColumn("_w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(index.id_col)))
     return raw.select(index.id_col, "term", "tf", (F.col("_w") / norm).alias("weight"))
 
@@ -204,3 +213,93 @@ def bm25_stats(index: TermIndex) -> DataFrame:
     row = (int(index.n_docs), int(index.n_tokens), index.average_length, index.n_terms, index.mean_idf)
     schema = "n_docs long, n_tokens long, avgdl double, n_terms long, mean_idf double"
     return small_table(index.statistics.sparkSession, [row], schema)
+
+
+# ---- stored index -----------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class SearchIndex(TermIndex):
+    """A stored index: fitted once, searched often.
+
+    ``postings`` (document, term, tf, length, norm) is a table in folders by a
+    hash of the term and in buckets by document. A search reads only the folders
+    of its words and adds up a document's score within its bucket. ``norm`` is
+    the length of the document's TF-IDF vector, fixed by ``options``.
+    """
+
+    postings: DataFrame
+    parts: int
+    options: dict
+    n_vocabulary: int
+
+
+def part_of(term: Column | str, parts: int) -> Column:
+    """The folder of a term."""
+    return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
+
+
+def _postings_name() -> str:
+    return f"texttrend_postings_{uuid.uuid4().hex}"
+
+
+def _search_index(terms: TermIndex, table: str, parts: int, options: dict) -> SearchIndex:
+    n_vocabulary = vocabulary(terms, **options).count()
+    return SearchIndex(**vars(terms), postings=terms.docs.sparkSession.table(table), parts=parts, options=options, n_vocabulary=n_vocabulary)
+
+
+def fit_index(
+    corpus: DataFrame,
+    path: str | None = None,
+    text: str = "text",
+    id_col: str = "doc_id",
+    parts: int = PARTS,
+    buckets: int | None = None,
+    **vocabulary_options,
+) -> SearchIndex:
+    """Store everything searches read below ``path``, a new folder all executors reach; the caller removes it.
+
+    The texts are tokenized once. Documents meet in their bucket before their
+    terms are listed, so with a broadcast vocabulary no posting is shuffled;
+    a larger one costs two shuffles of the postings, here and never in a search.
+    Fails on repeated document ids, whose scores would add up.
+    """
+    spark = corpus.sparkSession
+    path = path or new_path(spark)
+    docs = store(with_tokens(corpus, text).select(id_col, "tokens"), f"{path}/documents")
+    if not docs.groupBy(id_col).count().filter("count > 1").isEmpty():
+        raise ValueError(f"{id_col} repeats; an index needs unique ids")
+    terms = fit_terms(docs, id_col=id_col, path=f"{path}/statistics")
+    buckets = buckets or min(MOST_BUCKETS, max(LEAST_BUCKETS, math.ceil(terms.n_tokens / BUCKET_TOKENS)))
+
+    counts = term_counts(docs.repartition(buckets, id_col) if terms.small else docs, id_col)
+    idf = smoothed_idf(terms, **vocabulary_options).select("term", "idf")
+    weighted = join_terms(counts, idf, terms.small, "left")
+    if not terms.small:
+        weighted = weighted.repartition(buckets, id_col)
+    w = F.col("tf") * F.col("idf")
+    norm = F.sqrt(F.sum(w * w).over(Window.partitionBy(id_col)))
+    rows = weighted.select(id_col, "term", "tf", "length", norm.alias("norm"), part_of("term", parts).alias("part"))
+    table = _postings_name()
+    writer = rows.write.format("parquet").partitionBy("part").bucketBy(buckets, id_col).sortBy("term")
+    writer.option("path", f"{path}/postings").saveAsTable(table)
+
+    options = {k: list(v) if k == "stop_words" and v is not None else v for k, v in vocabulary_options.items()}
+    settings = small_table(spark, [(id_col, parts, buckets, json.dumps(options))], "id_col string, parts int, buckets int, options string")
+    store(settings, f"{path}/settings")
+    return _search_index(terms, table, parts, options)
+
+
+def load_index(spark: SparkSession, path: str) -> SearchIndex:
+    """The index that ``fit_index`` stored at ``path``, in this or another session."""
+    settings = spark.read.parquet(f"{path}/settings").first()
+    id_col, table = settings["id_col"], _postings_name()
+    docs = spark.read.parquet(f"{path}/documents")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    spark.sql(
+        f"CREATE TABLE {table} (`{id_col}` {id_type}, term STRING, tf INT, length INT, norm DOUBLE, part INT) USING parquet "
+        f"PARTITIONED BY (part) CLUSTERED BY (`{id_col}`) SORTED BY (term) INTO {settings['buckets']} BUCKETS LOCATION '{path}/postings'"
+    )
+    spark.catalog.recoverPartitions(table)
+    terms = load_terms(docs, f"{path}/statistics", id_col=id_col)
+    return _search_index(terms, table, settings["parts"], json.loads(settings["options"]))

@@ -1,42 +1,33 @@
-"""Many-query TF-IDF and BM25 search over a fitted term index."""
+"""Many-query TF-IDF and BM25 search over a stored index."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
-from ..session import is_small, small_table
-from .index import (
-    B,
-    BROADCAST_TERMS,
-    EPSILON,
-    K1,
-    TermIndex,
-    bm25_idf,
-    join_terms,
-    smoothed_idf,
-    term_counts,
-    tfidf_weights,
-)
+from ..session import small_table
+from .index import B, BROADCAST_BYTES, EPSILON, K1, ROW_BYTES, SearchIndex, bm25_idf, join_terms, part_of, smoothed_idf
 from .topn import top_n
 
 TOP_K = 10
 SCORE_DIGITS = 9
+SLICE_DOCS = 1_000_000
 
 Queries = Sequence[str] | DataFrame
 
 
 class _QueryBatch:
-    """Queries as a table (query_id, query), their words, and whether all of that is small.
+    """Queries as a table (query_id, query), their words, and whether those may be broadcast.
 
-    A list comes from the driver program and is small unless its texts are
-    huge; a table is counted, no further than the bound.
+    A list comes from the driver program and its texts are measured there; of a
+    table the words are counted and measured.
     """
 
-    def __init__(self, index: TermIndex, queries: Queries):
+    def __init__(self, index: SearchIndex, queries: Queries):
         if isinstance(queries, DataFrame):
             self.table = queries.select(F.col("query_id").cast("long"), "query")
         else:
@@ -48,11 +39,11 @@ class _QueryBatch:
         self.terms = words.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("n"))
         self.vocabulary = self.terms.select("term").distinct()
         if isinstance(queries, DataFrame):
-            self.small = is_small(self.terms, BROADCAST_TERMS)
+            each = F.octet_length("term").cast("long") + ROW_BYTES
+            size = self.terms.agg(F.coalesce(F.sum(each), F.lit(0)).alias("n")).first()["n"]
         else:
-            self.small = sum(len(q) for q in queries) <= BROADCAST_TERMS
-        # The words as one array to test documents against, only while that is bounded.
-        self.words = self.terms.agg(F.collect_set("term")).scalar() if self.small else None
+            size = sum(len(q.encode()) * (1 + ROW_BYTES) for q in queries)
+        self.small = size <= BROADCAST_BYTES
 
 
 def _looked_up(idf: DataFrame, batch: _QueryBatch) -> DataFrame:
@@ -71,7 +62,7 @@ def _top_k(scores: DataFrame, id_col: str, k: int) -> DataFrame:
     return ranked.select("query_id", "rank", id_col, "score")
 
 
-def _zero_rows(index: TermIndex, batch: _QueryBatch, k: int) -> DataFrame:
+def _zero_rows(index: SearchIndex, batch: _QueryBatch, k: int) -> DataFrame:
     """Score 0.0 for every query and the 2k highest document ids.
 
     A query matching fewer than k documents leaves at least k of those 2k
@@ -84,14 +75,49 @@ def _zero_rows(index: TermIndex, batch: _QueryBatch, k: int) -> DataFrame:
     return batch.table.select("query_id", listed, F.lit(0.0).alias("score")).filter(F.col(id_col).isNotNull())
 
 
-def _all_zero_rows(index: TermIndex, batch: _QueryBatch) -> DataFrame:
-    """Score 0.0 for every query and document, where matches may rank below zeros.
+def _unmatched_rows(index: SearchIndex, batch: _QueryBatch, scores: DataFrame, k: int) -> DataFrame:
+    """Score 0.0 for the k highest document ids that do not match, for every query and slice of the documents.
 
-    Needed only when the mean idf is negative: most terms occur in more than
-    half of all documents, as in a corpus of a few short texts.
+    Needed only when the mean idf is negative, where matches may rank below
+    zeros. Documents are numbered downwards within slices of a million; the
+    numbers a query leaves free are read off the gaps between its matches, so no
+    query is paired with the documents it does not match.
     """
-    ids = batch.table.agg(F.collect_list("query_id")).scalar()
-    return index.docs.select(F.explode_outer(ids).alias("query_id"), index.id_col, F.lit(0.0).alias("score"))
+    id_col = index.id_col
+    slices = max(1, math.ceil(index.n_docs / SLICE_DOCS))
+    downwards = Window.partitionBy("_slice").orderBy(F.col(id_col).desc())
+    numbered = index.docs.select(id_col, F.pmod(F.xxhash64(id_col), F.lit(slices)).alias("_slice"))
+    numbered = numbered.withColumn("_at", F.row_number().over(downwards))
+    matched = scores.select("query_id", id_col).join(numbered, id_col).select("query_id", "_slice", "_at")
+    starts = batch.table.select("query_id", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice"), F.lit(0).alias("_at"))
+    places = Window.partitionBy("query_id", "_slice").orderBy("_at")
+    free_before = F.col("_at") - F.row_number().over(places) + 1
+    gaps = matched.unionByName(starts).select(
+        "query_id", "_slice", "_at", F.lead("_at").over(places).alias("_next"), free_before.alias("_free")
+    )
+    last = F.least(F.coalesce(F.col("_next") - 1, F.col("_at") + k), F.col("_at") + k - F.col("_free"))
+    free = gaps.withColumn("_last", last).filter("_last > _at")
+    free = free.select("query_id", "_slice", F.explode(F.sequence(F.col("_at") + 1, "_last")).alias("_at"))
+    return free.join(numbered, ["_slice", "_at"]).select("query_id", id_col, F.lit(0.0).alias("score"))
+
+
+def _filled(index: SearchIndex, batch: _QueryBatch, scores: DataFrame, k: int, negative: bool) -> DataFrame:
+    """The k best of each query, documents with score 0.0 included."""
+    id_col = index.id_col
+    # Only k rows per task and query leave their bucket.
+    best = top_n(scores, ["query_id"], _ordered(id_col), k, slice_by=[id_col]).drop("rank")
+    if negative:
+        return _top_k(best.unionByName(_unmatched_rows(index, batch, scores, k)), id_col, k)
+    # Zeros can only follow when fewer than k match, and then all matches are in the first ranking.
+    both = best.unionByName(_zero_rows(index, batch, k))
+    return _top_k(both.groupBy("query_id", id_col).agg(F.max("score").alias("score")), id_col, k)
+
+
+def _hits(index: SearchIndex, batch: _QueryBatch, weights: DataFrame) -> DataFrame:
+    """Postings of the queries' words with ``weights`` (query_id, term, ...); other folders are not read."""
+    wanted = batch.vocabulary.select(part_of("term", index.parts).alias("part")).distinct().collect()  # at most index.parts
+    postings = index.postings.filter(F.col("part").isin([r["part"] for r in wanted]))
+    return join_terms(postings, weights, batch.small)
 
 
 def _matches_only(scores: DataFrame) -> DataFrame:
@@ -99,7 +125,7 @@ def _matches_only(scores: DataFrame) -> DataFrame:
 
 
 def bm25_search(
-    index: TermIndex,
+    index: SearchIndex,
     queries: Queries,
     k: int = TOP_K,
     fill_zero: bool = True,
@@ -109,102 +135,48 @@ def bm25_search(
 ) -> DataFrame:
     """(query_id, rank, doc, score): the k best documents of each query by BM25.
 
-    One pass over the documents for all queries. Documents without a query word
-    are passed over row by row; the others are scored where they are read, and
-    one row per query and matching document is shuffled. Repeated query words
-    count repeatedly.
+    Reads the postings of the queries' words for all queries at once, scores
+    each document where its bucket is read, and shuffles k rows per task and
+    query. Repeated query words count repeatedly.
     """
     id_col = index.id_col
     batch = _QueryBatch(index, queries)
     idf = _looked_up(bm25_idf(index, epsilon), batch)
     weights = batch.terms.join(idf, "term").select("query_id", "term", (F.col("n") * F.col("idf")).alias("_weight"))
-
-    # Counted inside each document first: a word used by many queries is then
-    # repeated once per document and not once per occurrence.
-    hits = join_terms(term_counts(index.docs, id_col, sharing=batch.words), weights, batch.small)
     tf, length = F.col("tf"), F.col("length")
     damped = tf + F.lit(float(k1)) * (F.lit(1.0 - b) + F.lit(float(b)) * length / index.average_length)
-    parts = hits.select("query_id", id_col, (F.col("_weight") * tf * (k1 + 1) / damped).alias("score"))
+    score = F.sum(F.col("_weight") * tf * (k1 + 1) / damped)
+    scores = _hits(index, batch, weights).groupBy("query_id", id_col).agg(score.alias("score"))
     if fill_zero:
-        zeros = _all_zero_rows(index, batch) if index.mean_idf < 0 else _zero_rows(index, batch, k)
-        parts = parts.unionByName(zeros)
-    scores = parts.groupBy("query_id", id_col).agg(F.sum("score").alias("score"))
-    return _top_k(scores if fill_zero else _matches_only(scores), id_col, k)
+        return _filled(index, batch, scores, k, negative=index.mean_idf < 0)
+    return _top_k(_matches_only(scores), id_col, k)
 
 
-def tfidf_search(
-    index: TermIndex, queries: Queries, k: int = TOP_K, fill_zero: bool = True, **vocabulary_options
-) -> DataFrame:
+def tfidf_search(index: SearchIndex, queries: Queries, k: int = TOP_K, fill_zero: bool = True) -> DataFrame:
     """(query_id, rank, doc, score): the k best documents of each query by cosine of TF-IDF vectors.
 
-    Fails on an empty vocabulary.
+    Read, scored and trimmed as in ``bm25_search``, with the vocabulary the
+    index was fitted with. Fails on an empty vocabulary.
     """
+    if not index.n_vocabulary:
+        raise ValueError("no terms remain after stop words and document-frequency pruning")
     id_col = index.id_col
     batch = _QueryBatch(index, queries)
-    idf = smoothed_idf(index, **vocabulary_options).select("term", "idf")
+    idf = smoothed_idf(index, **index.options).select("term", "idf")
     raw = batch.terms.join(_looked_up(idf, batch), "term").withColumn("_w", F.col("n") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("query_id")))
-    vectors = raw.select("query_id", "term", (F.col("_w") / norm).alias("_wq"))
-    if batch.small:
-        scores = _cosines_of_batch(index, batch, idf, vectors)
-    else:
-        products = join_terms(tfidf_weights(index, **vocabulary_options), vectors, small=False)
-        scores = products.groupBy("query_id", id_col).agg(F.sum(F.col("weight") * F.col("_wq")).alias("score"))
-    if not fill_zero:
-        return _top_k(_checked(_matches_only(scores), idf), id_col, k)
-    # Cosines are not negative: zeros can only follow when fewer than k match,
-    # and then all matches are in the first ranking.
-    best = top_n(scores, ["query_id"], _ordered(id_col), k, slice_by=[id_col]).drop("rank")
-    filled = best.unionByName(_checked(_zero_rows(index, batch, k), idf))
-    return _top_k(filled.groupBy("query_id", id_col).agg(F.max("score").alias("score")), id_col, k)
-
-
-_USERS = "array<struct<query_id:bigint,_wq:double>>"
-
-
-def _cosines_of_batch(index: TermIndex, batch: _QueryBatch, idf: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(query_id, doc, score) for query vectors of bounded size.
-
-    A cosine needs the length of the whole document vector, but only documents
-    sharing a word with a query can score. Those are picked row by row, and only
-    their postings meet the vocabulary. The document counts as its own NULL
-    query with weight w, so that one grouped sum yields its products with the
-    queries and its squared length.
-    """
-    id_col = index.id_col
-    itself = F.struct(F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("double").alias("_wq"))
-    users = vectors.groupBy("term").agg(F.collect_list(F.struct("query_id", "_wq")).alias("_users"))
-    vocab = idf.join(F.broadcast(users), "term", "left").select(
-        "term", "idf", F.concat(F.array(itself), F.coalesce("_users", F.array().cast(_USERS))).alias("_users")
-    )
-    postings = term_counts(index.docs, id_col, sharing=batch.words)
-    products = (
-        join_terms(postings, vocab, small=index.n_terms <= BROADCAST_TERMS)
-        .select(id_col, (F.col("tf") * F.col("idf")).alias("_w"), F.explode("_users").alias("_u"))
-        .select(id_col, F.col("_u.query_id").alias("query_id"), (F.col("_w") * F.coalesce("_u._wq", "_w")).alias("_p"))
-    )
-    dots = products.groupBy(id_col, "query_id").agg(F.sum("_p").alias("_dot"))
-    own = F.max(F.when(F.col("query_id").isNull(), F.col("_dot"))).over(Window.partitionBy(id_col))
-    scored = dots.withColumn("score", F.col("_dot") / F.sqrt(own)).filter("query_id IS NOT NULL")
-    return scored.select("query_id", id_col, "score")
-
-
-def _checked(rows: DataFrame, idf: DataFrame) -> DataFrame:
-    """``rows``; raises at run time when pruning left no terms at all.
-
-    The check filters a row of its own, so neither an empty result nor a
-    selection of columns skips it.
-    """
-    n_terms = idf.agg(F.count(F.lit(1))).scalar()
-    failed = F.raise_error(F.lit("no terms remain after stop words and document-frequency pruning"))
-    guard = rows.sparkSession.range(1).filter(F.when(n_terms == 0, failed.cast("boolean")).otherwise(F.lit(False)))
-    return rows.unionByName(guard.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema)))
+    vectors = raw.select("query_id", "term", (F.col("_w") / norm * F.col("idf")).alias("_weight"))
+    score = F.sum(F.col("tf") * F.col("_weight") / F.col("norm"))
+    scores = _hits(index, batch, vectors).groupBy("query_id", id_col).agg(score.alias("score"))
+    if fill_zero:
+        return _filled(index, batch, scores, k, negative=False)
+    return _top_k(_matches_only(scores), id_col, k)
 
 
 RANKERS = {"tfidf": tfidf_search, "bm25": bm25_search}
 
 
-def rank_all(index: TermIndex, queries: Queries, k: int = TOP_K) -> DataFrame:
+def rank_all(index: SearchIndex, queries: Queries, k: int = TOP_K) -> DataFrame:
     """Both rankers for all queries: (ranker, query_id, rank, doc, score)."""
     tables = [search(index, queries, k).withColumn("ranker", F.lit(name)) for name, search in RANKERS.items()]
     return tables[0].unionByName(tables[1])

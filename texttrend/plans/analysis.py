@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.corpus import build_corpus, with_doc_id
 from ..operators.evaluation import compare_rankers, judge
-from ..operators.index import fit_terms
+from ..operators.index import fit_index
 from ..operators.retrieval import oldest_first, search_articles
 from ..operators.search import TOP_K, rank_all
 from ..operators.sentiment import annotate
@@ -67,7 +67,7 @@ def run_analysis(
     corpus = build_corpus(with_doc_id(spark.read.parquet(articles_path)))
     corpus_path = write_run(annotate(corpus, method, lexicon, predictor_factory), out, "corpus_with_sentiment", run_date)
     stored = spark.read.parquet(corpus_path)
-    index = fit_terms(stored)
+    index = fit_index(stored)
     asked = small_table(spark, list(enumerate(queries)), "query_id long, query string")
     return Analysis(
         articles_path,

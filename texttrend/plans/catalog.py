@@ -51,6 +51,10 @@ def _index(spark, folder):
     return index.fit_terms(views.documents(spark, folder))
 
 
+def _stored_index(spark, folder, **options):
+    return index.fit_index(views.documents(spark, folder), **options)
+
+
 def _article_scores(spark, folder, *keep):
     return sentiment.lexicon_scores(_corpus(spark, folder), views.lexicon(spark), keep=keep)
 
@@ -305,27 +309,27 @@ def _rounded(results):
 
 @query
 def tfidf_search(spark, folder):
-    return _rounded(search.tfidf_search(_index(spark, folder), SEARCH_QUERIES))
+    return _rounded(search.tfidf_search(_stored_index(spark, folder), SEARCH_QUERIES))
 
 
 @query
 def tfidf_search_pruned(spark, folder):
-    return _rounded(search.tfidf_search(_index(spark, folder), SEARCH_QUERIES, max_df=MAX_DF_PRUNED))
+    return _rounded(search.tfidf_search(_stored_index(spark, folder, max_df=MAX_DF_PRUNED), SEARCH_QUERIES))
 
 
 @query
 def tfidf_matches(spark, folder):
-    return _rounded(search.tfidf_search(_index(spark, folder), SEARCH_QUERIES, fill_zero=False))
+    return _rounded(search.tfidf_search(_stored_index(spark, folder), SEARCH_QUERIES, fill_zero=False))
 
 
 @query
 def bm25_search(spark, folder):
-    return _rounded(search.bm25_search(_index(spark, folder), SEARCH_QUERIES))
+    return _rounded(search.bm25_search(_stored_index(spark, folder), SEARCH_QUERIES))
 
 
 @query
 def bm25_matches(spark, folder):
-    return _rounded(search.bm25_search(_index(spark, folder), SEARCH_QUERIES, fill_zero=False))
+    return _rounded(search.bm25_search(_stored_index(spark, folder), SEARCH_QUERIES, fill_zero=False))
 
 
 def _benchmark_queries(spark, folder):
@@ -335,12 +339,12 @@ def _benchmark_queries(spark, folder):
 
 @query
 def tfidf_benchmark(spark, folder):
-    return _rounded(search.tfidf_search(_index(spark, folder), _benchmark_queries(spark, folder)))
+    return _rounded(search.tfidf_search(_stored_index(spark, folder), _benchmark_queries(spark, folder)))
 
 
 @query
 def bm25_benchmark(spark, folder):
-    return _rounded(search.bm25_search(_index(spark, folder), _benchmark_queries(spark, folder)))
+    return _rounded(search.bm25_search(_stored_index(spark, folder), _benchmark_queries(spark, folder)))
 
 
 def _compared(spark):
@@ -348,10 +352,9 @@ def _compared(spark):
 
 
 def _judged(spark, folder):
-    stored = store(index.with_tokens(_corpus(spark, folder)).select("doc_id", "query", "tokens"))
-    asked = _compared(spark)
-    results = store(search.rank_all(index.fit_terms(stored), COMPARE_QUERIES))
-    return evaluation.judge(results, stored, asked)
+    corpus, asked = _corpus(spark, folder), _compared(spark)
+    results = store(search.rank_all(index.fit_index(corpus), COMPARE_QUERIES))
+    return evaluation.judge(results, corpus.select("doc_id", "query"), asked)
 
 
 @query

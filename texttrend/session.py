@@ -57,6 +57,11 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def new_path(spark: SparkSession) -> str:
+    """A folder of its own below the shared one, not created yet."""
+    return f"{shared_folder(spark).rstrip('/')}/texttrend/{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet and read it back, cutting its lineage.
 
@@ -64,7 +69,7 @@ def store(df: DataFrame, path: str | None = None) -> DataFrame:
     is pruned and filtered at the scan, and carries a real size for the planner.
     """
     spark = df.sparkSession
-    path = path or f"{shared_folder(spark).rstrip('/')}/texttrend/{uuid.uuid4().hex}"
+    path = path or new_path(spark)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
