@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from texttrend.operators import index as ix
 from texttrend.operators import retrieval, search, sentiment, trends
-from texttrend.plans import views
+from texttrend.plans import analysis, views
 from texttrend.plans.catalog import QUERIES
 
 
@@ -77,3 +77,22 @@ def test_retrieval_does_not_shuffle_and_filters_at_the_scan(spark, folder):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in text
     trend = plan(trends.sentiment_trend(orders, "o_orderdate", "o_totalprice", start="1996-01-01", end="1996-12-31"))
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz>" in trend
+
+
+def test_tables_by_month_are_pruned(spark, folder, tmp_path):
+    articles = views.articles(views.table(spark, folder, "documents")).withColumn("sentiment", F.lit(0.5))
+    odd = articles.limit(3).withColumn("published_at", F.lit("soon"))
+    path = analysis.write_scored(articles.unionByName(odd), str(tmp_path), "2024-12-31")
+    stored = spark.read.parquet(path)
+    assert stored.count() == articles.count() + 3
+    ranged = trends.time_filter(stored, start="2024-03-05", end="2024-05-06")
+    assert ranged.count() == trends.time_filter(articles, start="2024-03-05", end="2024-05-06").count() > 0
+    searched = retrieval.search_articles(stored, ["the"], "2024-03-05", "2024-05-06", text="content")
+    assert searched.count() == retrieval.search_articles(articles, ["the"], "2024-03-05", "2024-05-06", text="content").count() > 0
+    for df in (ranged, searched, trends.sentiment_trend(stored, start="2024-03-05", end="2024-05-06")):
+        scan = next(line for line in plan(df).splitlines() if "FileScan" in line)
+        assert "(published_month#" in scan.split("PartitionFilters")[1] and "202403" in scan and "202405" in scan
+
+
+def test_several_searches_take_one_scan(spark, folder):
+    assert plan(QUERIES["tag_union"](spark, folder)).count("FileScan") == 1

@@ -42,6 +42,11 @@ def month_label(day: Column | str) -> Column:
     return F.date_format(_col(day), "yyyy-MM")
 
 
+def month_number(ts: Column) -> Column:
+    """202403 for March 2024; the value article tables are partitioned by."""
+    return F.year(ts) * 100 + F.month(ts)
+
+
 def bucket_end(ts: Column, freq: str) -> Column:
     """Last day of the calendar bucket: month end, Sunday, or the day itself."""
     day = ts.cast("date")
@@ -60,3 +65,14 @@ def parsed_time(df: DataFrame, time_col: str) -> Column:
     if kind == "string":
         return F.col(time_col).try_cast("timestamp")
     return F.col(time_col)
+
+
+# Tables written with this column as partitions hold the month number of ``published_at`` in it.
+MONTH_COL = "published_month"
+
+
+def within_months(df: DataFrame, time_col: str, lo: Column, hi: Column) -> DataFrame:
+    """``df`` without partitions of other months, where it is partitioned by month; row filters still apply."""
+    if time_col != "published_at" or MONTH_COL not in df.columns:
+        return df
+    return df.filter(F.col(MONTH_COL).between(month_number(lo), month_number(hi)))

@@ -26,8 +26,9 @@ EPSILON = 0.25
 
 # Term tables of at most this many bytes are broadcast to the postings: the terms' own, and so many for the rest of a row.
 BROADCAST_BYTES, ROW_BYTES = 64 << 20, 48
-# A stored index: folders by a hash of the term, and words of the corpus for each bucket of documents.
-PARTS, BUCKET_TOKENS, LEAST_BUCKETS, MOST_BUCKETS = 32, 100_000_000, 8, 100_000
+# A stored index: words of the corpus for each folder of terms and for each bucket of documents, and bounds on their numbers.
+PART_TOKENS, LEAST_PARTS, MOST_PARTS = 10_000_000, 8, 256
+BUCKET_TOKENS, LEAST_BUCKETS, MOST_BUCKETS = 100_000_000, 8, 100_000
 
 STOP_WORD_FILE = Path(__file__).parent.parent / "resources" / "english_stop_words.txt"
 
@@ -253,7 +254,7 @@ def fit_index(
     path: str | None = None,
     text: str = "text",
     id_col: str = "doc_id",
-    parts: int = PARTS,
+    parts: int | None = None,
     buckets: int | None = None,
     **vocabulary_options,
 ) -> SearchIndex:
@@ -270,6 +271,7 @@ def fit_index(
     if not docs.groupBy(id_col).count().filter("count > 1").isEmpty():
         raise ValueError(f"{id_col} repeats; an index needs unique ids")
     terms = fit_terms(docs, id_col=id_col, path=f"{path}/statistics")
+    parts = parts or min(MOST_PARTS, max(LEAST_PARTS, math.ceil(terms.n_tokens / PART_TOKENS)))
     buckets = buckets or min(MOST_BUCKETS, max(LEAST_BUCKETS, math.ceil(terms.n_tokens / BUCKET_TOKENS)))
 
     counts = term_counts(docs.repartition(buckets, id_col) if terms.small else docs, id_col)

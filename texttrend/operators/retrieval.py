@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import compact_date, month_label, month_ranges, parsed_time
+from ..functions.dates import compact_date, month_label, month_ranges, parsed_time, within_months
 from ..functions.text import tokenize
 from .topn import top_n
 
@@ -62,8 +62,9 @@ def search_articles(
     A query matches when all its words occur in the text, one without words
     never; a query listed twice is searched twice. Both conditions are
     decided inside the article's own row: the month follows from the date, and
-    the query list is part of the plan. Nothing is joined or shuffled, and the
-    date range is filtered at the scan when ``time_col`` is a timestamp.
+    the query list is part of the plan. Nothing is joined or shuffled. The
+    date range is filtered at the scan when ``time_col`` is a timestamp, and
+    prunes the partitions of tables written by month.
     """
     lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
     ts = parsed_time(articles, time_col)
@@ -85,7 +86,8 @@ def search_articles(
         F.lit(0),
     )
     matched = (
-        articles.filter(in_range)
+        within_months(articles, time_col, lo, hi)
+        .filter(in_range)
         .withColumns({"_day": ts.cast("date"), "_match": F.explode_outer(matching["query"])})
         .filter(F.col("_match").isNotNull())
     )
@@ -116,6 +118,16 @@ def tag_search(articles: DataFrame, query: str) -> DataFrame:
     return articles.withColumn("query", F.lit(query))
 
 
+def tag_searches(articles: DataFrame, words: Sequence[str], text: str = "text") -> DataFrame:
+    """One row per article and word of ``words`` in its text, marked with it: several searches appended, in one scan."""
+    wanted = F.array(*(F.lit(w) for w in words))
+    # Through a one-element array, or the tokenizer would run for every word compared.
+    found = F.get(
+        F.transform(F.array(tokenize(text)), lambda tokens: F.filter(wanted, lambda w: F.array_contains(tokens, w))), F.lit(0)
+    )
+    return articles.withColumn("query", F.explode_outer(found)).filter("query IS NOT NULL")
+
+
 def append_searches(first: DataFrame, *rest: DataFrame) -> DataFrame:
     """Results of several searches one after another; duplicates are kept."""
     for more in rest:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import bucket_end, month_label, parsed_time
+from ..functions.dates import bucket_end, month_label, parsed_time, within_months
 from ..functions.labels import drop_nan
 
 # The default trend range; its end is the first instant of that day.
@@ -62,14 +62,15 @@ def time_filter(
 
     With ``end_inclusive="instant"`` the range stops at midnight beginning the
     last day; ``"day"`` includes all of it. The bounds are literals of the
-    column's own type, so Parquet scans filter on them.
+    column's own type, so Parquet scans filter on them; of article tables
+    partitioned by month only those months are read.
     """
     if end_inclusive not in ("instant", "day"):
         raise ValueError("end_inclusive must be 'instant' or 'day'")
     kind = "timestamp_ntz" if df.schema[time_col].dataType.typeName() == "timestamp_ntz" else "timestamp"
     ts, lo, hi = parsed_time(df, time_col), F.lit(start).cast(kind), F.lit(end).cast(kind)
     last = ts <= hi if end_inclusive == "instant" else ts < hi + F.expr("interval 1 day")
-    return df.filter((ts >= lo) & last)
+    return within_months(df, time_col, lo, hi).filter((ts >= lo) & last)
 
 
 def _spine(df: DataFrame, start: str, end: str, freq: str) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ..functions.dates import MONTH_COL, month_number, parsed_time
 from ..operators.corpus import build_corpus, with_doc_id
 from ..operators.evaluation import compare_rankers, judge
 from ..operators.index import fit_index
@@ -48,6 +49,12 @@ def collect_articles(
     return found.select(*ARTICLE_COLUMNS)
 
 
+def write_scored(scored: DataFrame, out: str, run_date: str) -> str:
+    """Write a numbered run of scored articles, partitioned by the month of their time."""
+    by_month = scored.withColumn(MONTH_COL, month_number(parsed_time(scored, "published_at")))
+    return write_run(assert_not_empty(by_month), out, "corpus_with_sentiment", run_date, (MONTH_COL,))
+
+
 def run_analysis(
     articles: DataFrame,
     out: str,
@@ -65,7 +72,8 @@ def run_analysis(
     spark = articles.sparkSession
     articles_path = write_run(assert_not_empty(articles), out, "articles", run_date)
     corpus = build_corpus(with_doc_id(spark.read.parquet(articles_path)))
-    corpus_path = write_run(annotate(corpus, method, lexicon, predictor_factory), out, "corpus_with_sentiment", run_date)
+    scored = annotate(corpus, method, lexicon, predictor_factory)
+    corpus_path = write_scored(scored, out, run_date)
     stored = spark.read.parquet(corpus_path)
     index = fit_index(stored)
     asked = small_table(spark, list(enumerate(queries)), "query_id long, query string")

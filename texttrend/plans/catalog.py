@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import dates, labels, text
 from ..operators import corpus as corpora
 from ..operators import evaluation, index, model, retrieval, search, sentiment, trends
-from ..session import configure, small_table, store
+from ..session import configure, new_path, small_table, store
 from ..sources import articles as sources
 from ..sources import sinks
-from . import views
+from . import analysis, views
 
 SEARCH_QUERIES = ("license", "best no", "the the orre", "the", "zzz")
 COMPARE_QUERIES = ("en", "de", "es", "license fr")
@@ -89,12 +89,8 @@ def search_hits(spark, folder):
 
 @query
 def tag_union(spark, folder):
-    docs = views.documents(spark, folder)
-    finds = []
-    for word in ("best", "no", "license"):
-        found = docs.filter(F.array_contains(text.tokenize("text"), word)).select("doc_id", "source")
-        finds.append(retrieval.tag_search(found, word))
-    return retrieval.append_searches(*finds)
+    docs = views.documents(spark, folder).select("doc_id", "source", "text")
+    return retrieval.tag_searches(docs, ("best", "no", "license")).select("doc_id", "source", "query")
 
 
 @query
@@ -212,6 +208,17 @@ def annotate_sentiment(spark, folder):
     return scored.select("doc_id", "query", "url", F.length("text").alias("n_chars"), r6("sentiment").alias("sentiment"))
 
 
+@query
+def scored_runs(spark, folder):
+    """Scores of the second of two numbered runs, by the method named, read back from the months of the second half-year."""
+    root = new_path(spark)
+    for _ in range(2):
+        path = analysis.write_scored(sentiment.annotate(_corpus(spark, folder), "lexicon", views.lexicon(spark)), root, "2024-12-31")
+    ranged = trends.time_filter(spark.read.parquet(path), start="2024-07-01", end="2024-12-31")
+    run = F.lit(path.removeprefix(root))
+    return ranged.select("doc_id", run.alias("run"), r6("sentiment").alias("sentiment"))
+
+
 @query
 def model_polarity(spark, folder):
     # Stands in for a model: label and score follow from the text's length, and

@@ -313,6 +313,9 @@ SELECT id AS doc_id, round(sentiment, 6) AS sentiment FROM scores""",
 SELECT id // 1000000 AS conv_id, id % 1000000 AS turn, round(sentiment, 6) AS sentiment FROM scores""",
     "annotate_sentiment": f"""WITH {ARTICLE_SCORES}
 SELECT doc_id, query, url, length(text) AS n_chars, round(sentiment, 6) AS sentiment FROM scored""",
+    "scored_runs": f"""WITH {ARTICLE_SCORES}
+SELECT doc_id, '/corpus_with_sentiment/run_date=20241231/run_seq=002' AS run, round(sentiment, 6) AS sentiment
+FROM scored WHERE ts BETWEEN TIMESTAMP '2024-07-01' AND TIMESTAMP '2024-12-31'""",
     "model_polarity": f"""SELECT doc_id, round(CASE WHEN {_BLANK} OR {_LENGTH} % 11 = 0 THEN 0.0::DOUBLE
     WHEN {_LENGTH} % 5 IN (0, 4) THEN ({_LENGTH} % 101)::DOUBLE / 100
     WHEN {_LENGTH} % 5 IN (1, 3) THEN -({_LENGTH} % 101)::DOUBLE / 100 ELSE 0.0::DOUBLE END, 6) AS sentiment,

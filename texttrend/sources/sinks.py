@@ -46,7 +46,7 @@ def list_runs(spark: SparkSession, root: str, name: str) -> DataFrame:
     return taken.withColumn("run_date", F.to_date("run_date", "yyyyMMdd"))
 
 
-def write_run(df: DataFrame, root: str, name: str, run_date: str) -> str:
+def write_run(df: DataFrame, root: str, name: str, run_date: str, partition_by: tuple[str, ...] = ()) -> str:
     """Write below ``root/name/run_date=YYYYMMDD/run_seq=NNN`` and return that folder.
 
     ``run_date`` is YYYY-MM-DD. An existing folder is an error, never overwritten.
@@ -55,7 +55,7 @@ def write_run(df: DataFrame, root: str, name: str, run_date: str) -> str:
     following = next_runs(runs).first()
     sequence = following["run_seq"] if following else 1
     path = f"{root.rstrip('/')}/{name}/run_date={run_date.replace('-', '')}/run_seq={sequence:03d}"
-    write_parquet(df, path)
+    write_parquet(df, path, partition_by)
     return path
 
 
