@@ -12,6 +12,8 @@ from texttrend.plans.catalog import QUERIES
 
 
 def plan(df):
+    # Scans cut their filters off at this length in a printed plan.
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
