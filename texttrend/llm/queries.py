@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import automaton, blocks, chat, decontam, fingerprint, packing, pii, quality, secrets, simhash
+from . import automaton, blocks, chat, decontam, fingerprint, packing, pii, quality, resampling, secrets, simhash
 from .common import read
 
 
@@ -58,6 +58,11 @@ def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(read(spark, folder, "documents")))
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the benchmark's words; every document with its weight."""
+    return resampling.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op2_quality_attention": op2_quality_attention,
     "op3_chat_snapshots": op3_chat_snapshots,
@@ -69,8 +74,10 @@ QUERIES = {
     "op8_token_blocks": op8_token_blocks,
     "op9_backoff_automaton": op9_backoff_automaton,
     "op10_secret_scan": op10_secret_scan,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 ORACLES: dict[str, str] = {
     "op3_chat_snapshots": chat.ORACLE_SQL,
     "op10_secret_scan": secrets.ORACLE_SQL,
+    "op11_importance_resampling": resampling.ORACLE_SQL,
 }
