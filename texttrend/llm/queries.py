@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import automaton, blocks, chat, decontam, fingerprint, neighbours, packing, pii, quality, resampling, secrets, simhash
+from . import automaton, blocks, chat, collocations, decontam, fingerprint, neighbours, packing, pii, quality, resampling, secrets, simhash
 from .common import read
 
 
@@ -63,6 +63,11 @@ def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 strongest phrases of 2 and 3 words of each language, over all documents."""
+    return collocations.collocations(read(spark, folder, "documents"))
+
+
 def op13_retrieval_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 1,024 ids, neighbours by BM25 together."""
     return neighbours.pack_by_retrieval(read(spark, folder, "documents"), end_id=0, capacity=1024)
@@ -80,10 +85,12 @@ QUERIES = {
     "op9_backoff_automaton": op9_backoff_automaton,
     "op10_secret_scan": op10_secret_scan,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_retrieval_packing": op13_retrieval_packing,
 }
 ORACLES: dict[str, str] = {
     "op3_chat_snapshots": chat.ORACLE_SQL,
     "op10_secret_scan": secrets.ORACLE_SQL,
     "op11_importance_resampling": resampling.ORACLE_SQL,
+    "op12_phrase_collocations": collocations.ORACLE_SQL,
 }
