@@ -218,7 +218,9 @@ def pack_by_retrieval(
     tokenizer = tokenizer or byte_tokenizer()
     size = max(text_encoder(tokenizer).size, end_id + 1)
     kind = _kind(size)
-    rows = store(encoded(docs, id_col, text_col, tokenizer, end_id).withColumn("_row", F.monotonically_increasing_id()))
+    # By a hash of the rarest token: long texts have the rarest ones and would meet in the last ranges.
+    deal = {"_deal": F.xxhash64("first"), "_row": F.monotonically_increasing_id()}
+    rows = store(encoded(docs, id_col, text_col, tokenizer, end_id).withColumns(deal))
     total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("doc_tokens"), F.lit(0)).alias("tokens")).first()
     frequency = document_frequencies(rows, size)
     idf = np.log1p((total.n - frequency + 0.5) / (frequency + 0.5)).astype(np.float32)
@@ -252,7 +254,7 @@ def pack_by_retrieval(
             yield batch()
 
     parts = max(1, -(-total.tokens // part_tokens))
-    key = ("first", "second", "_row")
+    key = ("_deal", "second", "_row")
     ranged = ship(rows).repartitionByRange(parts, *key).sortWithinPartitions(*key).select("doc_id", "ids")
     schema = f"doc_id {id_type.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return ranged.mapInArrow(pack, schema + (", ids binary" if with_ids else ""))
