@@ -63,7 +63,7 @@ class TextEncoder:
             return np.zeros(0, np.uint32)
         if self._fast is None or any(a in text for a in self._added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self._fast.encode_to_numpy(text)
+        return np.array(self._fast.encode_ordinary(text), np.uint32)
 
 
 _ENCODERS: dict[str, TextEncoder] = {}

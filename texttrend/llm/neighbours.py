@@ -17,7 +17,7 @@ from .common import ship
 
 CAPACITY, END_ID = 1024, 0
 K1, B = 1.5, 0.75
-TERMS, NEAREST = 24, 32  # terms of a query, and neighbours looked at for one that fits whole
+TERMS, NEAREST = 16, 32  # terms of a query, and neighbours looked at for one that fits whole
 SHARD_TOKENS, PART_TOKENS = 4 << 20, 8 << 20
 BATCH_ROWS = 20_000
 
