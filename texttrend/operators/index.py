@@ -240,8 +240,9 @@ def part_of(term: Column | str, parts: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
 
 
-def _postings_name() -> str:
-    return f"texttrend_postings_{uuid.uuid4().hex}"
+def new_table(what: str) -> str:
+    """A name of its own for an external table of this session."""
+    return f"texttrend_{what}_{uuid.uuid4().hex}"
 
 
 def _search_index(terms: TermIndex, table: str, parts: int, options: dict) -> SearchIndex:
@@ -282,7 +283,7 @@ def fit_index(
     w = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(w * w).over(Window.partitionBy(id_col)))
     rows = weighted.select(id_col, "term", "tf", "length", norm.alias("norm"), part_of("term", parts).alias("part"))
-    table = _postings_name()
+    table = new_table("postings")
     writer = rows.write.format("parquet").partitionBy("part").bucketBy(buckets, id_col).sortBy("term")
     writer.option("path", f"{path}/postings").saveAsTable(table)
 
@@ -295,7 +296,7 @@ def fit_index(
 def load_index(spark: SparkSession, path: str) -> SearchIndex:
     """The index that ``fit_index`` stored at ``path``, in this or another session."""
     settings = spark.read.parquet(f"{path}/settings").first()
-    id_col, table = settings["id_col"], _postings_name()
+    id_col, table = settings["id_col"], new_table("postings")
     docs = spark.read.parquet(f"{path}/documents")
     id_type = docs.schema[id_col].dataType.simpleString()
     spark.sql(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import compact_date, month_label, month_ranges, parsed_time, within_months
 from ..functions.text import tokenize
+from ..session import is_small, store
 from .topn import top_n
 
 # Page and quota limits of the search service.
@@ -100,6 +101,70 @@ def search_articles(
     )
 
 
+def keyed_queries(articles: DataFrame, queries: DataFrame, text: Column | str = "text") -> DataFrame:
+    """(query_id, words, key): each query's distinct words and the one that fewest articles hold.
+
+    Only the words that queries ask for are counted, with partial counts before
+    the shuffle. Queries without words, or with one that no article holds, can
+    match nothing and are left out.
+    """
+    words = queries.select("query_id", F.array_distinct(tokenize("query")).alias("words")).filter(F.size("words") > 0)
+    each = words.select("query_id", F.size("words").alias("_n"), F.explode("words").alias("word"))
+    asked = each.select("word").distinct()
+    held = articles.select(F.explode_outer(F.array_distinct(tokenize(text))).alias("word"))
+    counts = held.join(_sized(asked), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    rarest = each.join(counts, "word").groupBy("query_id").agg(
+        F.min(F.struct("df", "word")).alias("_rarest"), F.count(F.lit(1)).alias("_found"), F.first("_n").alias("_n")
+    )
+    rarest = rarest.filter("_found = _n").select("query_id", F.col("_rarest.word").alias("key"))
+    return words.join(rarest, "query_id")
+
+
+def _sized(side: DataFrame) -> DataFrame:
+    """A table to be broadcast if it is small, counting no further than that."""
+    return F.broadcast(side) if is_small(side) else side
+
+
+def search_table(
+    articles: DataFrame,
+    queries: DataFrame,
+    start: str,
+    end: str,
+    monthly: bool = True,
+    text: str = "text",
+    time_col: str = "published_at",
+    id_col: str = "doc_id",
+) -> DataFrame:
+    """The articles that match each query of a table (query_id, query), as ``search_articles`` finds them for a list.
+
+    Rows: query_id, range_start, range_end and the article's columns. The plan
+    does not grow with the queries, and no article meets queries of which it
+    lacks the rarest word: articles' distinct words are joined to the queries'
+    rarest ones, and the few pairs this leaves are verified against the
+    article's words in its row. A small table of queries or pairs is broadcast;
+    a larger one is joined by a shuffle, where adaptive execution splits frequent
+    words. ``query_id`` and ``id_col`` must be unique; NULL queries and texts
+    hold no words.
+    """
+    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+    ts = parsed_time(articles, time_col)
+    ranged = within_months(articles, time_col, lo, hi).filter((ts >= lo) & (ts < F.date_add(hi, 1)))
+    keyed = store(keyed_queries(ranged, queries.select("query_id", "query"), text))
+    keys = keyed.select("query_id", "key")
+    held = ranged.select(id_col, F.explode_outer(F.array_distinct(tokenize(text))).alias("key"))
+    pairs = store(held.join(_sized(keys), "key").select("query_id", F.col(id_col).alias("_id")))
+    rows = ranged.select("*", ts.cast("date").alias("_day"), tokenize(text).alias("_tokens"))
+    matched = rows.join(_sized(pairs), F.col(id_col) == F.col("_id")).join(_sized(keyed.select("query_id", "words")), "query_id")
+    # Arrays are hashed for the difference; looking up word by word would pass over the tokens for each.
+    verified = matched.filter(F.size(F.array_except("words", "_tokens")) == 0)
+    if monthly:
+        range_start, range_end = F.greatest(F.trunc("_day", "MM"), lo), F.least(F.last_day("_day"), hi)
+    else:
+        range_start, range_end = lo, hi
+    keep = [c for c in articles.columns if c not in ("query_id", "range_start", "range_end")]
+    return verified.select("query_id", range_start.alias("range_start"), range_end.alias("range_end"), *keep)
+
+
 def oldest_first(
     matches: DataFrame,
     page_size: int | None = None,

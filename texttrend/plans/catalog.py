@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, labels, text
 from ..operators import corpus as corpora
-from ..operators import evaluation, index, model, retrieval, search, sentiment, trends
+from ..operators import bounds, evaluation, index, model, retrieval, search, sentiment, trends
 from ..session import configure, new_path, small_table, store
 from ..sources import articles as sources
 from ..sources import sinks
@@ -148,6 +148,15 @@ def search_whole(spark, folder):
     return found.select("query", _day("range_start"), "position", "doc_id", "published_at")
 
 
+@query
+def search_table(spark, folder):
+    """Every article beside all benchmark items, months apart, whose words it holds."""
+    items = _benchmark_queries(spark, folder)
+    asked = items.unionByName(small_table(spark, list(enumerate(("license", "best no", "the the orre", "the", "zzz", ""), -6)), "query_id long, query string"))
+    found = retrieval.search_table(_corpus(spark, folder), asked, *GRID_RANGE)
+    return found.select("query_id", "doc_id", _day("range_start"), _day("range_end"), "published_at")
+
+
 @query
 def daily_quota(spark, folder):
     return retrieval.daily_quota(views.table(spark, folder, "events"), QUOTA).withColumn("day", _day("day"))
@@ -354,6 +363,32 @@ def bm25_benchmark(spark, folder):
     return _rounded(search.bm25_search(_stored_index(spark, folder), _benchmark_queries(spark, folder)))
 
 
+def _bounded(spark, folder, queries, ranker):
+    found = bounds.bounded_search(bounds.fit_bounds(_stored_index(spark, folder)), queries, ranker)
+    return _rounded(found.results)
+
+
+@query
+def bm25_bounded(spark, folder):
+    """The rows of ``bm25_search``, read from the blocks that can reach them."""
+    return _bounded(spark, folder, SEARCH_QUERIES, "bm25")
+
+
+@query
+def tfidf_bounded(spark, folder):
+    return _bounded(spark, folder, SEARCH_QUERIES, "tfidf")
+
+
+@query
+def bm25_bounded_benchmark(spark, folder):
+    return _bounded(spark, folder, _benchmark_queries(spark, folder), "bm25")
+
+
+@query
+def tfidf_bounded_benchmark(spark, folder):
+    return _bounded(spark, folder, _benchmark_queries(spark, folder), "tfidf")
+
+
 def _compared(spark):
     return small_table(spark, list(enumerate(COMPARE_QUERIES)), "query_id long, query string")
 

@@ -89,6 +89,13 @@ postings AS (SELECT doc_id, term, count(*)::DOUBLE AS tf FROM words GROUP BY ALL
 terms AS (SELECT term, count(*)::DOUBLE AS df FROM postings GROUP BY term)"""
 
 
+def _frequencies(source: str = "documents") -> str:
+    """CTEs of df per term alone: each document's distinct words, without postings."""
+    return f"""distinct_words AS (SELECT unnest(list_distinct({_tokens("text")})) AS term FROM {source}),
+size AS (SELECT count(*)::DOUBLE AS n FROM {source}),
+terms AS (SELECT term, count(*)::DOUBLE AS df FROM distinct_words GROUP BY term)"""
+
+
 STOP_LIST = ", ".join(_literal(w) for w in index.read_stop_words())
 
 
@@ -293,6 +300,17 @@ FROM (SELECT DISTINCT lang AS query FROM documents), ranges""",
 SELECT doc_id, query, range_start, range_end, published_at FROM found""",
     "oldest_topn": _oldest(True, 2),
     "search_whole": _oldest(False, 30),
+    "search_table": f"""WITH {CORPUS},
+asked AS (
+  SELECT item_id AS query_id, text AS query FROM benchmark
+  UNION ALL VALUES (-6, 'license'), (-5, 'best no'), (-4, 'the the orre'), (-3, 'the'), (-2, 'zzz'), (-1, '')),
+worded AS (SELECT query_id, list_distinct({_tokens("query")}) AS ws FROM asked),
+ranged AS (
+  SELECT doc_id, published_at, ts, list_distinct({_tokens("text")}) AS t FROM corpus
+  WHERE ts::DATE BETWEEN DATE '{catalog.GRID_RANGE[0]}' AND DATE '{catalog.GRID_RANGE[1]}')
+SELECT query_id, doc_id, strftime(greatest(date_trunc('month', ts)::DATE, DATE '{catalog.GRID_RANGE[0]}'), '%Y-%m-%d') AS range_start,
+  strftime(least(last_day(ts::DATE), DATE '{catalog.GRID_RANGE[1]}'), '%Y-%m-%d') AS range_end, published_at
+FROM ranged JOIN worded ON len(ws) > 0 AND list_has_all(t, ws)""",
     "daily_quota": f"""SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS requests,
   greatest(0, {catalog.QUOTA} - count(*)) AS remaining FROM events GROUP BY 1""",
     "quota_admit": f"""SELECT event_id AS request_id, strftime(ts, '%Y-%m-%d') AS day,
@@ -340,7 +358,7 @@ SELECT doc_id, term, tf::INT AS tf, round(weight, 6) AS weight FROM weights""",
     "bm25_stats": f"""WITH {_postings()}, {BM25_IDF}
 SELECT n::BIGINT AS n_docs, n_tokens::BIGINT AS n_tokens, round(n_tokens / n, 6) AS avgdl,
   (SELECT count(*) FROM terms) AS n_terms, round(mean_idf, 6) AS mean_idf FROM size, mean""",
-    "bm25_idf": f"WITH {_postings()}, {BM25_IDF} SELECT term, round(idf, 6) AS idf FROM bm25",
+    "bm25_idf": f"WITH {_frequencies()}, {BM25_IDF} SELECT term, round(idf, 6) AS idf FROM bm25",
     "tfidf_search": _search("tfidf", catalog.SEARCH_QUERIES),
     "tfidf_search_pruned": _search("tfidf", catalog.SEARCH_QUERIES, max_df=catalog.MAX_DF_PRUNED),
     "tfidf_matches": _search("tfidf", catalog.SEARCH_QUERIES, fill_zero=False),
@@ -348,6 +366,10 @@ SELECT n::BIGINT AS n_docs, n_tokens::BIGINT AS n_tokens, round(n_tokens / n, 6)
     "bm25_matches": _search("bm25", catalog.SEARCH_QUERIES, fill_zero=False),
     "tfidf_benchmark": _search("tfidf", BENCHMARK),
     "bm25_benchmark": _search("bm25", BENCHMARK),
+    "bm25_bounded": _search("bm25", catalog.SEARCH_QUERIES),
+    "tfidf_bounded": _search("tfidf", catalog.SEARCH_QUERIES),
+    "bm25_bounded_benchmark": _search("bm25", BENCHMARK),
+    "tfidf_bounded_benchmark": _search("tfidf", BENCHMARK),
     "relevance": f"WITH {JUDGED} SELECT ranker, query, rank, doc_id, article_query, rel FROM judged",
     "rank_compare": f"""WITH {JUDGED},
 {_metrics("judged", "ranker, query", 10)}
