@@ -26,7 +26,7 @@ UNKNOWN, BREAK = "und", b"\n"
 _PIECES = re.compile(rb"[.,;:!?\n-\r]+").sub
 _WORDS = re.compile(rb"[^ \t]+").findall
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-PARSE_BYTES, COUNT_BYTES = 32 << 20, 16 << 20
+PARSE_BYTES, COUNT_BYTES = 24 << 20, 10 << 20
 
 
 # --- parsing ---------------------------------------------------------------------------------------
@@ -36,7 +36,7 @@ class _Hashes(dict):
     """Words to 64-bit hashes, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -118,10 +118,11 @@ class Dictionary:
         langs = rows.column("lang").combine_chunks().dictionary_encode()
         lengths = np.diff(split.offsets.to_numpy())
         self.words, self.langs = words.dictionary, langs.dictionary
-        self.word = words.indices.to_numpy().astype(np.int64)
-        self.lang = np.repeat(langs.indices.to_numpy().astype(np.int64), lengths)
-        self.parses = np.repeat(rows.column("parses").to_numpy(), lengths)
-        self.place = np.arange(len(self.word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.word = words.indices.to_numpy()  # 32 bits wide, as all that follows
+        self.lang = np.repeat(langs.indices.to_numpy(), lengths)
+        self.chunk = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        self.chunk_parses = rows.column("parses").to_numpy()
+        self.place = np.arange(len(self.word), dtype=np.int32) - np.repeat((np.cumsum(lengths) - lengths).astype(np.int32), lengths)
         self.solid = np.array(pc.not_equal(self.words, BREAK.decode()).to_numpy(zero_copy_only=False))[self.word]
         self.own = self.solid & (self.place >= overlap)  # behind the overlap: counted here and nowhere else
 
@@ -134,13 +135,12 @@ class Dictionary:
 
     def counts(self, at: np.ndarray, n: int) -> tuple[pa.Array, pa.Array, np.ndarray]:
         """(language, phrase, occurrences) of the distinct ``n``-grams that end at these places."""
-        _, key = np.unique(self.lang[at] * len(self.words) + self.word[at - n + 1], return_inverse=True)
-        first = None
-        for back in range(n - 2, -1, -1):
-            _, first, key = np.unique(key * len(self.words) + self.word[at - back], return_index=True, return_inverse=True)
-        if first is None:
-            _, first = np.unique(key, return_index=True)
-        times = np.bincount(key, weights=self.parses[at], minlength=len(first)).astype(np.int64)
+        key = self.lang[at].astype(np.int64)
+        for back in range(n - 1, -1, -1):
+            key *= len(self.words)
+            key += self.word[at - back]
+            _, first, key = np.unique(key, return_index=True, return_inverse=True)
+        times = np.bincount(key, weights=self.chunk_parses[self.chunk[at]], minlength=len(first)).astype(np.int64)
         spoken = [self.words.take(pa.array(self.word[at[first] - back])) for back in range(n - 1, -1, -1)]
         phrases = pc.binary_join_element_wise(*spoken, " ") if n > 1 else spoken[0]
         return self.langs.take(pa.array(self.lang[at[first]])), phrases, times
@@ -188,7 +188,7 @@ def counted(dictionary: DataFrame, lengths: tuple[int, ...], least: int, overlap
             own = Dictionary(rows, overlap)
             found = []
             if totals:
-                words = np.bincount(own.lang[own.own], weights=own.parses[own.own], minlength=len(own.langs)).astype(np.int64)
+                words = np.bincount(own.lang[own.own], weights=own.chunk_parses[own.chunk[own.own]], minlength=len(own.langs)).astype(np.int64)
                 found.append((own.langs, pa.array([""] * len(own.langs)), words))
             for n in lengths:
                 at = own.ends(n)
