@@ -57,14 +57,14 @@ def got(docs, **options):
     return sorted(map(tuple, co.collocations(docs, **options).collect()))
 
 
-@pytest.mark.parametrize("longest, modulus, bound", [(3, 16, 2_000_000), (3, 1, 0), (2, 5, 10), (4, 3, 2_000_000), (4, 50, 0)])
-def test_every_row_as_the_contract_says(spark, longest, modulus, bound):
+@pytest.mark.parametrize("longest, modulus, bits", [(3, 16, 27), (3, 1, 6), (2, 5, 10), (4, 3, 20), (4, 50, 7)])
+def test_every_row_as_the_contract_says(spark, longest, modulus, bits):
     docs = prose(longest, 60, vocabulary=8)
     docs += [docs[0]] * 25  # repeated rows
     df = spark.createDataFrame(docs, SCHEMA)
     want = plain([d[1:3] for d in docs], longest=longest)
     assert len(want) > 100
-    assert got(df, longest=longest, modulus=modulus, pruning_bound=bound) == want
+    assert got(df, longest=longest, modulus=modulus, pruning_bits=bits) == want
 
 
 def test_edge_rows(edge_docs, edge_rows, no_docs):

@@ -14,13 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.topn import top_n
-from ..session import is_small, store
+from ..session import store
 from .common import ship
 
 LONGEST, LEAST, SHARE, KEPT = 3, 10, 50, 2000
-MODULUS = 16  # one window in so many ends a chunk
-# Frequent phrases whose hashes every task may hold (8 bytes each) to leave out longer phrases; beyond it none is left out.
-PRUNING_BOUND = 2_000_000
+MODULUS = 48  # one window in so many ends a chunk
+# A map of 2 ** PRUNING_BITS bits (16 MB, whatever the corpus) tells tasks which shorter phrases are frequent.
+PRUNING_BITS = 27
 UNKNOWN, BREAK = "und", b"\n"
 
 _PIECES = re.compile(rb"[.,;:!?\n-\r]+").sub
@@ -174,13 +174,21 @@ def _tables(batches, most: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def counted(dictionary: DataFrame, lengths: tuple[int, ...], least: int, overlap: int, frequent: np.ndarray | None = None, totals: bool = False) -> DataFrame:
+def counted(
+    dictionary: DataFrame,
+    lengths: tuple[int, ...],
+    least: int,
+    overlap: int,
+    frequent: np.ndarray | None = None,
+    bits: int = PRUNING_BITS,
+    totals: bool = False,
+) -> DataFrame:
     """(lang, phrase, f) of all phrases of these lengths with f >= ``least``.
 
     An n-gram counts as often as its chunk was parsed, in the one chunk that
-    holds its last word behind the overlap. With ``frequent`` (sorted hashes of
-    the frequent phrases one word shorter) phrases with an infrequent part are
-    left out before the shuffle; with ``totals`` the phrase '' counts all words.
+    holds its last word behind the overlap. With ``frequent`` (a map of the
+    frequent phrases one word shorter) phrases with an infrequent part are left
+    out before the shuffle; with ``totals`` the phrase '' counts all words.
     """
 
     def count(batches):
@@ -193,8 +201,7 @@ def counted(dictionary: DataFrame, lengths: tuple[int, ...], least: int, overlap
             for n in lengths:
                 at = own.ends(n)
                 if frequent is not None:
-                    hashes = own.hashes(n - 1)
-                    known = frequent[np.minimum(np.searchsorted(frequent, hashes), max(0, len(frequent) - 1))] == hashes if len(frequent) else np.zeros(len(hashes), bool)
+                    known = has_bit(frequent, own.hashes(n - 1), bits)
                     at = at[known[at] & known[at - 1]]
                 if len(at):
                     found.append(own.counts(at, n))
@@ -205,16 +212,28 @@ def counted(dictionary: DataFrame, lengths: tuple[int, ...], least: int, overlap
     return partial.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("phrase") == ""))
 
 
-def frequent_hashes(table: DataFrame, bound: int = PRUNING_BOUND) -> np.ndarray | None:
-    """Sorted hashes of a stored table of phrases of one length; None if there are more than ``bound``."""
-    if not is_small(table, bound):
-        return None
+def frequent_bits(table: DataFrame, bits: int = PRUNING_BITS) -> np.ndarray:
+    """A map with the bit of every phrase of a stored table set, found by its hash.
+
+    Its size is fixed: the more phrases a corpus has, the more infrequent ones
+    share a bit with a frequent one and are counted on, to be left out by their
+    exact count. None that is frequent is ever left out.
+    """
 
     def hashed(langs: pa.Array, phrases: pa.Array) -> pa.Array:
-        return pa.array(phrase_hashes(langs.to_pylist(), phrases.to_pylist()).view(np.int64))
+        return pa.array((phrase_hashes(langs.to_pylist(), phrases.to_pylist()) & np.uint64((1 << bits) - 1)).astype(np.int64))
+
+    bit = F.arrow_udf(hashed, "long")("lang", "phrase").alias("_bit")
+    words = ship(table).select(bit).select(F.shiftright("_bit", 6).alias("at"), F.expr("shiftleft(1L, CAST(_bit & 63 AS INT))").alias("mask"))
+    found = words.groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(max(1, 1 << bits >> 6), np.uint64)
+    out[found.column("at").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
+    return out
+
 
-    found = ship(table).select(F.arrow_udf(hashed, "long")("lang", "phrase").alias("h")).toArrow()
-    return np.sort(found.column("h").to_numpy().view(np.uint64))
+def has_bit(frequent: np.ndarray, hashes: np.ndarray, bits: int = PRUNING_BITS) -> np.ndarray:
+    bit = hashes & np.uint64((1 << bits) - 1)
+    return (frequent[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
 
 # --- scores ----------------------------------------------------------------------------------------
@@ -236,7 +255,7 @@ def collocations(
     share: int = SHARE,
     kept: int = KEPT,
     modulus: int = MODULUS,
-    pruning_bound: int = PRUNING_BOUND,
+    pruning_bits: int = PRUNING_BITS,
 ) -> DataFrame:
     """The first ``kept`` phrases of each language: lang, rank, phrase, a, l, r, n, score.
 
@@ -256,7 +275,7 @@ def collocations(
     words = lambda c: F.size(F.split(c, " "))
     levels, last = [first.where("phrase != ''")], first.where((F.col("phrase") != "") & (words("phrase") == 2))
     for n in range(3, longest + 1):
-        last = store(counted(dictionary, (n,), least, overlap, frequent_hashes(last, pruning_bound)))
+        last = store(counted(dictionary, (n,), least, overlap, frequent_bits(last, pruning_bits), pruning_bits))
         levels.append(last)
     counts = levels[0]
     for level in levels[1:]:
