@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .claims import publish_once, published, read_published
+
+CLAIM = "name string, run_date string, run_seq int, owner string, state string"
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     """CSV with a header and doubled quotes, a part file per task."""
@@ -46,16 +53,61 @@ def list_runs(spark: SparkSession, root: str, name: str) -> DataFrame:
     return taken.withColumn("run_date", F.to_date("run_date", "yyyyMMdd"))
 
 
+def _claims(root: str, name: str, run_date: str) -> str:
+    return f"{root.rstrip('/')}/{name}/_claims/run_date={run_date.replace('-', '')}"
+
+
+def claim_run(spark: SparkSession, root: str, name: str, run_date: str, owner: str | None = None) -> int:
+    """Take the next run number of a day for this writer alone.
+
+    The number above all taken ones is tried first; if another writer publishes
+    the same claim before, the next number is, until one is free. Folders
+    written without a claim count as taken, numbers of removed runs stay taken.
+    """
+    owner, folder = owner or uuid.uuid4().hex, _claims(root, name, run_date)
+    written = list_runs(spark, root, name).filter(F.col("run_date") == F.lit(run_date).cast("date")).agg(F.max("run_seq")).first()[0] or 0
+    claimed = [int(n.split(".")[0]) for n in published(spark, f"{folder}/*.claimed.json")]
+    number = max([written, *claimed]) + 1
+    day = date.fromisoformat(run_date).isoformat()
+    while not publish_once(spark, f"{folder}/{number:03d}.claimed.json", {"name": name, "run_date": day, "run_seq": number, "owner": owner, "state": "claimed"}):
+        number += 1
+    return number
+
+
+def finish_run(spark: SparkSession, root: str, name: str, run_date: str, number: int, owner: str) -> None:
+    """Mark a run as written; fails if it is marked already."""
+    entry = {"name": name, "run_date": run_date, "run_seq": number, "owner": owner, "state": "finished"}
+    if not publish_once(spark, f"{_claims(root, name, run_date)}/{number:03d}.finished.json", entry):
+        raise ValueError(f"run {number} of {name} on {run_date} is finished already")
+
+
+def runs_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """(name, run_date, run_seq, owner, finished): every claimed run, one row each.
+
+    A run that is not finished is being written, or its writer was lost; its
+    folder must not be read.
+    """
+    entries = read_published(spark, f"{root.rstrip('/')}/{name}/_claims/run_date=*/*.json", CLAIM)
+    runs = entries.groupBy("name", F.col("run_date").cast("date").alias("run_date"), "run_seq")
+    return runs.agg(F.max("owner").alias("owner"), F.max(F.col("state") == "finished").alias("finished"))
+
+
+def run_path(root: str, name: str, run_date: str, number: int) -> str:
+    return f"{root.rstrip('/')}/{name}/run_date={run_date.replace('-', '')}/run_seq={number:03d}"
+
+
 def write_run(df: DataFrame, root: str, name: str, run_date: str, partition_by: tuple[str, ...] = ()) -> str:
     """Write below ``root/name/run_date=YYYYMMDD/run_seq=NNN`` and return that folder.
 
-    ``run_date`` is YYYY-MM-DD. An existing folder is an error, never overwritten.
+    ``run_date`` is YYYY-MM-DD. The number is claimed before anything is
+    written, so writers at the same time get different folders, and the run is
+    marked as finished after. An existing folder is an error, never overwritten.
     """
-    runs = list_runs(df.sparkSession, root, name).filter(F.col("run_date") == F.lit(run_date).cast("date"))
-    following = next_runs(runs).first()
-    sequence = following["run_seq"] if following else 1
-    path = f"{root.rstrip('/')}/{name}/run_date={run_date.replace('-', '')}/run_seq={sequence:03d}"
+    spark, owner = df.sparkSession, uuid.uuid4().hex
+    number = claim_run(spark, root, name, run_date, owner)
+    path = run_path(root, name, run_date, number)
     write_parquet(df, path, partition_by)
+    finish_run(spark, root, name, run_date, number, owner)
     return path
 
 
