@@ -126,12 +126,18 @@ def test_windows_hold_related_documents(spark):
     assert alike > 0.8  # a quarter by chance
 
 
-def test_document_frequencies(spark, docs_of):
-    rows = neighbours.encoded(docs_of(["a b a", "b c", None, ""]), "doc_id", "text", byte_tokens.byte_tokenizer(), 0)
-    frequency = neighbours.document_frequencies(rows, 50_257)
+def test_passage_frequencies(docs_of):
+    rows = neighbours.passages(docs_of(["a b a", "b c", None, ""]), "doc_id", "text", byte_tokens.byte_tokenizer(), 0, 1024)
+    frequency = neighbours.passage_frequencies(rows, 50_257)
     assert frequency[0] == 4 and sorted(frequency[frequency > 0].tolist()) == [1, 1, 1, 1, 1, 4]  # the end, and a, b with and without a space, c
 
 
+def test_long_texts_are_rows_of_a_window(docs_of):
+    rows = neighbours.passages(docs_of(["a " * 5000, "b"]), "doc_id", "text", byte_tokens.byte_tokenizer(), 0, 64).collect()
+    assert max(r.length for r in rows) == 64 and all(len(r.ids) == 2 * r.length for r in rows)
+    assert sum(r.length == 64 for r in rows) > 70 and sum(r.length < 64 for r in rows) == 2
+
+
 def test_tail_is_cut_at_powers_of_two():
     windows = neighbours.fill_windows([700, 400, 90], lambda doc, used: [], 1024)
     assert [sum(n for *_, n in w) for w in windows] == [1024, 128, 32, 4, 2]

@@ -19,44 +19,57 @@ CAPACITY, END_ID = 1024, 0
 K1, B = 1.5, 0.75
 TERMS, NEAREST = 16, 32  # terms of a query, and neighbours looked at for one that fits whole
 SHARD_TOKENS, PART_TOKENS = 4 << 20, 8 << 20
-BATCH_ROWS = 20_000
+BATCH_IDS, BATCH_ROWS = 2 << 20, 20_000
 
 
-def encoded(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> DataFrame:
-    """(doc_id, doc_tokens, first, second, ids) of every whole text: its ids with ``end_id``, and its two highest.
+def passages(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+    """(doc_id, doc_tokens, start, length, ids_crc32, first, second, ids): every whole text's ids and ``end_id``, cut every ``capacity``.
 
-    Byte-pair merges are learned in order of frequency, so the highest ids are
-    the rarest tokens a text has; documents that share them are dealt together.
+    ``first`` and ``second`` are the highest ids of a passage that does not fill
+    a window: byte-pair merges are learned in order of frequency, so these are
+    its rarest tokens, and passages that share them are dealt together. No row
+    holds more than a window, however long its text is.
     """
     id_type = docs.schema[id_col].dataType
+    names = ("doc_id", "doc_tokens", "start", "length", "ids_crc32", "first", "second", "ids")
+
+    def cut(batches):
+        from pyspark.sql.pandas.types import to_arrow_type
 
-    def encode(batches):
         encoder = text_encoder(tokenizer)
         kind = _kind(max(encoder.size, end_id + 1))
-        for batch in batches:
-            ids, sizes, firsts, seconds = [], [], [], []
-            for text in batch.column(1):
-                own = encoder.ids(text.as_py())
-                first = int(own.max(initial=0))
-                firsts.append(first)
-                seconds.append(int(own.max(initial=0, where=own != first)))
-                sizes.append(len(own) + 1)
-                ids.append(np.append(own, np.uint32(end_id)).astype(kind).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(firsts, pa.int32()), pa.array(seconds, pa.int32()), pa.array(ids, pa.binary())],
-                names=["doc_id", "doc_tokens", "first", "second", "ids"],
-            )
-
-    schema = f"doc_id {id_type.simpleString()}, doc_tokens long, first int, second int, ids binary"
-    return ship(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(encode, schema)
+        types = (to_arrow_type(id_type), *[pa.int64()] * 4, pa.int32(), pa.int32(), pa.binary())
+        out, size = [], 0
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=list(names))
+
+        for rows in batches:
+            for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1)):
+                own = np.append(encoder.ids(text.as_py()), np.uint32(end_id))
+                for start in range(0, len(own), capacity):
+                    part, first, second = own[start : start + capacity], 0, 0
+                    if len(part) < capacity:
+                        first = int(part.max())
+                        second = int(part.max(initial=0, where=part != first))
+                    out.append((doc_id, len(own), start, len(part), zlib.crc32(part.astype("<u4").tobytes()), first, second, part.astype(kind).tobytes()))
+                    size += len(part)
+                    if size >= BATCH_IDS:
+                        yield batch()
+                        out, size = [], 0
+        if out:
+            yield batch()
+
+    schema = f"doc_id {id_type.simpleString()}, doc_tokens long, start long, length long, ids_crc32 long, first int, second int, ids binary"
+    return ship(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, schema)
 
 
 def _kind(ids: int) -> str:
     return "<u2" if ids <= 1 << 16 else "<u4"
 
 
-def document_frequencies(rows: DataFrame, size: int) -> np.ndarray:
-    """In how many documents each token id occurs: ``size`` numbers, one partial sum per id and task."""
+def passage_frequencies(rows: DataFrame, size: int) -> np.ndarray:
+    """In how many passages each token id occurs: ``size`` numbers, one partial sum per id and task."""
     kind = _kind(size)
 
     def count(batches):
@@ -74,7 +87,7 @@ def document_frequencies(rows: DataFrame, size: int) -> np.ndarray:
 
 
 class Shard:
-    """An inverted index over some documents' token ids, with BM25 weights of the whole corpus."""
+    """An inverted index over some passages' token ids, with BM25 weights of the whole corpus."""
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, average: float):
         found = [np.unique(x, return_counts=True) for x in ids]
@@ -176,12 +189,13 @@ def powers_of_two(window: list[tuple[int, int, int]]) -> list[list[tuple[int, in
 
 
 def _shards(batches, kind: str, shard_tokens: int) -> Iterator[list[tuple]]:
-    """(doc_id, ids) of neighbouring rows in lists of about ``shard_tokens`` ids."""
+    """(doc_id, start, doc_tokens, ids) of neighbouring rows in lists of about ``shard_tokens`` ids."""
     held, size = [], 0
     for batch in batches:
-        for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+        columns = (batch.column(c).to_pylist() for c in ("doc_id", "start", "doc_tokens"))
+        for *row, value in zip(*columns, batch.column("ids")):
             ids = np.frombuffer(value.as_py(), kind)
-            held.append((doc_id, ids))
+            held.append((*row, ids))
             size += len(ids)
             if size >= shard_tokens:
                 yield held
@@ -203,28 +217,31 @@ def pack_by_retrieval(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ``ids`` if asked for.
 
-    Texts are encoded once and written; token ids are the terms, so the
-    corpus-wide document frequencies are one number per id of the vocabulary.
-    Documents are sorted into ranges by their rarest tokens, and each task cuts
-    its range into shards of about ``shard_tokens`` ids (a longer document is a
-    shard of its own), indexes a shard and fills its windows. Each shard ends in
-    a few sequences of a power of two, all others hold ``capacity`` ids: nothing
-    is padded. Repeated rows are dealt by row, so no range outgrows its task.
+    Texts are encoded once and written in passages of at most a window. Those
+    that fill their window are sequences already. The others (short documents
+    and what is left of longer ones) are sorted into ranges by their rarest
+    tokens; each task cuts its range into shards of about ``shard_tokens`` ids,
+    indexes a shard and fills its windows with the seeds' neighbours. Token ids
+    are the terms, so the corpus-wide passage frequencies are one number per id
+    of the vocabulary. Each shard ends in a few sequences of a power of two, all
+    others hold ``capacity`` ids: nothing is padded. Repeated rows are dealt by
+    row, so no range outgrows its task.
 
     NULL and empty texts are the end id alone; repeated rows and NULL ids are
     packed as often as they occur; an empty table gives no rows; other columns
-    are not read. The ids of one document meet in one task.
+    are not read.
     """
     tokenizer = tokenizer or byte_tokenizer()
     size = max(text_encoder(tokenizer).size, end_id + 1)
     kind = _kind(size)
     # By a hash of the rarest token: long texts have the rarest ones and would meet in the last ranges.
     deal = {"_deal": F.xxhash64("first"), "_row": F.monotonically_increasing_id()}
-    rows = store(encoded(docs, id_col, text_col, tokenizer, end_id).withColumns(deal))
-    total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("doc_tokens"), F.lit(0)).alias("tokens")).first()
-    frequency = document_frequencies(rows, size)
+    rows = store(passages(docs, id_col, text_col, tokenizer, end_id, capacity).withColumns(deal))
+    open_tokens = F.sum(F.when(F.col("length") < capacity, F.col("length")))
+    total = rows.agg(F.count("*").alias("n"), F.sum("length").alias("tokens"), F.coalesce(open_tokens, F.lit(0)).alias("open")).first()
+    frequency = passage_frequencies(rows, size)
     idf = np.log1p((total.n - frequency + 0.5) / (frequency + 0.5)).astype(np.float32)
-    average = max(1.0, total.tokens / max(1, total.n))
+    average = (total.tokens or 1) / max(1, total.n)
     id_type = docs.schema[id_col].dataType
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if with_ids else [])]
 
@@ -232,19 +249,19 @@ def pack_by_retrieval(
         from pyspark.sql.pandas.types import to_arrow_type
 
         types = [to_arrow_type(id_type), *[pa.int64()] * 6, *([pa.binary()] if with_ids else [])]
-        sequence, out = TaskContext.get().partitionId() << 40, []
+        sequence, out = (1 << 62) + (TaskContext.get().partitionId() << 40), []  # beyond the numbers of rows
 
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
         for held in _shards(batches, kind, shard_tokens):
-            shard = Shard([ids for _, ids in held], idf, average)
-            for window in fill_windows([len(ids) for _, ids in held], shard.neighbours, capacity):
+            shard = Shard([ids for *_, ids in held], idf, average)
+            for window in fill_windows([len(ids) for *_, ids in held], shard.neighbours, capacity):
                 offset = 0
-                for doc, start, length in window:
-                    doc_id, ids = held[doc]
-                    data = ids[start : start + length].astype("<u4").tobytes()
-                    out.append((doc_id, start, length, zlib.crc32(data), len(ids), sequence, offset, *([data] if with_ids else [])))
+                for passage, begin, length in window:
+                    doc_id, start, tokens, ids = held[passage]
+                    data = ids[begin : begin + length].astype("<u4").tobytes()
+                    out.append((doc_id, start + begin, length, zlib.crc32(data), tokens, sequence, offset, *([data] if with_ids else [])))
                     offset += length
                 sequence += 1
                 if len(out) >= BATCH_ROWS:
@@ -253,8 +270,18 @@ def pack_by_retrieval(
         if out:
             yield batch()
 
-    parts = max(1, -(-total.tokens // part_tokens))
+    parts = max(1, -(-total.open // part_tokens))
     key = ("_deal", "second", "_row")
-    ranged = ship(rows).repartitionByRange(parts, *key).sortWithinPartitions(*key).select("doc_id", "ids")
+    unfilled = ship(rows).where(F.col("length") < capacity).select("doc_id", "start", "doc_tokens", "ids", *key)
+    ranged = unfilled.repartitionByRange(parts, *key).sortWithinPartitions(*key).drop(*key)
     schema = f"doc_id {id_type.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return ranged.mapInArrow(pack, schema + (", ids binary" if with_ids else ""))
+    packed = ranged.mapInArrow(pack, schema + (", ids binary" if with_ids else ""))
+    full = rows.where(F.col("length") == capacity).withColumns({"sequence_id": F.col("_row"), "offset": F.lit(0).cast("long")})
+    if with_ids and kind == "<u2":
+        full = full.withColumn("ids", F.arrow_udf(_widened, "binary")("ids"))
+    return full.select(*names).unionByName(packed)
+
+
+def _widened(ids: pa.Array) -> pa.Array:
+    """16-bit ids as 32-bit ones."""
+    return pa.array([np.frombuffer(v.as_buffer(), "<u2").astype("<u4").tobytes() for v in ids], pa.binary())
