@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, labels, text
 from ..operators import corpus as corpora
-from ..operators import bounds, evaluation, index, model, retrieval, search, sentiment, trends
+from ..operators import bounds, evaluation, index, model, retrieval, search, sentiment, states, trends
+from ..operators.segments import SegmentStore
 from ..session import configure, new_path, small_table, store
 from ..sources import articles as sources
-from ..sources import sinks
+from ..sources import metrics, sinks
+from ..sources.collection import Collection
+from ..schemas import ARTICLE_COLUMNS
 from . import analysis, views
 
 SEARCH_QUERIES = ("license", "best no", "the the orre", "the", "zzz")
@@ -104,6 +107,52 @@ def run_version(spark, folder):
     return sinks.next_runs(runs).withColumn("run_date", _day("run_date"))
 
 
+@query
+def run_claims(spark, folder):
+    """Runs of the orders of each status, claimed and written one after another, and what was read back of them."""
+    root, orders = new_path(spark), views.table(spark, folder, "orders")
+    for status in ("F", "O", "P"):
+        sinks.write_run(orders.filter(F.col("o_orderstatus") == status), root, "orders", "2024-12-31")
+    runs = sinks.runs_table(spark, root, "orders").filter("finished")
+    folders = spark.read.option("basePath", f"{root}/orders").parquet(f"{root}/orders/run_date=*")
+    rows = folders.groupBy("run_seq").agg(F.count(F.lit(1)).alias("n"), F.max("o_orderstatus").alias("status"))
+    return runs.join(rows, "run_seq").select("run_seq", _day("run_date"), "status", "n")
+
+
+@query
+def collect_metrics(spark, folder):
+    """What is counted while the pages' articles are written, beside the rows read back."""
+    path = new_path(spark)
+    seen = metrics.write_collected(_pages(spark, folder), path, source="events")
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("stored"), *(F.lit(v).cast("long").alias(k) for k, v in seen.items()))
+
+
+@query
+def resumed_collection(spark, folder):
+    """The ledger after an attempt in which error responses fail their searches, and another that repairs them."""
+    collected, pages = Collection(spark, new_path(spark)), store(_pages(spark, folder))
+    grid = pages.select("query", "range_start")
+
+    def landed(searches):
+        return pages.join(searches, ["query", "range_start"], "left_semi").select(pages.columns)
+
+    collected.run(grid, landed, keep=("event_id",))
+    collected.run(grid, lambda searches: landed(searches).withColumn("status", F.lit(sources.STATUS_OK)), keep=("event_id",))
+    found = collected.articles().groupBy("query", "range_start").agg(F.countDistinct("event_id").alias("articles"))
+    ledger = collected.ledger().join(found, ["query", "range_start"], "left")
+    return ledger.select("query", "range_start", "attempt", "status", "pages", "bad_pages", F.coalesce("articles", F.lit(0)).alias("articles"))
+
+
+@query
+def csv_round_trip(spark, folder):
+    """Articles written as CSV and read again."""
+    path = new_path(spark)
+    sinks.write_csv(_articles(spark, folder).select(*ARTICLE_COLUMNS), path)
+    articles = sources.read_articles(spark, path)
+    filled = [F.coalesce(c, F.lit("")).alias(c) for c in ARTICLE_COLUMNS]
+    return articles.select(*filled).groupBy(*ARTICLE_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- retrieval ----------------------------------------------------------------------
 
 
@@ -389,6 +438,32 @@ def tfidf_bounded_benchmark(spark, folder):
     return _bounded(spark, folder, _benchmark_queries(spark, folder), "tfidf")
 
 
+def _segments(spark, folder):
+    """Documents by language, and benchmark items that are deleted again."""
+    docs, items = views.documents(spark, folder).select("doc_id", "text"), views.table(spark, folder, "benchmark")
+    english = views.documents(spark, folder).filter("lang = 'en'").select("doc_id", "text")
+    others = views.documents(spark, folder).filter("lang != 'en' OR lang IS NULL").select("doc_id", "text")
+    extra = items.select((-1 - F.col("item_id")).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text")
+    kept = SegmentStore(spark, new_path(spark)).create()
+    kept.add(english)
+    kept.add(others.unionByName(extra))
+    kept.delete(extra.select("doc_id"))
+    return kept
+
+
+@query
+def bm25_segments(spark, folder):
+    """The rows of ``bm25_search``, over an index grown in segments."""
+    return _rounded(search.bm25_search(_segments(spark, folder).load(norms=False), SEARCH_QUERIES))
+
+
+@query
+def tfidf_segments(spark, folder):
+    kept = _segments(spark, folder)
+    kept.compact()
+    return _rounded(search.tfidf_search(kept.load(), SEARCH_QUERIES))
+
+
 def _compared(spark):
     return small_table(spark, list(enumerate(COMPARE_QUERIES)), "query_id long, query string")
 
@@ -485,6 +560,31 @@ def distribution_lineitem(spark, folder):
     return _rounded_statistics(trends.sentiment_distribution(scores, keys, pos_th=0.025, neg_th=-0.025))
 
 
+def _states(spark, folder):
+    """Daily states of the articles, stored in two batches, the second of them run twice."""
+    path, scores = new_path(spark), _article_scores(spark, folder, "query", "published_at")
+    first = F.coalesce(F.col("query") == "en", F.lit(False))
+    for batch, rows in (("a", first), ("b", ~first), ("b", ~first)):
+        states.update_states(states.daily_states(scores.filter(rows), ["query"]), path, batch)
+    return states.read_states(spark, path)
+
+
+@query
+def distribution_merged(spark, folder):
+    """The rows of ``sentiment_distribution``, from states."""
+    return _rounded_statistics(states.distribution_of(_states(spark, folder)))
+
+
+@query
+def distribution_merged_by(spark, folder):
+    return _rounded_statistics(states.distribution_of(_states(spark, folder), ["query"]))
+
+
+@query
+def trend_merged(spark, folder):
+    return _trend(states.trend_of(_states(spark, folder)))
+
+
 @query
 def parse_time(spark, folder):
     usable, _ = trends.split_unparsed(_articles(spark, folder))

@@ -282,6 +282,25 @@ FROM documents, (VALUES ('best'), ('no'), ('license')) AS asked(q) WHERE list_co
   max(o_custkey) + 1 AS run_seq,
   o_orderstatus || '_' || strftime(o_orderdate, '%Y%m%d') || '_' || printf('%03d', max(o_custkey) + 1) AS run_name
 FROM orders GROUP BY o_orderstatus, o_orderdate""",
+    "run_claims": """SELECT row_number() OVER (ORDER BY o_orderstatus)::INT AS run_seq, '2024-12-31' AS run_date,
+  o_orderstatus AS status, count(*) AS n FROM orders GROUP BY o_orderstatus""",
+    "collect_metrics": _pages(
+        """count(*) FILTER (ok AND event_type <> 'purchase') AS stored, count(*) AS pages, count(*) FILTER (NOT ok) AS rejected,
+  0::BIGINT AS corrupt, coalesce(sum(k) FILTER (ok AND NOT later_page), 0)::BIGINT AS hits,
+  count(*) FILTER (ok AND event_type <> 'purchase') AS articles, 0::BIGINT AS time_rejects""",
+        "true",
+    ),
+    "resumed_collection": """WITH searches AS (
+  SELECT event_type AS query, strftime(ts, '%Y-%m-%d') AS range_start, count(*) AS pages,
+    CASE WHEN event_type = 'purchase' THEN 0 ELSE count(*) END AS articles
+  FROM events GROUP BY 1, 2)
+SELECT query, range_start, 1 AS attempt, CASE WHEN query = 'error' THEN 'failed' ELSE 'finished' END AS status, pages,
+  CASE WHEN query = 'error' THEN pages ELSE 0 END AS bad_pages, articles FROM searches
+UNION ALL SELECT query, range_start, 2, 'finished', pages, 0, articles FROM searches WHERE query = 'error'""",
+    "csv_round_trip": f"""WITH {ARTICLES}
+SELECT coalesce(query, '') AS query, coalesce(source, '') AS source, coalesce(author, '') AS author, coalesce(title, '') AS title,
+  coalesce(description, '') AS description, coalesce(content, '') AS content, url, published_at, count(*) AS n
+FROM articles GROUP BY ALL""",
     "month_ranges": """WITH spans AS (
   SELECT o_custkey, min(o_orderdate)::DATE AS lo, max(o_orderdate)::DATE AS hi FROM orders GROUP BY 1),
 months AS (
@@ -366,6 +385,8 @@ SELECT n::BIGINT AS n_docs, n_tokens::BIGINT AS n_tokens, round(n_tokens / n, 6)
     "bm25_matches": _search("bm25", catalog.SEARCH_QUERIES, fill_zero=False),
     "tfidf_benchmark": _search("tfidf", BENCHMARK),
     "bm25_benchmark": _search("bm25", BENCHMARK),
+    "bm25_segments": _search("bm25", catalog.SEARCH_QUERIES),
+    "tfidf_segments": _search("tfidf", catalog.SEARCH_QUERIES),
     "bm25_bounded": _search("bm25", catalog.SEARCH_QUERIES),
     "tfidf_bounded": _search("tfidf", catalog.SEARCH_QUERIES),
     "bm25_bounded_benchmark": _search("bm25", BENCHMARK),
@@ -398,6 +419,11 @@ SELECT round(sum(tp) / sum(support), 6) AS accuracy,
     AS f1_score
 FROM counts""",
     "sentiment_distribution": f"WITH {ARTICLE_SCORES} {_distribution('scored')}",
+    "distribution_merged": f"WITH {ARTICLE_SCORES} {_distribution('scored')}",
+    "distribution_merged_by": f"WITH {ARTICLE_SCORES} {_distribution('scored', 'query')}",
+    "trend_merged": f"WITH {ARTICLE_SCORES} "
+    + _trend("scored", "ts", "sentiment", _month_ends("2024-01-01", "2024-12-31"), "last_day(ts::DATE)", "%Y-%m",
+             "< TIMESTAMP '2025-01-01'", "2024-01-01"),
     "distribution_by": f"WITH {ARTICLE_SCORES} {_distribution('scored', 'query')}",
     "distribution_lineitem": _distribution(
         "lineitem", "l_returnflag, l_linestatus", "(l_tax - l_discount)", low=-0.025, high=0.025

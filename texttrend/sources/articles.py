@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import ARTICLE, ARTICLE_COLUMNS, SEARCH_PAGE
 
 # Fixed value: the source name given to articles from search responses.
 SOURCE_NAME = "The New York Times"
 STATUS_OK = "OK"
+CORRUPT_LINE = "corrupt_line"
 
 
 def read_articles(spark: SparkSession, path: str, schema=ARTICLE, mode: str = "PERMISSIVE") -> DataFrame:
@@ -30,11 +32,13 @@ def read_articles(spark: SparkSession, path: str, schema=ARTICLE, mode: str = "P
 def read_pages(spark: SparkSession, path: str, on_error: str = "skip") -> DataFrame:
     """Landed search responses, one JSON object per line.
 
-    ``on_error="skip"`` keeps unreadable lines as rows with a NULL status, which
-    ``split_pages`` turns into rejects; ``"fail"`` stops at the first one.
+    ``on_error="skip"`` keeps unreadable lines as rows with a NULL status and
+    their text in ``corrupt_line``, which ``split_pages`` turns into rejects;
+    ``"fail"`` stops at the first one.
     """
     mode = {"skip": "PERMISSIVE", "fail": "FAILFAST"}[on_error]
-    return spark.read.schema(SEARCH_PAGE).option("mode", mode).json(path)
+    schema = SEARCH_PAGE if on_error == "fail" else T.StructType([*SEARCH_PAGE.fields, T.StructField(CORRUPT_LINE, T.StringType())])
+    return spark.read.schema(schema).option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT_LINE).json(path)
 
 
 def split_pages(pages: DataFrame, on_error: str = "skip") -> tuple[DataFrame, DataFrame]:
