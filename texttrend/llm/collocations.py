@@ -26,7 +26,7 @@ UNKNOWN, BREAK = "und", b"\n"
 _PIECES = re.compile(rb"[.,;:!?\n-\r]+").sub
 _WORDS = re.compile(rb"[^ \t]+").findall
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-PARSE_BYTES, COUNT_BYTES = 24 << 20, 10 << 20
+PARSE_BYTES, COUNT_BYTES = 16 << 20, 7 << 20
 
 
 # --- parsing ---------------------------------------------------------------------------------------
