@@ -1,4 +1,5 @@
 import math
+from itertools import combinations
 
 from texttrend.llm import decontam
 
@@ -45,9 +46,39 @@ def test_substitutions_are_tolerated(spark, docs_of):
     assert got == want and set(want) == {(i, 0) for i in (0, 1, 2, 4, 5, 9)}
 
 
-def test_short_items_need_their_whole_sequence(spark, docs_of):
-    got = pairs(decontam.contaminated(docs_of(["we say red blue now", "red green blue", "blue red", "Red Blue"]), bench(spark, ["red blue", "", None, " "])))
-    assert set(got) == {(0, 0), (3, 0)}
+def test_masks_find_every_allowed_substitution():
+    for window in (13, 9):
+        for n in range(1, window + 1):
+            for shortest in range(1, n + 1):
+                family = next(m for ns, m in decontam.families(list(range(shortest, window + 1)), window).items() if n in ns)
+                for gone in combinations(range(n), decontam.allowed(n)):
+                    fits = any(all(at + i not in gone for i, c in enumerate(m) if c == "1") for m in family for at in range(n - len(m) + 1))
+                    assert fits, (n, shortest, gone)
+    assert all(len(m) <= decontam.MOST_MASKS for m in decontam.families(list(range(1, 14))).values())
+
+
+def test_no_allowed_substitution_is_lost(spark, docs_of):
+    """Items of 1 to 20 words, each with every pattern of substitutions that the rule allows in some 13 of its words, and one too many."""
+    items, docs, want = [], [], set()
+    for n in range(1, 21):
+        words = [f"item{n}word{i}" for i in range(n)]
+        items.append(" ".join(words))
+        size = min(n, decontam.WINDOW)
+        for begin in range(n - size + 1):
+            for gone in combinations(range(size), decontam.allowed(size)):
+                kept = ["other" if i - begin in gone or not begin <= i < begin + size else w for i, w in enumerate(words)]
+                want.add((len(docs), n - 1))
+                docs.append("lead in " + " ".join(kept) + " and out")
+        docs.append(" ".join("other" if i <= decontam.allowed(size) or i >= size else w for i, w in enumerate(words)))
+    found = pairs(decontam.contaminated(docs_of(docs), bench(spark, items)))
+    assert len(want) > 1000 and set(found) == want
+
+
+def test_short_items(spark, docs_of):
+    docs = ["we say red blue now", "red green blue", "blue red", "Red Blue", "a b c x e", "a x c y e", "one"]
+    items = ["red blue", "", None, " ", "a b c d e", "one"]
+    got = pairs(decontam.contaminated(docs_of(docs), bench(spark, items)))
+    assert got == by_hand(enumerate(docs), list(enumerate(items))) and set(got) == {(0, 0), (3, 0), (4, 4), (6, 5)}
 
 
 def test_clean_documents_stay_as_they_are(edge_docs, edge_rows, no_docs, spark):
