@@ -35,6 +35,20 @@ def test_densified_bins_keep_equality_for_short_texts():
     assert (least == fp.EMPTY).any() and not (fp.densified(least) == fp.EMPTY).any()
 
 
+def test_bins_are_filled_one_attempt_after_the_other():
+    """The tables of attempts give what trying them singly gives."""
+    for text in ("one", "a b c d e f", " ".join(f"w{i}" for i in range(300)), " ".join(f"w{i}" for i in range(9000))):
+        least = fp.bin_minima(text)
+        want = least.copy()
+        for at in np.nonzero(least == fp.EMPTY)[0].tolist():
+            attempt, value = 1, fp.EMPTY
+            while value == fp.EMPTY:
+                mixed = fp._mixed(np.array([(at * int(fp.MIX) + attempt * int(fp.STEP)) & (2**64 - 1)], np.uint64))
+                value, attempt = least[int(mixed[0]) % len(least)], attempt + 1
+            want[at] = value
+        assert (fp.densified(least) == want).all()
+
+
 def test_small_texts():
     assert fp.fingerprint(None) == fp.fingerprint(" \n") == b""
     assert fp.likeness(b"", b"") == 1.0 and fp.likeness(b"", fp.fingerprint("a")) == 0.0

@@ -48,18 +48,32 @@ def bin_minima(text: str | None, width: int = WIDTH, bins: int = BINS) -> np.nda
     return least
 
 
+_PROBES: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _probes(bins: int, first: int) -> np.ndarray:
+    """Row by bin: the bins that attempts ``first`` to 8 * ``first`` - 1 name."""
+    if (bins, first) not in _PROBES:
+        bin_, attempt = np.arange(bins, dtype=np.uint64)[:, None], np.arange(first, 8 * first, dtype=np.uint64)[None, :]
+        _PROBES[bins, first] = (_mixed(bin_ * MIX + attempt * STEP) % np.uint64(bins)).astype(np.int16 if bins <= 1 << 15 else np.int64)
+    return _PROBES[bins, first]
+
+
 def densified(least: np.ndarray) -> np.ndarray:
     """Empty bins filled from bins that a hash of (bin, attempt) names, tried until one is full.
 
-    The attempts depend on the bin alone, so equal bins of two texts stay equal.
+    The attempts depend on the bin alone, so equal bins of two texts stay equal,
+    and they are tables that one worker makes once.
     """
-    filled, empty, attempt = least.copy(), np.nonzero(least == EMPTY)[0], 1
+    full = least != EMPTY
+    filled, empty, first = least.copy(), np.nonzero(~full)[0], 1
     while len(empty):
-        probe = _mixed(empty.astype(np.uint64) * MIX + np.uint64(attempt * int(STEP) & (2**64 - 1)))
-        source = least[(probe % np.uint64(len(least))).astype(np.int64)]
-        full = source != EMPTY
-        filled[empty[full]] = source[full]
-        empty, attempt = empty[~full], attempt + 1
+        probes = _probes(len(least), first)[empty]
+        hit = full[probes]
+        at = hit.argmax(axis=1)
+        found = hit[np.arange(len(empty)), at]
+        filled[empty[found]] = least[probes[found, at[found]]]
+        empty, first = empty[~found], 8 * first
     return filled
 
 
