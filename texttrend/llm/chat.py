@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .matching import running
+
 # How a turn is rendered, and what separates the parts of a turn's key.
 TURN = "<|im_start|>{role}\n{text}<|im_end|>\n"
 UNIT = "\x1f"
@@ -32,11 +34,10 @@ def turn_table(turns: DataFrame, conv: str, turn: str, role: str, text: str) ->
 def prefix_hashes(turns: str) -> F.Column:
     """SHA-256 of every turn prefix: each is the hash of the one before and the next turn."""
 
-    def extend(state, t):
-        content = F.concat_ws(UNIT, F.coalesce(F.get(state, F.size(state) - 1), F.lit("")), F.sha2(t["role"], 256), F.sha2(t["text"], 256))
-        return F.array_append(state, F.sha2(content, 256))
+    def extend(before, t):
+        return F.sha2(F.concat_ws(UNIT, before, F.sha2(t["role"], 256), F.sha2(t["text"], 256)), 256)
 
-    return F.aggregate(turns, F.array().cast("array<string>"), extend)
+    return running(F.col(turns), F.lit(""), extend, "string")
 
 
 def maximal_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:

@@ -9,6 +9,57 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+RUN, SEGMENT = 256, 1024  # elements of a block of ``running``, characters of a segment
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, zero: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:
+    """What ``step(state, value)`` gives after each value of an array, from ``zero`` on; ``kind`` is the state's type.
+
+    Appending to one array would copy it for every value. States are gathered in
+    blocks of ``RUN`` and the blocks in one array, so that time grows with the
+    length of the array, and not with its square.
+    """
+    empty, lists = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+
+    def cut(v: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(v) - 1, F.lit(0)), F.lit(RUN))
+        return F.transform(starts, lambda i: F.slice(v, i + 1, RUN))
+
+    def inner(state: Column, value: Column) -> Column:
+        return let(step(state["last"], value), lambda n: F.struct(n.cast(kind).alias("last"), F.array_append(state["out"], n.cast(kind)).alias("out")))
+
+    def outer(state: Column, block: Column) -> Column:
+        begin = F.struct(state["last"].alias("last"), empty.alias("out"))
+        own = F.aggregate(block, begin, inner)
+        return let(own, lambda o: F.struct(o["last"].alias("last"), F.array_append(state["out"], o["out"]).alias("out")))
+
+    begin = F.struct(zero.cast(kind).alias("last"), lists.alias("out"))
+    return F.aggregate(let(values, cut), begin, outer, lambda s: F.flatten(s["out"]))
+
+
+def segments(text: Column) -> Column:
+    """A text in pieces of ``SEGMENT`` code points, in which places are found without walking from its beginning."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{SEGMENT}}}"), F.lit(0))
+
+
+def between(pieces: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` to ``end`` (exclusive; both within the text) of a text in segments."""
+    first, last = F.floor(start / SEGMENT).cast("int"), F.floor(end / SEGMENT).cast("int")
+    here = lambda i: F.coalesce(F.get(pieces, i), F.lit(""))
+    within = F.substring(here(first), start - first * SEGMENT + 1, end - start)
+    across = F.concat(
+        F.substring(here(first), start - first * SEGMENT + 1, F.lit(SEGMENT)),
+        F.array_join(F.slice(pieces, first + 2, last - first - 1), ""),
+        F.substring(here(last), F.lit(1), end - last * SEGMENT),
+    )
+    return F.when(end <= start, F.lit("")).when(first == last, within).otherwise(across)
+
+
 @dataclass(frozen=True)
 class Rule:
     """What a kind of span looks like.
@@ -43,24 +94,20 @@ class Rule:
             F.transform(between, F.length),
             lambda x, gap: F.struct(x["m"].alias("m"), x["g"].alias("g"), gap.alias("gap")),
         )
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(_PLACED).alias("out"))
-
-        def step(state: Column, piece: Column) -> Column:
-            at = state["at"] + piece["gap"]
-            end = at + F.length(piece["m"])
-            here = F.struct(at.alias("start"), end.alias("end"), piece["m"].alias("match"), piece["g"].alias("g"))
-            return F.struct(end.alias("at"), F.array_append(state["out"], here).alias("out"))
-
-        placed = F.aggregate(F.filter(pieces, lambda x: x["m"].isNotNull()), start, step, lambda s: s["out"])
-        kept = F.transform(
-            F.filter(placed, lambda x: self.valid(x["match"], x["g"])),
-            lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match")),
-        )
+
+        def placed(found: Column) -> Column:
+            ends = running(found, F.lit(0), lambda at, x: at + x["gap"] + F.length(x["m"]), "int")
+            spans = F.zip_with(found, ends, lambda x, end: F.struct(x["m"].alias("m"), x["g"].alias("g"), end.alias("end")))
+            return F.transform(
+                F.filter(spans, lambda x: self.valid(x["m"], x["g"])),
+                lambda x: F.struct((x["end"] - F.length(x["m"])).alias("start"), x["end"].alias("end"), x["m"].alias("match")),
+            )
+
+        kept = let(F.filter(pieces, lambda x: x["m"].isNotNull()), placed)
         possible = F.contains(text, F.lit(self.hint)) if self.hint else F.lit(True)
         return F.when(possible & text.rlike(pattern), kept).otherwise(F.array().cast(FOUND))
 
 
-_PLACED = "array<struct<start:int,end:int,match:string,g:string>>"
 FOUND = "array<struct<start:int,end:int,match:string>>"
 
 

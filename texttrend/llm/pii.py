@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import store
 from .common import filled
-from .matching import Rule, joined
+from .matching import Rule, between, joined, let, running, segments
 
 KINDS = ("email", "ip", "card", "phone", "name")
 
@@ -96,10 +96,11 @@ def _candidate(text: Column, rule: Rule, base: bool) -> Column:
     """Candidates of one rule: place, votes and features."""
     kind = rule.kind
 
-    def described(x: Column) -> Column:
+    def described(x: Column, pieces: Column) -> Column:
         m, start, end = x["match"], x["start"], x["end"]
-        before = F.lower(F.substring(text, F.greatest(start - NEAR, F.lit(0)) + 1, F.least(start, F.lit(NEAR))))
-        left, right = F.substring(text, start, F.least(start, F.lit(1))), F.substring(text, end + 1, F.lit(1))
+        before = F.lower(between(pieces, F.greatest(start - NEAR, F.lit(0)), start))
+        # The last piece may end with the text; what lies behind it is ''.
+        left, right = between(pieces, F.greatest(start - 1, F.lit(0)), start), between(pieces, end, end + 1)
         named, against = before.rlike(CONTEXT[kind]), before.rlike(AGAINST)
         glued = (_character(left) == "alphanumeric") | (_character(right) == "alphanumeric")
         digits = F.length(_digits(m)) * 4 / F.length(m)
@@ -133,7 +134,29 @@ def _candidate(text: Column, rule: Rule, base: bool) -> Column:
             features.alias("features"),
         )
 
-    return F.transform(rule.found(text), described)
+    # Texts are cut only where something was found.
+    return let(
+        rule.found(text),
+        lambda found: let(F.when(F.size(found) > 0, segments(text)).otherwise(F.array().cast("array<string>")), lambda pieces: F.transform(found, lambda x: described(x, pieces))),
+    )
+
+
+def _apart(loose: Column, base: Column) -> Column:
+    """The spans of ``loose`` that overlap none of ``base``.
+
+    One sorted array: every base span at its start, every loose one at its end,
+    before base spans that start there. A loose span overlaps if the base spans
+    before it reach beyond its start.
+    """
+    at = lambda x, place, own: F.struct(place.alias("at"), F.lit(own).alias("own"), x["end"].alias("end"), x.alias("span"))
+    both = F.array_sort(F.concat(F.transform(loose, lambda x: at(x, x["end"], 0)), F.transform(base, lambda x: at(x, x["start"], 1))))
+
+    def kept(spans: Column) -> Column:
+        reach = running(spans, F.lit(0), lambda far, x: F.when(x["own"] == 1, F.greatest(far, x["end"])).otherwise(far), "int")
+        free = F.filter(F.zip_with(spans, reach, lambda x, far: F.struct(x.alias("x"), far.alias("far"))), lambda p: (p["x"]["own"] == 0) & (p["far"] <= p["x"]["span"]["start"]))
+        return F.transform(free, lambda p: p["x"]["span"])
+
+    return let(both, kept)
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -145,8 +168,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.concat(*(_candidate(text, r, True) for r in BASE)).alias("_base"),
         F.concat(*(_candidate(text, r, False) for r in LOOSE)).alias("_loose"),
     )
-    apart = F.filter("_loose", lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return rows.select("doc_id", F.array_sort(F.concat("_base", F.when(F.size("_loose") > 0, apart).otherwise(F.col("_loose")))).alias("candidates"))
+    return rows.select("doc_id", F.array_sort(F.concat("_base", F.when((F.size("_loose") > 0) & (F.size("_base") > 0), _apart(F.col("_loose"), F.col("_base"))).otherwise(F.col("_loose")))).alias("candidates"))
 
 
 def _log_odds(votes: Column, prior: Column, reliability: Column) -> Column:

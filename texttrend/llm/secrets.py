@@ -10,7 +10,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..session import shared_folder
 from .common import filled, packed
-from .matching import Rule, joined
+from .matching import Rule, between, joined, let, running, segments
 
 # The base rules, then the ones this method adds.
 BASE = (
@@ -113,6 +113,19 @@ def digest(scanned: DataFrame) -> DataFrame:
     return scanned.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"))
 
 
+def _masked(text: F.Column, spans: F.Column, mask: str) -> F.Column:
+    """A text with its spans (by start) replaced, overlapping ones as one: the parts between them are joined once."""
+    upto = running(spans, F.lit(0), lambda at, x: F.greatest(at, x["end"]), "int")
+
+    def joined_up(pieces: F.Column, ends: F.Column) -> F.Column:
+        before = lambda i: F.coalesce(F.get(ends, i - 1), F.lit(0))
+        parts = F.transform(spans, lambda x, i: F.when(x["start"] >= before(i), F.concat(between(pieces, before(i), x["start"]), F.lit(mask))))
+        rest = between(pieces, F.element_at(ends, -1), F.length(text))
+        return F.concat(F.array_join(parts, ""), rest)
+
+    return let(segments(text), lambda pieces: let(upto, lambda ends: joined_up(pieces, ends)))
+
+
 def redact(versions: DataFrame, ledger: BlobLedger, id_col: str = "doc_id", text_col: str = "text", mask: str = "<secret>", length_col: str | None = None) -> DataFrame:
     """``versions`` with every found span replaced by ``mask``; texts without findings are untouched.
 
@@ -128,14 +141,7 @@ def redact(versions: DataFrame, ledger: BlobLedger, id_col: str = "doc_id", text
     )
     content = filled(text_col)
     rows = versions.select(packed(versions), content.alias("content"), address(content).alias("blob")).join(hits, "blob", "left")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(s: F.Column, x: F.Column) -> F.Column:
-        fresh = F.concat(s["out"], F.substring(F.col("content"), s["at"] + 1, x["start"] - s["at"]), F.lit(mask))
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(x["start"] >= s["at"], fresh).otherwise(s["out"]).alias("out"))
-
-    rest = lambda s: F.concat(s["out"], F.substring(F.col("content"), s["at"] + 1, F.length("content")))
-    rows = rows.withColumn("masked", F.when(F.col("findings").isNotNull(), F.aggregate("findings", start, step, rest)))
+    rows = rows.withColumn("masked", F.when(F.col("findings").isNotNull(), _masked(F.col("content"), F.col("findings"), mask)))
     changed = {text_col: F.coalesce("masked", f"_row.`{text_col}`")}
     if length_col:
         kind = versions.schema[length_col].dataType
