@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from texttrend.llm import automaton
 
@@ -57,9 +58,48 @@ def test_edge_rows(edge_docs, edge_rows, no_docs):
     assert automaton.score_documents(no_docs).count() == 0
 
 
-def test_without_training_text_all_is_unknown(docs_of):
-    from pyspark.sql import functions as F
+def test_copies_are_dealt_to_all_blocks(spark):
+    docs = spark.range(4000).selectExpr("IF(id < 3000, NULL, id) AS doc_id", "repeat('same words here ', 40) AS text")
+    blocks, size, documents = automaton._blocks(docs, "doc_id", "text", F.lit(False), 1 << 14)
+    dealt = [r["count"] for r in blocks.groupBy("block").count().collect()]
+    assert size == 4000 * 640 and documents == 4000
+    assert len(dealt) == -(-size // (1 << 14)) and max(dealt) < 4 * 4000 / len(dealt)
+
+
+def test_messages_grow_with_the_input(spark):
+    """Twice the texts, blocks and buckets: about twice the messages, never more than n-grams."""
+    messages = []
+    for docs in (400, 800):
+        text = "array_join(transform(sequence(1, 20), i -> concat('w', pmod(xxhash64(id, i), 5000))), ' ')"
+        table = spark.range(docs).selectExpr("id AS doc_id", f"{text} AS text")
+        scored = automaton.score_documents(table, block_bytes=1 << 10, bucket_bytes=1 << 7)
+        plan = scored._jdf.queryExecution()
+        scored.write.format("noop").mode("overwrite").save()
+        assert "CartesianProduct" not in plan.executedPlan().toString()
+        blocks, *_ = automaton._blocks(table, "doc_id", "text", F.lit(False), 1 << 10)
+        grams = owned = 0
+        for block in blocks.select("block", "text").toPandas().groupby("block").text:
+            own = automaton.Block(list(block[1]), 2)
+            keys = [own.distinct(n)[0] for n in (1, 2)]
+            grams += sum(map(len, keys))
+            owned += len({b for k in keys for b, *_ in automaton._owned(k, docs)})
+        assert owned <= grams
+        messages.append(owned)
+    assert messages[1] < 2.6 * messages[0]
+
+
+def test_buckets_are_ranges_of_keys():
+    import numpy as np
+
+    keys = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 5000, dtype=np.uint64, endpoint=False))
+    for buckets in (1, 7, 100_000):
+        parts = automaton._owned(keys, buckets)
+        assert [a for _, a, _ in parts[1:]] == [b for *_, b in parts[:-1]] and parts[0][1] == 0 and parts[-1][2] == len(keys)
+        assert all(x[0] < y[0] for x, y in zip(parts, parts[1:])) and 0 <= parts[0][0] and parts[-1][0] < buckets
+    assert automaton._owned(keys[:0], 5) == []
+
 
+def test_without_training_text_all_is_unknown(docs_of):
     row = automaton.score_documents(docs_of(["a b"]), held_out=F.lit(True)).first()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (3, 0, 0, 0.0, 0.0)
 

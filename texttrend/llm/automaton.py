@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from itertools import repeat
 
 import numpy as np
@@ -10,15 +11,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_words, crc_remainder, input_bytes, ship
+from .common import byte_words, crc_remainder, ship
 
 ORDER, STRENGTH = 2, 4.0  # longest n-gram; pseudo-counts given to the shorter context
 START, END = 1, 2  # symbols that are no words
 _MIX = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
-REQUEST = "bucket int, block int, grams array<binary>, counts array<binary>, documents long"
-ANSWER = "block int, bucket int, counts array<binary>, known long, tokens long, documents long"
+REQUEST = "bucket int, block int, grams array<binary>, counts array<binary>"
+ANSWER = "block int, bucket int, counts array<binary>, known long, tokens long"
+TOTALS = -1  # in place of a block: the row with what a bucket adds to the totals
 
 
 def _mixed(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -59,10 +61,11 @@ class Block:
         return np.unique(self._keys[n - 1][self._places], return_index=True, return_inverse=True)
 
 
-def _cuts(keys: np.ndarray, buckets: int) -> list[int]:
-    """Where each bucket begins among sorted keys: buckets are equal ranges of keys."""
-    starts = np.array([-(-(b << 64) // buckets) for b in range(buckets)], np.uint64)
-    return [*np.searchsorted(keys, starts).tolist(), len(keys)]
+def _owned(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """(bucket, start, end) of the buckets that own some of these sorted keys; buckets are equal ranges of keys."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else np.zeros(0, int)
+    return list(zip(bucket[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)]))
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -75,11 +78,13 @@ def _numbers(planes: pa.Scalar) -> np.ndarray:
     return np.ascontiguousarray(data.T).view("<u8").reshape(-1)
 
 
-def _blocks(docs: DataFrame, id_col: str, text_col: str, held_out, block_bytes: int) -> tuple[DataFrame, int]:
+def _blocks(docs: DataFrame, id_col: str, text_col: str, held_out, block_bytes: int) -> tuple[DataFrame, int, int]:
+    """Rows dealt into blocks one by one, copies too; bytes of text; training documents."""
     rows = ship(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out"))
-    size = input_bytes(rows, "text")
-    block = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(max(1, -(-size // block_bytes)))).cast("int")
-    return rows.withColumn("block", block), size
+    size = F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))
+    total = rows.agg(size.alias("bytes"), F.count_if(~F.col("held_out")).alias("taught")).first()
+    block = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(max(1, -(-total.bytes // block_bytes)))).cast("int")
+    return rows.withColumn("block", block), total.bytes, total.taught
 
 
 class Automaton:
@@ -117,25 +122,28 @@ class Automaton:
             self._seen.append((total > 0).tolist())
 
     def scores(self, sizes: list[int]) -> list[tuple[float, float, int]]:
-        """(log10 probability, base score, known tokens) of every text, each read once from left to right."""
-        out, at = [], 0
+        """(log10 probability, base score, known tokens) of every text, each read once from left to right.
+
+        The state is the context that the next word is read from, named by its
+        length: 0 is the root. A word without an arc there follows failure arcs,
+        paying for each, to the first shorter context that has one; the arc leads
+        to the state of the context with the word, cut to the model's order.
+        """
+        out, at, longest = [], 0, len(self._arcs) - 1
         words, root, known = self._arcs[0], self._weights[0], self._seen[0]
-        levels = list(zip(self._arcs[1:], self._weights[1:], self._seen[1:], self._failures))[::-1]
+        arcs, weights, seen, failures = self._arcs, self._weights, self._seen, [None, *self._failures]
         for size in sizes:
             total = base = 0.0
-            found = 0
+            found, state = 0, longest  # a text begins behind its START symbols
             for place in range(at, at + size):
                 word = words[place]
                 base += root[word]
                 found += known[word]
-                for arcs, weights, seen, failures in levels:  # from the state of the longest context down
-                    arc = arcs[place]
-                    if seen[arc]:
-                        total += weights[arc]
-                        break
-                    total += failures[place]
-                else:
-                    total += root[word]
+                while state and not seen[state][arcs[state][place]]:
+                    total += failures[state][place]
+                    state -= 1
+                total += weights[state][arcs[state][place]]
+                state = min(state + 1, longest) if state or known[word] else 0
             out.append((total, base, found))
             at += size
         return out
@@ -157,8 +165,10 @@ def score_documents(
     Texts are dealt into blocks; a block asks for the counts of its distinct
     n-grams, telling how often its training texts hold them; buckets of n-grams
     add these up over all blocks and answer every block with exactly the states
-    and arcs its texts can reach. A very frequent n-gram is one entry per block.
-    Nothing passes through the driver but one sum of text lengths.
+    and arcs its texts can reach. A block writes to the buckets that own n-grams
+    of its own and to no other, so messages are never more than the n-grams of
+    the blocks, however many buckets there are; a very frequent n-gram is one
+    entry per block. Only totals pass through the driver.
 
     NULL and blank texts are the end token alone; repeated rows and NULL ids are
     scored as often as they occur (a NULL id counts as '' for the fold); an
@@ -166,29 +176,28 @@ def score_documents(
     text every token is unknown.
     """
     held_out = crc_remainder(id_col, 7) == 2 if held_out is None else held_out
-    blocks, size = _blocks(docs, id_col, text_col, held_out, block_bytes)
+    blocks, size, documents = _blocks(docs, id_col, text_col, held_out, block_bytes)
     buckets = max(1, -(-size // bucket_bytes))
 
     def ask(table):
         own = Block(table.column("text").to_pylist(), order)
         held = np.array(table.column("held_out").to_pylist(), bool)
         taught = np.repeat(~held, own.tokens)
-        rows = [([], []) for _ in range(buckets)]
-        for n in range(1, order + 1):
-            keys, _, inverse = own.distinct(n)
+        none = _planes(np.zeros(0))
+        rows = defaultdict(lambda: ([none] * order, [none] * order))
+        for n in range(order):
+            keys, _, inverse = own.distinct(n + 1)
             counts = np.bincount(inverse, weights=taught, minlength=len(keys))
-            cuts = _cuts(keys, buckets)
-            for (grams, times), start, end in zip(rows, cuts, cuts[1:]):
-                grams.append(_planes(np.diff(keys[start:end], prepend=np.uint64(0))))
-                times.append(_planes(counts[start:end]))
+            for bucket, start, end in _owned(keys, buckets):
+                rows[bucket][0][n] = _planes(np.diff(keys[start:end], prepend=np.uint64(0)))
+                rows[bucket][1][n] = _planes(counts[start:end])
         binaries = pa.list_(pa.binary())
         return pa.table(
             {
-                "bucket": pa.array(range(buckets), pa.int32()),
-                "block": pa.array([table.column("block")[0].as_py()] * buckets, pa.int32()),
-                "grams": pa.array([r[0] for r in rows], binaries),
-                "counts": pa.array([r[1] for r in rows], binaries),
-                "documents": pa.array([int((~held).sum())] * buckets, pa.int64()),
+                "bucket": pa.array(list(rows), pa.int32()),
+                "block": pa.array([table.column("block")[0].as_py()] * len(rows), pa.int32()),
+                "grams": pa.array([grams for grams, _ in rows.values()], binaries),
+                "counts": pa.array([times for _, times in rows.values()], binaries),
             }
         )
 
@@ -206,24 +215,23 @@ def score_documents(
             for reply, own in zip(replies, asked):
                 reply.append(_planes(totals[inverse[at : at + len(own)]]))
                 at += len(own)
-        many = len(replies)
+        none = [0] * len(replies)
         return pa.table(
             {
-                "block": pa.array(asking, pa.int32()),
-                "bucket": pa.array([table.column("bucket")[0].as_py()] * many, pa.int32()),
-                "counts": pa.array(replies, pa.list_(pa.binary())),
-                "known": pa.array([known] * many, pa.int64()),
-                "tokens": pa.array([tokens] * many, pa.int64()),
-                "documents": pa.array([sum(table.column("documents").to_pylist())] * many, pa.int64()),
+                "block": pa.array([*asking, TOTALS], pa.int32()),
+                "bucket": pa.array([table.column("bucket")[0].as_py()] * (len(replies) + 1), pa.int32()),
+                "counts": pa.array([*replies, []], pa.list_(pa.binary())),
+                "known": pa.array([*none, known], pa.int64()),
+                "tokens": pa.array([*none, tokens], pa.int64()),
             }
         )
 
     def traverse(texts, answers):
         own = Block(texts.column("text").to_pylist(), order)
-        tokens, known = (sum(answers.column(c).to_pylist()) for c in ("tokens", "known"))
         replies = [c for _, c in sorted(zip(answers.column("bucket").to_pylist(), answers.column("counts")), key=lambda x: x[0])]
         counts = [np.concatenate([_numbers(r[n]) for r in replies]).astype(float) for n in range(order)]
-        model = Automaton(own, counts, tokens, known, answers.column("documents")[0].as_py(), strength)
+        tokens, known = (answers.column(c)[0].as_py() for c in ("tokens", "known"))
+        model = Automaton(own, counts, tokens, known, documents, strength)
         scores, bases, found = zip(*model.scores(own.tokens.tolist()))
         return pa.table(
             {
@@ -238,6 +246,10 @@ def score_documents(
         )
 
     answers = blocks.groupBy("block").applyInArrow(ask, REQUEST).groupBy("bucket").applyInArrow(answer, ANSWER)
+    # One row of sums beside every answer; the messages behind both are shuffled once.
+    sums = answers.where(F.col("block") == TOTALS).agg(F.sum("known").alias("known"), F.sum("tokens").alias("tokens"))
+    asked = answers.where(F.col("block") != TOTALS).select("block", "bucket", "counts", sums.select(F.struct("known", "tokens")).scalar().alias("sums"))
+    asked = asked.select("block", "bucket", "counts", "sums.known", "sums.tokens")
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(traverse, schema)
+    return blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(traverse, schema)
