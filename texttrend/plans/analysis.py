@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..functions.dates import MONTH_COL, month_number, parsed_time
 from ..operators.corpus import build_corpus, with_doc_id
@@ -19,6 +20,7 @@ from ..schemas import ARTICLE_COLUMNS
 from ..session import small_table, store
 from ..sources.sinks import assert_not_empty, write_run
 
+MONTH_FILES = 16  # files of a month's scored articles, at most
 # The searches of the default job.
 DEFAULT_QUERIES = ("artificial intelligence", "deepfake", "fake news", "misinformation")
 
@@ -51,8 +53,14 @@ def collect_articles(
 
 def write_scored(scored: DataFrame, out: str, run_date: str) -> str:
     """Write a numbered run of scored articles, partitioned by the month of their time."""
-    by_month = scored.withColumn(MONTH_COL, month_number(parsed_time(scored, "published_at")))
-    return write_run(assert_not_empty(by_month), out, "corpus_with_sentiment", run_date, (MONTH_COL,))
+    seen = Observation()
+    by_month = scored.withColumn(MONTH_COL, month_number(parsed_time(scored, "published_at"))).observe(seen, F.count(F.lit(1)).alias("n"))
+    # Rows of a month meet in a few tasks, so that a month is a few files; the salt keeps one month from being one task.
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(MONTH_FILES))
+    path = write_run(by_month.repartition(MONTH_COL, salt), out, "corpus_with_sentiment", run_date, (MONTH_COL,))
+    if not seen.get["n"]:  # counted while writing: looking first would score the articles twice
+        raise ValueError("no articles collected")
+    return path
 
 
 def run_analysis(

@@ -13,6 +13,7 @@ from ..session import configure, new_path, small_table, store
 from ..sources import articles as sources
 from ..sources import metrics, sinks
 from ..sources.collection import Collection
+from ..streaming import trend as streaming
 from ..schemas import ARTICLE_COLUMNS
 from . import analysis, views
 
@@ -266,6 +267,13 @@ def annotate_sentiment(spark, folder):
     return scored.select("doc_id", "query", "url", F.length("text").alias("n_chars"), r6("sentiment").alias("sentiment"))
 
 
+@query
+def annotate_bucketed(spark, folder):
+    """The rows of ``annotate_sentiment``, over a corpus stored in buckets by document."""
+    scored = sentiment.annotate(corpora.store_corpus(_corpus(spark, folder)), lexicon=views.lexicon(spark))
+    return scored.select("doc_id", "query", "url", F.length("text").alias("n_chars"), r6("sentiment").alias("sentiment"))
+
+
 @query
 def scored_runs(spark, folder):
     """Scores of the second of two numbered runs, by the method named, read back from the months of the second half-year."""
@@ -585,6 +593,38 @@ def trend_merged(spark, folder):
     return _trend(states.trend_of(_states(spark, folder)))
 
 
+def _closed_stream(spark, folder, columns):
+    """The events as a stream, and behind them one far later that closes what came before."""
+    path, events = new_path(spark), views.table(spark, folder, "events").select(*columns)
+    events.write.parquet(path)
+    later = F.expr("max(ts) + INTERVAL 1 YEAR").cast(events.schema["ts"].dataType).alias("ts")
+    end = events.agg(later, *(F.lit(None).cast(events.schema[c].dataType).alias(c) for c in columns if c != "ts"))
+    end.select(*columns).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _run_stream(spark, stream):
+    out = new_path(spark)
+    streaming.run_to_end(stream, f"{out}/rows", f"{out}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+
+
+@query
+def streamed_trend(spark, folder):
+    """The rows of ``trend_events`` with whole last days, from the states a stream emits month by month."""
+    # Files arrive in any order, so the watermark waits for all the range.
+    events = _closed_stream(spark, folder, ["ts", "value"])
+    return _trend(states.trend_of(_run_stream(spark, streaming.monthly_states(events, "ts", "value", delay="300 days"))))
+
+
+@query
+def streamed_quota(spark, folder):
+    """The rows of ``quota_admit``, from the candidates a stream emits day by day."""
+    events = _closed_stream(spark, folder, ["event_id", "ts"]).withColumnRenamed("event_id", "request_id")
+    found = _run_stream(spark, streaming.daily_candidates(events, QUOTA, delay="300 days"))
+    return retrieval.admit_requests(found, QUOTA).select("request_id", _day("day"), "request_no")
+
+
 @query
 def parse_time(spark, folder):
     usable, _ = trends.split_unparsed(_articles(spark, folder))

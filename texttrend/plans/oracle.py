@@ -349,6 +349,8 @@ SELECT id AS doc_id, round(sentiment, 6) AS sentiment FROM scores""",
 {_scores("turns", "id")}
 SELECT id // 1000000 AS conv_id, id % 1000000 AS turn, round(sentiment, 6) AS sentiment FROM scores""",
     "annotate_sentiment": f"""WITH {ARTICLE_SCORES}
+SELECT doc_id, query, url, length(text) AS n_chars, round(sentiment, 6) AS sentiment FROM scored""",
+    "annotate_bucketed": f"""WITH {ARTICLE_SCORES}
 SELECT doc_id, query, url, length(text) AS n_chars, round(sentiment, 6) AS sentiment FROM scored""",
     "scored_runs": f"""WITH {ARTICLE_SCORES}
 SELECT doc_id, '/corpus_with_sentiment/run_date=20241231/run_seq=002' AS run, round(sentiment, 6) AS sentiment
@@ -446,6 +448,11 @@ WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-12-31'""",
              "(date_trunc('week', ts) + INTERVAL 6 DAY)::DATE", "%Y-%m-%d", "< TIMESTAMP '2025-01-01'", "2024-01-01"),
     "trend_events": _trend("events", "ts", "value", _month_ends("2024-01-01", "2024-12-31"), "last_day(ts::DATE)",
                            "%Y-%m", "<= TIMESTAMP '2024-12-31'", "2024-01-01"),
+    "streamed_trend": _trend("events", "ts", "value", _month_ends("2024-01-01", "2024-12-31"), "last_day(ts::DATE)",
+                             "%Y-%m", "< TIMESTAMP '2025-01-01'", "2024-01-01"),
+    "streamed_quota": f"""SELECT event_id AS request_id, strftime(ts, '%Y-%m-%d') AS day,
+  row_number() OVER (PARTITION BY ts::DATE ORDER BY ts, event_id) AS request_no
+FROM events QUALIFY request_no <= {catalog.QUOTA}""",
     "trend_orders": _trend("orders", "o_orderdate", "o_totalprice", _month_ends("1995-01-01", "2001-12-31"),
                            "last_day(o_orderdate::DATE)", "%Y-%m", "<= TIMESTAMP '2001-12-31'", "1995-01-01"),
 }

@@ -58,8 +58,13 @@ def flatten_pages(pages: DataFrame, source: str = SOURCE_NAME, keep: tuple[str,
 
     The snippet serves as description and content. Pages without documents give no rows.
     """
-    accepted, _ = split_pages(pages, on_error)
-    docs = accepted.select("query", *keep, F.explode("response.docs").alias("d"))
+    listed = F.col("response.docs")
+    if on_error == "skip":
+        # Decided where the documents are listed: a filter would move below the decoding and run it once more.
+        listed = F.when(F.col("status") == STATUS_OK, listed)
+    else:
+        pages, _ = split_pages(pages, on_error)
+    docs = pages.select("query", *keep, F.posexplode_outer(listed).alias("_at", "d")).filter("_at IS NOT NULL")
 
     def text(path: str):
         return F.coalesce(F.col(path), F.lit(""))
