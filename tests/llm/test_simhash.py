@@ -89,3 +89,15 @@ def test_one_row_of_a_class_stays(edge_docs, no_docs):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [1, 3, 6, 7, 8, 9, 10] or len(ids) == len({r.component_id for r in simhash.near_duplicates(edge_docs).collect()})
     assert simhash.drop_near_duplicates(no_docs).count() == 0 == simhash.near_duplicates(no_docs).count()
+
+
+def test_a_sample_is_drawn_by_a_threshold(spark):
+    """No sort and no single task: each row is decided where it lies."""
+    from texttrend.llm.common import sampled
+
+    rows = spark.range(20_000).selectExpr("xxhash64(id) AS f")
+    drawn = sampled(rows, 20_000, 500, "f")
+    assert 400 < drawn.count() < 600
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "Sort" not in plan and "Exchange" not in plan
+    assert sampled(rows, 20_000, 20_000, "f").count() == 20_000

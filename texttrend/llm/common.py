@@ -49,6 +49,16 @@ def input_bytes(df: DataFrame, text: str) -> int:
     return df.agg(F.coalesce(F.sum(F.octet_length(text).cast("long")), F.lit(0)).alias("n")).first().n
 
 
+def sampled(df: DataFrame, rows: int, most: int, *key: str) -> DataFrame:
+    """About ``most`` of a table's ``rows`` rows, or all if they are no more: those whose key hashes below a threshold.
+
+    Every task decides for its own rows; nothing is sorted or gathered to draw.
+    """
+    if rows <= most:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), *key), F.lit(1 << 40)) < int((1 << 40) * most / rows))
+
+
 def rows_of(batches: Iterator, *columns: str) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples of Python values, one batch in memory at a time."""
     for batch in batches:

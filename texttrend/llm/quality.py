@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, packed, rows_of, ship
+from .common import crc_remainder, packed, rows_of, sampled, ship
 
 PASSAGE = 48  # words
 # The groups of characters a passage is described by.
@@ -141,7 +141,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 16, attend:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = 6000) -> AttentionModel:
-    """Train on at most ``most`` labelled documents outside the held-out fold, chosen by a hash of their id.
+    """Train on about ``most`` labelled documents outside the held-out fold (all if they are fewer), chosen by a hash of their id.
 
     Held out are ids whose crc32 as text leaves 2 modulo 4. The bound keeps
     training on the driver small; only encoded passages of the chosen documents
@@ -150,7 +150,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).where(
         F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & (crc_remainder("_id", 4) != 2)
     )
-    chosen = known.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(most)
+    labelled = known.groupBy("_id").agg(F.max("_label").alias("_label"))
+    chosen = sampled(labelled, labelled.count(), most, "_id")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
 
     def encode(batches):

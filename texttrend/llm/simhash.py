@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
-from .common import byte_words, packed, ship
+from .common import byte_words, packed, sampled, ship
 from .components import components
 
 BITS = 64
@@ -205,7 +205,7 @@ def near_links(
     within ``max_bits`` agree up to ``max_bits // parts`` bits in one of
     ``parts`` bit ranges, so each range has a tree of its own, searched with
     that smaller reach: fewer shards overlap. The trees (medians, vantage
-    points) come from at most ``sample_rows`` fingerprints; they only decide how
+    points) come from about ``sample_rows`` fingerprints; they only decide how
     rows are dealt, every fingerprint is searched. Shards larger than the blocks
     below are compared block by block. Inside a block, links are reduced to a
     spanning forest, so a dense group yields as many links as it has members.
@@ -213,7 +213,7 @@ def near_links(
     rows = ship(fingerprints).count()
     if rows == 0:
         return fingerprints.select(F.col(name).alias("a"), F.col(name).alias("b"))
-    sample = fingerprints.select(name).orderBy(F.xxhash64(name)).limit(sample_rows).toArrow()
+    sample = sampled(fingerprints.select(name), rows, sample_rows, name).toArrow()
     points = sample.column(0).to_numpy().view(np.uint64)
     leaf = max(4, shard_rows * len(points) // rows)
     trees = [VantageTree(p, leaf, max_bits // parts) for p in _parts(points, parts)]
