@@ -122,13 +122,15 @@ def daily_candidates(
     id are not admitted.
     """
     timed = stream.withColumn("_ts", F.col(ts_col).cast("timestamp")).withWatermark("_ts", delay)
-    timed = timed.filter(F.col("_ts").isNotNull() & F.col(id_col).isNotNull())
+    timed = timed.filter(F.col("_ts").isNotNull())
     rows = timed.select(
         F.col("_ts").cast("date").alias("day"),
         F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("salt"),
         "_ts",
         F.unix_micros("_ts").alias("at"),
-        F.col(id_col).cast("long").alias("id"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
+        # Left out in the state: a filter here would move below the watermark, which their times still advance.
+        F.col(id_col).isNotNull().alias("known"),
     )
 
     def first(key, batches, state):
@@ -145,6 +147,7 @@ def daily_candidates(
             return
         kept = list(zip(*state.get)) if state.exists else []
         for batch in batches:
+            batch = batch[batch["known"]]
             kept = heapq.nsmallest(limit, [*kept, *zip(batch["at"].tolist(), batch["id"].tolist())])
         state.update(([a for a, _ in kept], [i for _, i in kept]))
         over = key[0] + datetime.timedelta(days=1)
