@@ -2,6 +2,8 @@
 
 ``fit_index`` is the time to store the index; the searches then run over that
 one index, as a user fits once and searches often. ``rank_compare`` fits its own.
+``more`` is not part of the total: searches that fit an index each, and searches
+by score bounds over blocks fitted beforehand.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import time
 
 from pyspark.sql import DataFrame
 
-from texttrend.operators import index, search
+from texttrend.operators import bounds, index, search
 from texttrend.plans import views
 from texttrend.plans.catalog import QUERIES, SEARCH_QUERIES
 from texttrend.session import local_session
@@ -58,10 +60,16 @@ def main() -> None:
     for name, ranker in search.RANKERS.items():
         best(f"{name}_search", lambda: ranker(stored, SEARCH_QUERIES))
         best(f"{name}_benchmark", lambda: ranker(stored, items))
+    total, headline = round(sum(timings.values()), 3), list(timings)
+    for name in ("tfidf_search", "bm25_search"):
+        best(f"{name}_single", lambda: QUERIES[name](spark, folder))
+    blocks = best("fit_bounds", lambda: bounds.fit_bounds(stored))
+    for name in search.RANKERS:
+        best(f"{name}_bounded", lambda: bounds.bounded_search(blocks, SEARCH_QUERIES, name).results)
     spark.stop()
-    total = round(sum(timings.values()), 3)
+    more = {name: timings.pop(name) for name in list(timings) if name not in headline}
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": timings, "sf": scale}))
+    print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": timings, "more": more, "sf": scale}))
 
 
 if __name__ == "__main__":

@@ -121,13 +121,19 @@ def _index(corpus: DataFrame, statistics: DataFrame, text: str, id_col: str) ->
     return TermIndex(docs, statistics, id_col, n_docs, n_tokens, totals["n_terms"], totals["term_bytes"], mean or 0.0)
 
 
-def fit_terms(corpus: DataFrame, text: str = "text", id_col: str = "doc_id", path: str | None = None) -> TermIndex:
+def fit_terms(
+    corpus: DataFrame, text: str = "text", id_col: str = "doc_id", path: str | None = None, store_tokens: bool = False
+) -> TermIndex:
     """Count the terms of a corpus and store the counts (the vocabulary, not the corpus).
 
     The statistics feed idf, average length and the idf floor. Of them only the
-    totals come to the driver, to be constants in plans. Searches need the
-    postings as well: see ``fit_index``.
+    totals come to the driver, to be constants in plans. With ``store_tokens``
+    the words of the documents are stored too, so that weights read them instead
+    of cutting the texts a second time. Searches need the postings as well: see
+    ``fit_index``.
     """
+    if store_tokens:
+        corpus = store(with_tokens(corpus, text).select(id_col, "tokens"))
     return _index(corpus, store(term_statistics(with_tokens(corpus, text)), path), text, id_col)
 
 
@@ -182,10 +188,13 @@ def tfidf_weights(index: TermIndex, **vocabulary_options) -> DataFrame:
     """(doc, term, tf, weight): tf * idf, scaled to length 1 per document.
 
     Documents without vocabulary terms have no rows, the long form of a zero
-    vector. The window covers one document's terms, so none can be large.
+    vector. The window covers one document's terms, so none can be large. With a
+    broadcast vocabulary it is the documents that are shuffled, words in one
+    row, and not their postings.
     """
     idf = smoothed_idf(index, **vocabulary_options).select("term", "idf")
-    postings = term_counts(index.docs, index.id_col).filter(
+    docs = index.docs.repartition(index.id_col) if index.small else index.docs
+    postings = term_counts(docs, index.id_col).filter(
         analyzer_terms("term", vocabulary_options.get("stop_words"))
     )
     raw = join_terms(postings, idf, index.small).withColumn("_w", F.col("tf") * F.col("idf"))

@@ -358,7 +358,7 @@ def idf(spark, folder):
 
 @query
 def tfidf_weights(spark, folder):
-    weights = index.tfidf_weights(_index(spark, folder))
+    weights = index.tfidf_weights(index.fit_terms(views.documents(spark, folder), store_tokens=True))
     return weights.select("doc_id", "term", "tf", r6("weight").alias("weight"))
 
 
