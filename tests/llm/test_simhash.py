@@ -1,5 +1,6 @@
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from texttrend.llm import simhash
 from texttrend.llm.components import components
@@ -65,9 +66,9 @@ def test_trees_lose_no_link(spark):
     points = sorted(set(points))
     signed = np.array(points, np.uint64).view(np.int64).tolist()
     want = slow_classes(points)
-    for parts in (1, 2, 3):
-        table = store(spark.createDataFrame([(p,) for p in signed], "fp long"))
-        links = simhash.near_links(table, "fp", 2, parts=parts, shard_rows=8)
+    table = store(spark.createDataFrame([(p,) for p in signed], "fp long"))
+    for parts, shard_rows, sample_rows in ((1, 8, 1 << 18), (2, 8, 1 << 18), (3, 8, 1 << 18), (2, 8, 64), (1, 16, 32)):
+        links = simhash.near_links(table, "fp", 2, parts, shard_rows, sample_rows)
         root = {r.node: r.root for r in components(links, "a", "b").collect()}
         groups = {}
         for p, c in zip(signed, want):
@@ -76,6 +77,21 @@ def test_trees_lose_no_link(spark):
         assert len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+def test_shards_stay_small_beyond_the_sample(spark):
+    """With a sample that does not grow, second trees keep comparisons from growing with the square of the rows."""
+    random = np.random.default_rng(5)
+    compared, largest = [], []
+    for rows in (10_000, 40_000):
+        signed = np.unique(random.integers(0, 1 << 63, rows, dtype=np.uint64)).view(np.int64).tolist()
+        table = store(spark.createDataFrame([(p,) for p in signed], "fp long"))
+        sizes = simhash.dealt_blocks(table, "fp", 2, 2, 64, 256).groupBy("shard").agg(F.count_if(F.col("home")).alias("h"), F.count_if(~F.col("home")).alias("v")).collect()
+        assert {r.shard >> 24 & 1 for r in sizes if (r.shard >> 24) % (1 << 20)} == {0, 1}  # shards of second trees
+        compared.append(sum(r.h * r.v for r in sizes) / rows)
+        largest.append(max(r.h for r in sizes))
+    assert max(largest) <= 8 * 64
+    assert compared[1] < 2.5 * compared[0]  # 4 if shards grew with the rows
+
+
 def test_components_follow_long_chains(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (5, 5), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "x long, y long"), "x", "y").collect()}

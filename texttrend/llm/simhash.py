@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from functools import partial
 from itertools import repeat
 
@@ -139,29 +140,96 @@ def _loads(batches, trees):
         )
 
 
-def _deal(batches, trees, cuts):
-    """Each fingerprint once per block of a shard it lives in or visits."""
+def _blocks(shard, point, home, rows, columns):
+    """Batches that send each resident to all blocks of its row and each visitor to all blocks of its column."""
+    mix = ((point * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64)
+    for side, fixed, across in ((home, rows, columns), (np.ones(len(shard), bool), columns, rows)):
+        number, repeat_ = mix[side] % fixed[side], across[side]
+        who = np.repeat(np.arange(len(number)), repeat_)
+        other = np.arange(len(who)) - np.repeat(np.cumsum(repeat_) - repeat_, repeat_)
+        resident = side is home
+        i, j = (number[who], other) if resident else (other, number[who])
+        yield pa.RecordBatch.from_pydict(
+            {
+                "shard": pa.array(shard[side][who] + (i << 12) + j),
+                "fp": pa.array(point[side][who].view(np.int64)),
+                "home": pa.array(np.full(len(who), resident)),
+            }
+        )
+
+
+def _cuts(homes: np.ndarray, visits: np.ndarray, shard_rows: int) -> np.ndarray:
+    """(rows, columns) of the blocks of shards with so many residents and visitors."""
+    return np.clip(-(-np.stack([homes // 4, visits // 16]) // shard_rows), 1, (1 << 12) - 1)
+
+
+def _visits(batches, trees):
+    """(tree, fingerprints, shard, whether it lives there) for every visit of every tree."""
     for batch in batches:
         points = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        salt = (points * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
         for k, (tree, part) in enumerate(zip(trees, _parts(points, len(trees)))):
             leaf, index, home = tree.visits(part)
-            rows, columns = cuts[k][:, leaf]
-            point, mix = points[index], salt[index].astype(np.int64)
-            # A resident is compared in its block of residents with all blocks of visitors, and so on.
-            for side, fixed, across in ((home, rows, columns), (np.ones(len(leaf), bool), columns, rows)):
-                number, repeat_ = mix[side] % fixed[side], across[side]
-                who = np.repeat(np.arange(len(number)), repeat_)
-                other = np.arange(len(who)) - np.repeat(np.cumsum(repeat_) - repeat_, repeat_)
-                resident = side is home
-                i, j = (number[who], other) if resident else (other, number[who])
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "shard": pa.array(((k * tree.leaves + leaf[side][who]) << 24) + (i << 12) + j),
-                        "fp": pa.array(point[side][who].view(np.int64)),
-                        "home": pa.array(np.full(len(who), resident)),
-                    }
-                )
+            yield k, points[index], leaf, home
+
+
+def _deal(batches, trees, cuts, crowded):
+    """Each fingerprint once per block of a shard it lives in or visits, crowded shards left out."""
+    for k, point, leaf, home in _visits(batches, trees):
+        calm = crowded[k][leaf] == 0
+        point, leaf, home = point[calm], leaf[calm], home[calm]
+        yield from _blocks((k * trees[k].leaves + leaf) << 44, point, home, *cuts[k][:, leaf])
+
+
+def _deal_crowded(batches, trees, crowded, share):
+    """(shard, slice, slices, fp, home): visits of the crowded shards, a hash's ``share`` of the fingerprints."""
+    for k, point, leaf, home in _visits(batches, trees):
+        drawn = (point * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(40) < share * (1 << 24)
+        mine = drawn & (crowded[k][leaf] > 0)
+        point, leaf, home = point[mine], leaf[mine], home[mine]
+        slices = crowded[k][leaf]
+        mix = ((point * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "shard": pa.array(k * trees[k].leaves + leaf),
+                "slice": pa.array(mix % slices),
+                "slices": pa.array(slices),
+                "fp": pa.array(point.view(np.int64)),
+                "home": pa.array(home),
+            }
+        )
+
+
+def _second_trees(crowded: DataFrame, sample: DataFrame, share: float, parts: int, leaves: int, reach: int, shard_rows: int) -> DataFrame:
+    """Blocks (shard, fp, home) of the crowded shards, each dealt by a tree grown from the sample of its own residents.
+
+    The trees stay in a table and meet the slices of their shard in a join; the
+    driver sees none. What the sample misjudges changes the size of a block,
+    not what is compared.
+    """
+    few = max(4, int(shard_rows * share))
+
+    def grow(table: pa.Table) -> pa.Table:
+        shard, slices = table.column("shard")[0].as_py(), table.column("slices")[0].as_py()
+        part = _parts(table.column("fp").to_numpy().view(np.uint64), parts)[shard // leaves]
+        lives = table.column("home").to_numpy(zero_copy_only=False)
+        tree = VantageTree(part[lives], few, reach)
+        leaf, index, home = tree.visits(part)
+        homes, visits = np.bincount(leaf[home & lives[index]], minlength=tree.leaves), np.bincount(leaf, minlength=tree.leaves)
+        grown = pickle.dumps((tree, _cuts((homes / share).astype(np.int64), (visits / share).astype(np.int64), shard_rows)))
+        return pa.table({"shard": pa.array([shard] * slices, pa.int64()), "slice": pa.array(range(slices), pa.int64()), "grown": [grown] * slices})
+
+    def place(rows: pa.Table, own: pa.Table) -> pa.Table:
+        schema = pa.schema([("shard", pa.int64()), ("fp", pa.int64()), ("home", pa.bool_())])
+        if not len(rows):
+            return schema.empty_table()
+        shard = rows.column("shard")[0].as_py()
+        point, lives = rows.column("fp").to_numpy().view(np.uint64), rows.column("home").to_numpy(zero_copy_only=False)
+        tree, cuts = pickle.loads(own.column("grown")[0].as_py()) if len(own) else (VantageTree(point[:0], few, reach), np.ones((2, 1), np.int64))
+        leaf, index, home = tree.visits(_parts(point, parts)[shard // leaves])
+        return pa.Table.from_batches(_blocks((shard << 44) + (leaf + 1 << 24), point[index], home & lives[index], *cuts[:, leaf]), schema)
+
+    trees = sample.groupBy("shard").applyInArrow(grow, "shard long, slice long, grown binary")
+    return crowded.groupBy("shard", "slice").cogroup(trees.groupBy("shard", "slice")).applyInArrow(place, "shard long, fp long, home boolean")
 
 
 def _linked(nodes: int, a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -196,41 +264,57 @@ def _forest(table: pa.Table, max_bits: int) -> pa.Table:
     return pa.table({"a": nodes[moved].view(np.int64), "b": nodes[label[moved]].view(np.int64)})
 
 
-def near_links(
-    fingerprints: DataFrame, name: str, max_bits: int = 2, parts: int = 2, shard_rows: int = 2048, sample_rows: int = 1 << 18
-) -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints at most ``max_bits`` apart.
-
-    ``fingerprints`` is a stored table of distinct values. Two fingerprints
-    within ``max_bits`` agree up to ``max_bits // parts`` bits in one of
-    ``parts`` bit ranges, so each range has a tree of its own, searched with
-    that smaller reach: fewer shards overlap. The trees (medians, vantage
-    points) come from about ``sample_rows`` fingerprints; they only decide how
-    rows are dealt, every fingerprint is searched. Shards larger than the blocks
-    below are compared block by block. Inside a block, links are reduced to a
-    spanning forest, so a dense group yields as many links as it has members.
-    """
+def dealt_blocks(fingerprints: DataFrame, name: str, max_bits: int, parts: int, shard_rows: int, sample_rows: int) -> DataFrame:
+    """Blocks (shard, fp, home) in which any two distinct fingerprints at most ``max_bits`` apart meet, one at home there."""
     rows = ship(fingerprints).count()
     if rows == 0:
-        return fingerprints.select(F.col(name).alias("a"), F.col(name).alias("b"))
-    sample = sampled(fingerprints.select(name), rows, sample_rows, name).toArrow()
-    points = sample.column(0).to_numpy().view(np.uint64)
+        return fingerprints.select(F.lit(0).cast("long").alias("shard"), F.col(name).alias("fp"), F.lit(True).alias("home"))
+    one = fingerprints.select(name)
+    points = sampled(one, rows, sample_rows, name).toArrow().column(0).to_numpy().view(np.uint64)
     leaf = max(4, shard_rows * len(points) // rows)
-    trees = [VantageTree(p, leaf, max_bits // parts) for p in _parts(points, parts)]
+    reach = max_bits // parts
+    trees = [VantageTree(p, leaf, reach) for p in _parts(points, parts)]
     most = max(t.leaves for t in trees)
     for t in trees:  # one numbering for all
         t.leaves = most
     loads = (
-        fingerprints.select(name)
-        .mapInArrow(partial(_loads, trees=trees), "tree int, leaf long, homes long, visits long")
+        one.mapInArrow(partial(_loads, trees=trees), "tree int, leaf long, homes long, visits long")
         .groupBy("tree", "leaf")
         .agg(F.sum("homes").alias("homes"), F.sum("visits").alias("visits"))
         .toArrow()
     )
-    cuts = [np.ones((2, most), np.int64) for _ in trees]
-    for k, at, homes, visits in zip(*(loads.column(c).to_pylist() for c in ("tree", "leaf", "homes", "visits"))):
-        cuts[k][:, at] = max(1, -(-homes // (4 * shard_rows))), max(1, -(-visits // (16 * shard_rows)))
-    dealt = fingerprints.select(name).mapInArrow(partial(_deal, trees=trees, cuts=cuts), "shard long, fp long, home boolean")
+    homes, visits = np.zeros((2, parts, most), np.int64)
+    at = loads.column("tree").to_numpy(), loads.column("leaf").to_numpy()
+    homes[at], visits[at] = loads.column("homes").to_numpy(), loads.column("visits").to_numpy()
+    cuts = [_cuts(h, v, shard_rows) for h, v in zip(homes, visits)]
+    crowded = np.where(homes > 4 * shard_rows, -(-visits // (32 * shard_rows)), 0)  # slices of each crowded shard
+    dealt = one.mapInArrow(partial(_deal, trees=trees, cuts=cuts, crowded=crowded), "shard long, fp long, home boolean")
+    if not crowded.any():
+        return dealt
+    share = min(1.0, 8 / shard_rows)
+    schema = "shard long, slice long, slices long, fp long, home boolean"
+    sample, whole = (one.mapInArrow(partial(_deal_crowded, trees=trees, crowded=crowded, share=s), schema) for s in (share, 1.0))
+    return dealt.unionByName(_second_trees(whole, sample, share, parts, most, reach, shard_rows))
+
+
+def near_links(
+    fingerprints: DataFrame, name: str, max_bits: int = 2, parts: int = 2, shard_rows: int = 2048, sample_rows: int = 1 << 18
+) -> DataFrame:
+    """Links (a, b) that connect all distinct fingerprints at most ``max_bits`` apart.
+
+    ``fingerprints`` is a stored table of distinct values. Two fingerprints
+    within ``max_bits`` agree up to ``max_bits // parts`` bits in one of
+    ``parts`` bit ranges, so each range has a tree of its own, searched with
+    that smaller reach: fewer shards overlap. The trees (medians, vantage
+    points) come from about ``sample_rows`` fingerprints; they only decide how
+    rows are dealt, every fingerprint is searched. That sample does not grow
+    with the input, so a shard that it leaves with more than four times
+    ``shard_rows`` residents grows a second tree from a sample of its own, in a
+    task. What no tree can split (texts a few bits apart) is compared block by
+    block. Inside a block, links are reduced to a spanning forest, so a dense
+    group yields as many links as it has members.
+    """
+    dealt = dealt_blocks(fingerprints, name, max_bits, parts, shard_rows, sample_rows)
 
     def forest(block):
         return _forest(block, max_bits)
