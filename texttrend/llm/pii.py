@@ -104,16 +104,16 @@ def _candidate(text: Column, rule: Rule, base: bool) -> Column:
         named, against = before.rlike(CONTEXT[kind]), before.rlike(AGAINST)
         glued = (_character(left) == "alphanumeric") | (_character(right) == "alphanumeric")
         digits = F.length(_digits(m)) * 4 / F.length(m)
-        checked = {"card": luhn(m), "phone": F.length(_digits(m)).between(8, 15) | (F.length(_digits(m)) == 10)}.get(kind)
-        shape = F.lit(1) if base else (F.lit(0) if checked is None else F.when(checked, 1).otherwise(-1))
+        # A labeler abstains where the pattern itself has made sure of what it would say: such a yes says nothing.
+        shape = F.lit(1) if base else F.when(luhn(m), 1).otherwise(-1) if kind == "card" else F.lit(0)
         separators = F.size(F.array_distinct(F.regexp_extract_all(m, F.lit(r"[\x20-]"), F.lit(0))))
         form = {"card": separators <= 1, "phone": F.length(F.regexp_replace(m, "[^(]", "")) == F.length(F.regexp_replace(m, "[^)]", "")), "email": F.length(m) <= 254}.get(kind)
         votes = F.array(
             shape,
             F.when(m.rlike(GAZETTEER[kind]), 1).otherwise(-1),
             F.when(against, -1).when(named, 1).otherwise(0),
-            F.when(glued, -1).otherwise(1),
-            F.lit(0) if form is None else F.when(form, 1).otherwise(-1),
+            F.when(glued, -1).otherwise(0),
+            F.lit(0) if form is None else F.when(form, 0).otherwise(-1),
         )
         features = F.array(
             F.lit(f"kind={kind}"),
@@ -184,18 +184,21 @@ def _probability(log_odds: Column) -> Column:
     return 1 / (1 + F.exp(-log_odds))
 
 
-def estimate_reliabilities(found: DataFrame, rounds: int = 25) -> tuple[float, list[tuple[float, float]]]:
-    """(share of true spans, per labeler how often it votes yes on true and on false spans).
+def estimate_reliabilities(found: DataFrame, rounds: int = 25) -> dict[str, tuple[float, list[tuple[float, float]]]]:
+    """By kind: share of true spans, and per labeler how often it votes yes on true and on false spans.
 
-    Expectation-maximisation over counts of equal vote patterns: at most 3 to
-    the number of labelers, however many spans there are. All rounds are one
-    expression over that one small array. Pseudo-counts say that a labeler is
-    right in four of five of ten votes before any are seen.
+    Expectation-maximisation over counts of equal vote patterns, for each kind
+    apart: a gazetteer that tells phones well says nothing of its cards. There
+    are at most 3 to the number of labelers patterns a kind, however many spans
+    there are. All rounds are one expression over that one small array.
+    Pseudo-counts say that a labeler is right in four of five of ten votes
+    before any are seen.
     """
     patterns = (
         found.select(F.explode("candidates").alias("c"))
-        .groupBy("c.votes")
+        .groupBy("c.kind", "c.votes")
         .agg(F.count("*").cast("double").alias("n"))
+        .groupBy("kind")
         .agg(F.array_sort(F.collect_list(F.struct("votes", "n"))).alias("patterns"))
     )
     start = F.struct(F.lit(0.8).alias("prior"), F.array(*[F.struct(F.lit(0.8).alias("true"), F.lit(0.2).alias("false"))] * len(LABELERS)).alias("r"))
@@ -221,23 +224,44 @@ def estimate_reliabilities(found: DataFrame, rounds: int = 25) -> tuple[float, l
 
         return F.transform(F.array(weighed), updated)[0]
 
-    state = patterns.select(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, round_).alias("s")).first().s
-    return state.prior, [(r["true"], r["false"]) for r in state.r]
+    states = patterns.select("kind", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, round_).alias("s")).collect()
+    return {row.kind: (row.s.prior, [(r["true"], r["false"]) for r in row.s.r]) for row in states}
 
 
-def train_spans(found: DataFrame, prior: float, reliabilities: list[tuple[float, float]]) -> tuple[float, dict[str, float]]:
-    """(bias, weight of every feature): naive Bayes over span features, taught by the labelers' joint opinion.
+def _crossed(features: Column) -> Column:
+    """A span's features, each with its kind (the first of them)."""
+    return F.transform(features, lambda f: F.concat(features[0], F.lit(" "), f))
+
+
+def train_spans(found: DataFrame, reliabilities: dict[str, tuple[float, list[tuple[float, float]]]]) -> tuple[float, dict[str, float]]:
+    """(bias, weight of every feature): naive Bayes over span features by kind, taught by the labelers' joint opinion.
 
     There is a fixed small number of features, so their sums are what reaches
     the driver.
     """
-    r = F.array(*(F.struct(F.lit(t).alias("true"), F.lit(f).alias("false")) for t, f in reliabilities))
-    taught = found.select(F.explode("candidates").alias("c")).select("c.features", _probability(_log_odds(F.col("c.votes"), F.lit(prior), r)).alias("q"))
+    if not reliabilities:
+        return 0.0, {}
+    learned = F.create_map(
+        *(
+            x
+            for kind, (prior, r) in sorted(reliabilities.items())
+            for x in (F.lit(kind), F.struct(F.lit(prior).alias("prior"), F.array(*(F.struct(F.lit(t).alias("true"), F.lit(f).alias("false")) for t, f in r)).alias("r")))
+        )
+    )
+    spans = found.select(F.explode("candidates").alias("c")).select(_crossed(F.col("c.features")).alias("features"), "c.votes", learned[F.col("c.kind")].alias("s"))
+    taught = spans.select("features", _probability(_log_odds(F.col("votes"), F.col("s.prior"), F.col("s.r"))).alias("q"))
     sums = taught.select(F.explode(F.concat("features", F.array(F.lit("")))).alias("f"), "q").groupBy("f").agg(F.sum("q").alias("yes"), F.sum(1 - F.col("q")).alias("no"))
     table = {row.f: (row.yes, row.no) for row in sums.collect()}
     yes, no = table.pop("", (0.0, 0.0))
-    bias = math.log((yes + 1) / (no + 1))
-    return bias, {f: math.log((a + 1) / (yes + 2)) - math.log((b + 1) / (no + 2)) for f, (a, b) in sorted(table.items())}
+    of_kind = {f.split(" ")[0]: counts for f, counts in table.items() if len(set(f.split(" "))) == 1}
+    weights = {}
+    for f, (a, b) in sorted(table.items()):
+        own_yes, own_no = of_kind[f.split(" ")[0]]
+        if f.split(" ")[0] == f.split(" ")[1]:  # the kind's own odds
+            weights[f] = math.log((a + 1) / (yes + 2)) - math.log((b + 1) / (no + 2))
+        else:
+            weights[f] = math.log((a + 1) / (own_yes + 2)) - math.log((b + 1) / (own_no + 2))
+    return math.log((yes + 1) / (no + 1)), weights
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -251,8 +275,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     occur; an empty table gives no rows; other columns are not read.
     """
     found = store(candidates(docs, id_col, text_col))
-    prior, reliabilities = estimate_reliabilities(found)
-    bias, weights = train_spans(found, prior, reliabilities)
+    bias, weights = train_spans(found, estimate_reliabilities(found))
     known = F.create_map(*(F.lit(x) for pair in weights.items() for x in pair)) if weights else F.lit(None).cast("map<string,double>")
     scored = F.transform(
         "candidates",
@@ -262,7 +285,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             x["end"].alias("end"),
             x["kind"].alias("kind"),
             x["base"].alias("base"),
-            _probability(F.aggregate(x["features"], F.lit(bias), lambda a, f: a + F.coalesce(known[f], F.lit(0.0)))).alias("probability"),
+            _probability(F.aggregate(_crossed(x["features"]), F.lit(bias), lambda a, f: a + F.coalesce(known[f], F.lit(0.0)))).alias("probability"),
         ),
     )
     return found.select("doc_id", F.filter(scored, lambda x: x["base"] | (x["probability"] >= threshold)).alias("spans"))
