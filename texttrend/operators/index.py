@@ -26,9 +26,9 @@ EPSILON = 0.25
 
 # Term tables of at most this many bytes are broadcast to the postings: the terms' own, and so many for the rest of a row.
 BROADCAST_BYTES, ROW_BYTES = 64 << 20, 48
-# A stored index: words of the corpus for each folder of terms and for each bucket of documents, and bounds on their numbers.
-PART_TOKENS, LEAST_PARTS, MOST_PARTS = 10_000_000, 8, 256
+# A stored index: words of the corpus for each bucket of documents and for each file in it, and bounds on buckets and folders.
 BUCKET_TOKENS, LEAST_BUCKETS, MOST_BUCKETS = 100_000_000, 8, 100_000
+FILE_TOKENS, LEAST_PARTS, MOST_PARTS = 4_000_000, 8, 256
 
 STOP_WORD_FILE = Path(__file__).parent.parent / "resources" / "english_stop_words.txt"
 
@@ -249,6 +249,19 @@ def part_of(term: Column | str, parts: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
 
 
+def postings_layout(n_tokens: int) -> tuple[int, int]:
+    """(folders of terms, buckets of documents) of an index over so many words.
+
+    Each folder holds a file of every bucket. Buckets follow the words, so that
+    building or scoring one fits a task; folders cut each bucket into files of
+    about ``FILE_TOKENS`` words, no smaller however large the corpus is. Files
+    are sorted by term, so a search skips most of a file by its statistics.
+    """
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, math.ceil(n_tokens / BUCKET_TOKENS)))
+    parts = min(MOST_PARTS, max(LEAST_PARTS, n_tokens // (buckets * FILE_TOKENS)))
+    return parts, buckets
+
+
 def new_table(what: str) -> str:
     """A name of its own for an external table of this session."""
     return f"texttrend_{what}_{uuid.uuid4().hex}"
@@ -281,8 +294,8 @@ def fit_index(
     if not docs.groupBy(id_col).count().filter("count > 1").isEmpty():
         raise ValueError(f"{id_col} repeats; an index needs unique ids")
     terms = fit_terms(docs, id_col=id_col, path=f"{path}/statistics")
-    parts = parts or min(MOST_PARTS, max(LEAST_PARTS, math.ceil(terms.n_tokens / PART_TOKENS)))
-    buckets = buckets or min(MOST_BUCKETS, max(LEAST_BUCKETS, math.ceil(terms.n_tokens / BUCKET_TOKENS)))
+    layout = postings_layout(terms.n_tokens)
+    parts, buckets = parts or layout[0], buckets or layout[1]
 
     counts = term_counts(docs.repartition(buckets, id_col) if terms.small else docs, id_col)
     idf = smoothed_idf(terms, **vocabulary_options).select("term", "idf")

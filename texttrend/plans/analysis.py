@@ -72,15 +72,17 @@ def run_analysis(
     predictor_factory: Callable | None = None,
     queries: Sequence[str] = DEFAULT_QUERIES,
     k: int = TOP_K,
+    text: str = "text",
 ) -> Analysis:
     """Write the numbered raw and scored tables, and return the reports over the stored ones.
 
-    Searches run at once and their results are kept; the reports are lazy.
+    ``text`` names the column that is scored, by either method; searches read
+    the whole text. Searches run at once and their results are kept; the reports are lazy.
     """
     spark = articles.sparkSession
     articles_path = write_run(assert_not_empty(articles), out, "articles", run_date)
     corpus = build_corpus(with_doc_id(spark.read.parquet(articles_path)))
-    scored = annotate(corpus, method, lexicon, predictor_factory)
+    scored = annotate(corpus, method, lexicon, predictor_factory, text)
     corpus_path = write_scored(scored, out, run_date)
     stored = spark.read.parquet(corpus_path)
     index = fit_index(stored)
