@@ -27,8 +27,9 @@ EPSILON = 0.25
 # Term tables of at most this many bytes are broadcast to the postings: the terms' own, and so many for the rest of a row.
 BROADCAST_BYTES, ROW_BYTES = 64 << 20, 48
 # A stored index: words of the corpus for each bucket of documents and for each file in it, and bounds on buckets and folders.
-BUCKET_TOKENS, LEAST_BUCKETS, MOST_BUCKETS = 100_000_000, 8, 100_000
-FILE_TOKENS, LEAST_PARTS, MOST_PARTS = 4_000_000, 8, 256
+# A task sorts its bucket's postings twice at once, with about 190 bytes for each word.
+BUCKET_TOKENS, LEAST_BUCKETS, MOST_BUCKETS = 4_000_000, 8, 100_000
+FILE_TOKENS, LEAST_PARTS, MOST_PARTS = 500_000, 8, 256
 
 STOP_WORD_FILE = Path(__file__).parent.parent / "resources" / "english_stop_words.txt"
 
@@ -202,6 +203,42 @@ def tfidf_weights(index: TermIndex, **vocabulary_options) -> DataFrame:
     return raw.select(index.id_col, "term", "tf", (F.col("_w") / norm).alias("weight"))
 
 
+def split_idf(index: TermIndex, most_bytes: int | None = None, **vocabulary_options) -> tuple[DataFrame, DataFrame | None]:
+    """(term, idf) of the vocabulary in two tables: one to broadcast, and the rare terms that exceed it (None if none do).
+
+    The first holds every term from some document frequency on, with a NULL idf
+    for those outside the vocabulary, so a term it lacks is rare. Few postings
+    belong to rare terms, however many those are.
+    """
+    idf = smoothed_idf(index, **vocabulary_options)
+    most_bytes = BROADCAST_BYTES if most_bytes is None else most_bytes
+    level = F.length(F.bin(F.col("df").cast("long")))  # the power of two above a frequency
+    each = F.octet_length("term").cast("long") + ROW_BYTES
+    at_least = index.terms.filter(F.col("df") >= vocabulary_options.get("min_df", MIN_DF))
+    sizes = at_least.groupBy(level.alias("level")).agg(F.sum(each).alias("n")).collect()  # 64 rows at most
+    for row in sorted(sizes, reverse=True):
+        most_bytes -= row["n"]
+        if most_bytes < 0:
+            is_rare = F.col("df") < float(1 << row["level"])
+            listed = index.terms.filter(~is_rare).select("term").join(idf.filter(~is_rare).select("term", "idf"), "term", "left")
+            return listed, idf.filter(is_rare).select("term", "idf")
+    return idf.select("term", "idf"), None
+
+
+def _other_words(docs: DataFrame, listed: DataFrame, id_col: str) -> DataFrame:
+    """(document, term, tf) of words that ``listed`` lacks; a word may have several rows in a document."""
+    words = docs.select(id_col, F.explode("tokens").alias("term"))
+    return words.join(F.broadcast(listed.select("term")), "term", "left_anti").select(id_col, "term", F.lit(1).alias("tf"))
+
+
+def rare_squares(postings: DataFrame, rare: DataFrame, id_col: str) -> DataFrame:
+    """(document, _rare): the squared weights of its rare terms, added up."""
+    found = postings.hint("merge").join(rare.hint("merge"), "term")
+    terms = found.groupBy(id_col, "term").agg(F.sum("tf").alias("tf"), F.first("idf").alias("idf"))
+    w = F.col("tf") * F.col("idf")
+    return terms.groupBy(id_col).agg(F.sum(w * w).alias("_rare"))
+
+
 # ---- BM25 -----------------------------------------------------------------------------
 
 
@@ -253,11 +290,12 @@ def postings_layout(n_tokens: int) -> tuple[int, int]:
     """(folders of terms, buckets of documents) of an index over so many words.
 
     Each folder holds a file of every bucket. Buckets follow the words, so that
-    building or scoring one fits a task; folders cut each bucket into files of
-    about ``FILE_TOKENS`` words, no smaller however large the corpus is. Files
-    are sorted by term, so a search skips most of a file by its statistics.
+    a task that builds or scores one needs as much memory however large the
+    corpus is; folders cut each bucket into files of about ``FILE_TOKENS`` words,
+    no smaller however large the corpus is. Files are sorted by term, so a search
+    skips most of a file by its statistics.
     """
-    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, math.ceil(n_tokens / BUCKET_TOKENS)))
+    buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, int(n_tokens // BUCKET_TOKENS)))
     parts = min(MOST_PARTS, max(LEAST_PARTS, n_tokens // (buckets * FILE_TOKENS)))
     return parts, buckets
 
@@ -284,8 +322,8 @@ def fit_index(
     """Store everything searches read below ``path``, a new folder all executors reach; the caller removes it.
 
     The texts are tokenized once. Documents meet in their bucket before their
-    terms are listed, so with a broadcast vocabulary no posting is shuffled;
-    a larger one costs two shuffles of the postings, here and never in a search.
+    terms are listed, so no posting is shuffled; of a vocabulary too large to
+    broadcast, the occurrences of its rare words are, for the norms alone.
     Fails on repeated document ids, whose scores would add up.
     """
     spark = corpus.sparkSession
@@ -297,13 +335,17 @@ def fit_index(
     layout = postings_layout(terms.n_tokens)
     parts, buckets = parts or layout[0], buckets or layout[1]
 
-    counts = term_counts(docs.repartition(buckets, id_col) if terms.small else docs, id_col)
-    idf = smoothed_idf(terms, **vocabulary_options).select("term", "idf")
-    weighted = join_terms(counts, idf, terms.small, "left")
-    if not terms.small:
-        weighted = weighted.repartition(buckets, id_col)
+    docs = docs.repartition(buckets, id_col)
+    frequent, rare = split_idf(terms, **vocabulary_options)
+    weighted = term_counts(docs, id_col).join(F.broadcast(frequent), "term", "left")
     w = F.col("tf") * F.col("idf")
-    norm = F.sqrt(F.sum(w * w).over(Window.partitionBy(id_col)))
+    square = F.sum(w * w).over(Window.partitionBy(id_col))
+    if rare is not None:
+        # Only words that the broadcast lacks leave their document; what they add comes back as one number.
+        others = rare_squares(_other_words(docs, frequent, id_col), rare, id_col)
+        weighted = weighted.join(others, id_col, "left")
+        square = F.coalesce(square + F.col("_rare"), square, F.col("_rare"))
+    norm = F.sqrt(square)
     rows = weighted.select(id_col, "term", "tf", "length", norm.alias("norm"), part_of("term", parts).alias("part"))
     table = new_table("postings")
     writer = rows.write.format("parquet").partitionBy("part").bucketBy(buckets, id_col).sortBy("term")
