@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import new_path, small_table, store
-from .index import B, EPSILON, K1, SearchIndex, bm25_idf, join_terms, load_index, new_table, part_of, smoothed_idf
+from .index import B, BROADCAST_BYTES, EPSILON, K1, LEAST_BUCKETS, ROW_BYTES, SearchIndex, bm25_idf, join_terms, load_index, new_table, part_of, smoothed_idf
 from .search import TOP_K, Queries, _filled, _looked_up, _matches_only, _ordered, _QueryBatch, _top_k
 from .topn import top_n
 
 # Documents of a zone, postings of a block, and the least zones that the first pass of a search reads for every query.
 ZONE_DOCS, BLOCK_POSTINGS, FIRST_ZONES = 1024, 64, 4
-# Bytes of postings in a file, the bytes of one posting, and a bound on the folders by term.
-FILE_BYTES, POSTING_BYTES, MOST_PARTS = 128 << 20, 16, 64
+# Bytes of postings that one task puts into blocks (about 12 times that in its memory), the bytes of one posting, folders by term.
+FILE_BYTES, POSTING_BYTES, PARTS = 32 << 20, 16, 4
 # Zones that a search may name to the scan, which then opens the files of those alone.
 NAMED_ZONES = 1000
 # Scores are compared after rounding to 9 digits, so bounds this far below the threshold are still read.
@@ -44,12 +44,14 @@ def zone_of(id_col: str, zones: int) -> Column:
     return F.pmod(F.xxhash64(F.lit("zone"), id_col), F.lit(zones)).cast("int")
 
 
-def _blocks(index: SearchIndex, zones: int, parts: int, block: int) -> DataFrame:
+def _blocks(index: SearchIndex, zones: int, parts: int, buckets: int, block: int) -> DataFrame:
     # Sorted as structs: the impact first, then the document, for one order.
     tf, length = F.col("tf"), F.col("length")
     impact = tf / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * length / F.lit(max(index.average_length, 1e-9))))
     posting = F.struct((-impact).alias("order"), F.col(index.id_col).alias("id"), "tf", "length", (tf / F.col("norm")).alias("share"))
-    lists = index.postings.groupBy("term", zone_of(index.id_col, zones).alias("zone")).agg(F.sort_array(F.collect_list(posting)).alias("_list"))
+    # Zones meet in their bucket once: lists are gathered, cut and written there.
+    zoned = index.postings.withColumn("zone", zone_of(index.id_col, zones)).repartition(buckets, "zone")
+    lists = zoned.groupBy("term", "zone").agg(F.sort_array(F.collect_list(posting)).alias("_list"))
     cut = F.transform(F.sequence(F.lit(0), F.size("_list") - 1, F.lit(block)), lambda i: F.slice("_list", i + 1, block))
     rows = lists.select("term", "zone", F.posexplode(cut).alias("block", "_own"))
     own = F.col("_own")
@@ -72,18 +74,17 @@ def fit_bounds(
     """Store the postings of ``index`` in blocks below ``path``, a new folder all executors reach.
 
     A list that is gathered holds one term's postings in one zone, at most the
-    zone's documents; however frequent a term is, it meets no task whole. Folders
-    by term and files by zone are chosen together from the bytes of a file, so
-    their number follows the size of the index.
+    zone's documents; however frequent a term is, it meets no task whole. The
+    postings are shuffled once, by zone, into buckets of about ``file_bytes``,
+    so a task's share does not grow with the index.
     """
     spark = index.docs.sparkSession
     path = path or new_path(spark)
     zones = max(1, math.ceil(index.n_docs / zone_docs))
     n = index.postings.count()
-    files = max(1, math.ceil(n * POSTING_BYTES / file_bytes))
-    parts = min(MOST_PARTS, max(1, math.isqrt(files)))
-    buckets = max(1, math.ceil(files / parts))
-    rows = _blocks(index, zones, parts, block).repartition(buckets, "zone")
+    buckets = max(LEAST_BUCKETS, math.ceil(n * POSTING_BYTES / file_bytes))
+    parts = PARTS
+    rows = _blocks(index, zones, parts, buckets, block)
     table = new_table("blocks")
     rows.write.format("parquet").partitionBy("part").bucketBy(buckets, "zone").sortBy("term", "zone", "block").option("path", f"{path}/blocks").saveAsTable(table)
     settings = small_table(spark, [(parts, zones, buckets)], "parts int, zones int, buckets int")
@@ -140,11 +141,15 @@ def _tfidf(index: SearchIndex, batch: _QueryBatch) -> _Ranker:
 def _scored(blocks: DataFrame, chosen: DataFrame, ranker: _Ranker, id_col: str) -> DataFrame:
     """(query_id, id, score) over the blocks (query_id, _weight, term, zone, block) chosen for each query.
 
-    Blocks are dropped before their postings are listed.
+    Blocks are dropped before their postings are listed. Choices of checked size
+    go to the blocks, which then stay where they are read.
     """
+    size = chosen.agg(F.coalesce(F.sum(F.octet_length("term").cast("long") + ROW_BYTES), F.lit(0)).alias("n")).first()["n"]
+    chosen = F.broadcast(chosen) if size <= BROADCAST_BYTES else chosen
     rows = blocks.select("term", "zone", "block", "postings").join(chosen, ["term", "zone", "block"])
-    rows = rows.select("query_id", "_weight", F.explode("postings").alias("p")).select("query_id", "_weight", "p.*")
-    return rows.groupBy("query_id", F.col("id").alias(id_col)).agg(F.sum(ranker.score).alias("score"))
+    rows = rows.select("query_id", "zone", "_weight", F.explode("postings").alias("p")).select("query_id", "zone", "_weight", "p.*")
+    # A document lies in one zone; with the zone among the keys, scores add up where a bucket of zones is read.
+    return rows.groupBy("query_id", "zone", F.col("id").alias(id_col)).agg(F.sum(ranker.score).alias("score")).drop("zone")
 
 
 @dataclass(frozen=True)
@@ -206,7 +211,7 @@ def _promising(blocks: DataFrame, offered: DataFrame, model: _Ranker, id_col: st
     zones = store(words.groupBy("query_id", "zone").agg(F.sum("_word").alias("_zone")))
     # Each such zone holds a match, so k of them hold the k documents a threshold needs.
     first = top_n(zones, ["query_id"], [F.desc("_zone"), F.asc("zone")], max(k, first_zones), slice_by=["zone"]).select("query_id", "zone")
-    chosen = offered.join(first, ["query_id", "zone"]).select("query_id", "term", "zone", "block", "_weight")
+    chosen = store(offered.join(first, ["query_id", "zone"]).select("query_id", "term", "zone", "block", "_weight"))
     best = top_n(_scored(_named_zones(blocks, chosen), chosen, model, id_col), ["query_id"], _ordered(id_col), k, slice_by=[id_col])
     least = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("_least"))
     thresholds = least.filter(F.col("_n") >= k).select("query_id", "_least")
