@@ -272,13 +272,15 @@ class SearchIndex(TermIndex):
     ``postings`` (document, term, tf, length, norm) is a table in folders by a
     hash of the term and in buckets by document. A search reads only the folders
     of its words and adds up a document's score within its bucket. ``norm`` is
-    the length of the document's TF-IDF vector, fixed by ``options``.
+    the length of the document's TF-IDF vector, fixed by ``options``. An index of
+    segments keeps it ``apart``, as postings without and a table (document, norm).
     """
 
     postings: DataFrame
     parts: int
     options: dict
     n_vocabulary: int
+    apart: tuple[DataFrame, DataFrame] | None = None
 
 
 def part_of(term: Column | str, parts: int) -> Column:

@@ -113,11 +113,15 @@ def _filled(index: SearchIndex, batch: _QueryBatch, scores: DataFrame, k: int, n
     return _top_k(both.groupBy("query_id", id_col).agg(F.max("score").alias("score")), id_col, k)
 
 
-def _hits(index: SearchIndex, batch: _QueryBatch, weights: DataFrame) -> DataFrame:
-    """Postings of the queries' words with ``weights`` (query_id, term, ...); other folders are not read."""
+def _hits(index: SearchIndex, batch: _QueryBatch, weights: DataFrame, norms: bool = False) -> DataFrame:
+    """Postings of the queries' words with ``weights`` (query_id, term, ...); other folders are not read.
+
+    Norms that an index keeps apart are joined to these postings alone.
+    """
     wanted = batch.vocabulary.select(part_of("term", index.parts).alias("part")).distinct().collect()  # at most index.parts
-    postings = index.postings.filter(F.col("part").isin([r["part"] for r in wanted]))
-    return join_terms(postings, weights, batch.small)
+    postings = index.apart[0] if index.apart else index.postings
+    hits = join_terms(postings.filter(F.col("part").isin([r["part"] for r in wanted])), weights, batch.small)
+    return hits.join(index.apart[1], index.id_col) if index.apart and norms else hits
 
 
 def _matches_only(scores: DataFrame) -> DataFrame:
@@ -167,7 +171,7 @@ def tfidf_search(index: SearchIndex, queries: Queries, k: int = TOP_K, fill_zero
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("query_id")))
     vectors = raw.select("query_id", "term", (F.col("_w") / norm * F.col("idf")).alias("_weight"))
     score = F.sum(F.col("tf") * F.col("_weight") / F.col("norm"))
-    scores = _hits(index, batch, vectors).groupBy("query_id", id_col).agg(score.alias("score"))
+    scores = _hits(index, batch, vectors, norms=True).groupBy("query_id", id_col).agg(score.alias("score"))
     if fill_zero:
         return _filled(index, batch, scores, k, negative=False)
     return _top_k(_matches_only(scores), id_col, k)

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from ..session import is_small, small_table, store
 from ..sources.claims import publish_once, published
-from .index import LEAST_PARTS, SearchIndex, TermIndex, _index, join_terms, part_of, smoothed_idf, term_counts, term_statistics, vocabulary, with_tokens
+from .index import LEAST_PARTS, SearchIndex, TermIndex, _index, part_of, rare_squares, split_idf, term_counts, term_statistics, vocabulary, with_tokens
 
 # Words of a file of postings, and documents below which a segment is merged with others.
-FILE_TOKENS, SMALL_SEGMENT = 10_000_000, 1_000_000
+FILE_TOKENS, SMALL_SEGMENT = 2_000_000, 1_000_000
 ATTEMPTS = 20
 
 
@@ -120,12 +120,13 @@ class SegmentStore:
             raise ValueError("the store holds no segment")
         return found
 
-    def _statistics(self, state: State) -> DataFrame:
-        """Counts of all segments added up, those of deleted documents taken off: the size of the vocabulary, not of the corpus."""
-        parts = [self._read("segments", s, "statistics") for s in state.segments]
+    def _statistics(self, state: State, segments: list[str] | None = None) -> DataFrame:
+        """Counts of the segments (all of them) added up, those of deleted documents taken off: the size of the vocabulary, not of the corpus."""
+        segments = state.segments if segments is None else segments
+        parts = [self._read("segments", s, "statistics") for s in segments]
         for e in state.entries:
             if e.kind == "delete":
-                gone = self._read("deletes", e.name, "statistics").filter(F.col("segment").isin(state.segments))
+                gone = self._read("deletes", e.name, "statistics").filter(F.col("segment").isin(segments))
                 parts.append(gone.select("term", (-F.col("df")).alias("df"), (-F.col("n_tokens")).alias("n_tokens")))
         both = reduce(DataFrame.unionByName, parts)
         return both.groupBy("term").agg(F.sum("df").alias("df"), F.sum("n_tokens").alias("n_tokens")).filter("df > 0 OR term IS NULL")
@@ -137,12 +138,28 @@ class SegmentStore:
         folder = f"{self.path}/segments/{name}"
         docs = store(docs.select(id_col, "tokens"), f"{folder}/documents")
         statistics = store(term_statistics(docs), f"{folder}/statistics")
-        tokens = statistics.agg(F.max("n_tokens")).first()[0] or 0
-        rows = docs.repartition(max(1, math.ceil(tokens / FILE_TOKENS)), id_col)
-        postings = term_counts(rows, id_col).withColumn("part", part_of("term", state.parts))
-        postings.sortWithinPartitions("part", "term").write.mode("error").partitionBy("part").parquet(f"{folder}/postings")
+        rows = docs.repartition(self._files(statistics), id_col)
+        self._write_postings(term_counts(rows, id_col).withColumn("part", part_of("term", state.parts)), folder)
         return name
 
+    def _merge_segments(self, state: State, segments: list[str]) -> str:
+        """One segment of several, without what was deleted from them; nothing is counted again."""
+        name, id_col = uuid.uuid4().hex, state.id_col
+        folder = f"{self.path}/segments/{name}"
+        store(self._live(state, "documents", segments).select(id_col, "tokens"), f"{folder}/documents")
+        statistics = store(self._statistics(state, segments), f"{folder}/statistics")
+        rows = self._live(state, "postings", segments).select(id_col, "term", "tf", "length", "part")
+        self._write_postings(rows.repartition(self._files(statistics), id_col), folder)
+        return name
+
+    @staticmethod
+    def _files(statistics: DataFrame) -> int:
+        return max(1, math.ceil((statistics.agg(F.max("n_tokens")).first()[0] or 0) / FILE_TOKENS))
+
+    @staticmethod
+    def _write_postings(rows: DataFrame, folder: str) -> None:
+        rows.sortWithinPartitions("part", "term").write.mode("error").partitionBy("part").parquet(f"{folder}/postings")
+
     def add(self, corpus: DataFrame, text: str = "text") -> State:
         """Add articles as a segment: only they are tokenized and counted.
 
@@ -189,7 +206,7 @@ class SegmentStore:
     def compact(self, small: int = SMALL_SEGMENT) -> State:
         """Merge the segments of fewer than ``small`` documents into one, without what was deleted from them.
 
-        Tokens are read, texts are not. A deletion that applies to no remaining
+        Their postings and counts are read, nothing is counted again. A deletion that applies to no remaining
         segment is dropped from the log. If another writer changed one of the
         merged segments meanwhile, the merge is computed anew.
         """
@@ -202,7 +219,7 @@ class SegmentStore:
                 return state.entries
             key = tuple((s, tuple(state.deletes_after(s))) for s in few)
             if key not in merged:
-                merged[key] = self._write_segment(self._live(state, "documents", few), state)
+                merged[key] = self._merge_segments(state, few)
             kept = [e for e in state.entries if e.name not in few]
             first = next((i for i, e in enumerate(kept) if e.kind == "add"), len(kept))
             return (*kept[first:], Entry("add", merged[key]))
@@ -224,21 +241,31 @@ class SegmentStore:
         id_col = state.id_col
         terms = _index(self.documents(state), store(self._statistics(state)), "text", id_col)
         postings = self._live(state, "postings")
+        apart = None
         if norms:
-            postings = postings.join(self._norms(state, terms, postings), id_col, "left")
+            apart = postings, self._norms(state, terms, postings)
+            postings = postings.join(apart[1], id_col, "left")
         else:
             postings = postings.withColumn("norm", F.lit(None).cast("double"))
         postings = postings.select(id_col, "term", "tf", "length", "norm", "part")
         n_vocabulary = vocabulary(terms, **state.options).count()
-        return SearchIndex(**vars(terms), postings=postings, parts=state.parts, options=state.options, n_vocabulary=n_vocabulary)
+        return SearchIndex(**vars(terms), postings=postings, parts=state.parts, options=state.options, n_vocabulary=n_vocabulary, apart=apart)
 
     def _norms(self, state: State, terms: TermIndex, postings: DataFrame) -> DataFrame:
         marker = f"{self.path}/norms/{state.version:012d}.json"
         if not published(self.spark, marker):
-            w = F.col("tf") * F.col("idf")
-            weighted = join_terms(postings.select(state.id_col, "term", "tf"), smoothed_idf(terms, **state.options).select("term", "idf"), terms.small)
-            name = uuid.uuid4().hex
-            store(weighted.groupBy(state.id_col).agg(F.sqrt(F.sum(w * w)).alias("norm")), f"{self.path}/norms/{name}")
+            store(self._computed_norms(state, terms, postings), f"{self.path}/norms/{(name := uuid.uuid4().hex)}")
             publish_once(self.spark, marker, {"name": name})
         name = json.loads(self.spark.read.text(marker).first()[0])["name"]
         return self.spark.read.parquet(f"{self.path}/norms/{name}")
+
+    def _computed_norms(self, state: State, terms: TermIndex, postings: DataFrame) -> DataFrame:
+        """(id, norm), added up where the postings are read; of a large vocabulary only the rare terms' postings are shuffled."""
+        id_col, w = state.id_col, F.col("tf") * F.col("idf")
+        own = postings.select(id_col, "term", "tf")
+        frequent, rare = split_idf(terms, **state.options)
+        squares = own.join(F.broadcast(frequent), "term").select(id_col, (w * w).alias("_square"))
+        if rare is not None:
+            others = own.join(F.broadcast(frequent.select("term")), "term", "left_anti")
+            squares = squares.unionByName(rare_squares(others, rare, id_col).withColumnRenamed("_rare", "_square"))
+        return squares.groupBy(id_col).agg(F.sqrt(F.sum("_square")).alias("norm")).filter("norm IS NOT NULL")
