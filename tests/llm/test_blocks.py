@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from texttrend.llm import blocks
-from texttrend.llm.tokens import default_tokenizer
+from texttrend.llm.tokens import WordEncoder, default_tokenizer
 
 
 @pytest.mark.parametrize("size", [0, 1, 63, 1023, 1024, 1025, 9000, 5_000_000])
@@ -57,3 +57,13 @@ def test_round_trip_through_files(edge_docs, edge_rows, no_docs, tmp_path):
     back = blocks.read_id_files(edge_docs.sparkSession, folder, manifest, with_ids=True).collect()
     assert all(zlib.crc32(bytes(r["ids"])) == r.ids_crc32 for r in back) and len(back) == len(want)
     assert blocks.round_trip(no_docs).count() == 0
+
+
+def test_the_model_is_asked_once_for_a_word_however_it_is_capitalised():
+    ids_of = WordEncoder(default_tokenizer())
+    asked, whole = [], ids_of._tokenizer
+    ids_of._tokenize = lambda run: asked.append(run) or ids_of._model.tokenize(run)
+    text = "Orre orre ORRE, orre; <|endoftext|> zürich Zürich 12a"
+    want = np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
+    assert ids_of.text_ids(text) == want.tobytes()
+    assert asked.count("orre") == 1 and len(set(asked)) == len(asked)

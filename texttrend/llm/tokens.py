@@ -38,18 +38,21 @@ class WordEncoder(dict):
         super().__init__()
         self._tokenizer, self._most, self._letters = Tokenizer.from_file(path), most, _byte_letters()
         self._model = self._tokenizer.model
-        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._special = re.compile("|".join(special) or "(?!)").search
+        self._tokenize = self._model.tokenize
 
     def _run(self, run: str) -> bytes:
-        found = self._model.tokenize(run if run.isascii() else run.translate(self._letters))
+        found = self._tokenize(run if run.isascii() else run.translate(self._letters))
         return array.array("I", [t.id for t in found]).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         if word.isascii() and word.isalpha():
-            ids = self._run(word.lower())
-        elif _PLAIN(word) and not any(s in word for s in self._special):
-            runs = _RUNS(word.lower())
-            ids = b"".join(self._run(r) if r == word else self[r] for r in runs)
+            # The model is asked once for a word, however it is capitalised.
+            lower = word.lower()
+            ids = self._run(word) if lower == word else self[lower]
+        elif _PLAIN(word) and not self._special(word):
+            ids = b"".join([self._run(r) if r == word else self[r] for r in _RUNS(word.lower())])
         else:
             ids = array.array("I", self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         if len(self) >= self._most:
